@@ -1 +1,428 @@
-"""basic_queries"""
+"""Projection, filter, scalar, ranking, join and aggregate queries over the stand-in views.
+
+Fixed parameters (as-of dates, ranges, n) are chosen inside the data's 1995-2001 span.
+Bar orderings always end in the full tiebreak (t, n, c, o, h, l, v, vw): whole rows are
+unique but (ticker, t) is not.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import testdata as td
+from ..functions import hashing as H
+from ..functions import timefns as TF
+from ..functions.arrays import element_count, first_or_null, keep_fields
+from ..functions.casts import narrow_to_float
+from ..operators import filters as W
+from ..operators import joins as J
+from ..operators import projections as P
+from ..operators import quality as Q
+from ..operators import ranking as R
+from ..operators.batching import assign_batches
+from ..operators.combine import union_all
+from ..operators.partitioning import by_key, reuse, spread
+from ..schemas import BAR
+from ..sources.responses import bar_response_pages
+from .registry import register
+
+AS_OF = "1999-01-01"
+CLOSE_AS_OF = "2000-06-01"
+RANGE = ("2000-01-01", "2000-03-31")
+TIEBREAK = ["n", "c", "o", "h", "l", "v", "vw"]
+BAR_ORDER_SQL = "t, n, c, o, h, l, v, vw"
+NARROW = ", ".join(P.CONTRACT_NARROW)
+v = td.with_views
+
+
+def _esc_sql(col: str) -> str:
+    return f"coalesce(replace(replace({col}, '\\', '\\\\'), '|', '\\|'), '∅')"
+
+
+# ---------------- projections ----------------
+
+@register("proj_contract_columns", v(f"SELECT {NARROW} FROM contracts_v", contracts=True))
+def proj_contract_columns(spark, sf):
+    return P.contract_columns(td.contracts(spark, sf))
+
+
+@register("proj_struct_fields", v(f"SELECT {NARROW} FROM contracts_v", contracts=True))
+def proj_struct_fields(spark, sf):
+    nested = td.contracts(spark, sf).select(
+        "underlying_ticker",
+        F.struct("ticker", "contract_type", "exercise_style", "expiration_date", "strike_price").alias("option"))
+    return P.flatten_struct(nested, "option", ["ticker", "contract_type", "exercise_style", "expiration_date",
+                                               "strike_price"], keep=["underlying_ticker"])
+
+
+@register("proj_with_column", v("SELECT *, c * v AS notional FROM bars_v", bars=True))
+def proj_with_column(spark, sf):
+    return td.bars(spark, sf).withColumn("notional", F.col("c") * F.col("v"))
+
+
+@register("explode_replace", v("""
+SELECT b.ticker, b.t AS timestamp,
+  sha256(b.ticker || '|' || CAST(b.t AS VARCHAR) || '|1|day') AS agg_id
+FROM contracts_v c JOIN bars_v b ON b.ticker = c.ticker""", contracts=True, bars=True))
+def explode_replace(spark, sf):
+    docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
+    return P.replace_with_element(docs, "aggs").select(
+        "ticker", F.col("aggs.timestamp").alias("timestamp"), F.col("aggs.agg_id").alias("agg_id"))
+
+
+@register("proj_select_expr", v(f"SELECT {NARROW} FROM contracts_v", contracts=True))
+def proj_select_expr(spark, sf):
+    from ..sources.responses import contract_response_pages
+    pages = contract_response_pages(td.contracts(spark, sf))
+    return (pages.selectExpr("underlying_ticker", "explode(results) AS option")
+            .selectExpr("underlying_ticker", "option.ticker AS ticker", "option.contract_type AS contract_type",
+                        "option.exercise_style AS exercise_style",
+                        "to_date(option.expiration_date) AS expiration_date",
+                        "option.strike_price AS strike_price"))
+
+
+@register("proj_rename", v("""
+SELECT cfi, contract_type AS contractType, correction, exercise_style AS exerciseStyle,
+  expiration_date AS expirationDate, primary_exchange AS primaryExchange,
+  shares_per_contract AS sharesPerContract, strike_price AS strikePrice, ticker,
+  underlying_ticker AS underlyingTicker FROM contracts_v""", contracts=True))
+def proj_rename(spark, sf):
+    return P.to_camel_case(td.contracts(spark, sf))
+
+
+@register("proj_bar_names", v("""
+SELECT ticker, c AS close, h AS high, l AS low, n AS transactions, o AS open, t AS timestamp,
+  v AS volume, vw AS vwap FROM bars_v""", bars=True))
+def proj_bar_names(spark, sf):
+    return P.bar_long_names(td.bars(spark, sf))
+
+
+# ---------------- filters ----------------
+
+@register("filter_not_null", v("""
+SELECT u.underlying_ticker, c.ticker FROM universe_v u LEFT JOIN contracts_v c
+  ON c.underlying_ticker = u.underlying_ticker WHERE c.ticker IS NOT NULL""", universe=True, contracts=True))
+def filter_not_null(spark, sf):
+    joined = td.universe(spark, sf).join(td.contracts(spark, sf).select("underlying_ticker", "ticker"),
+                                         "underlying_ticker", "left")
+    return W.drop_null(joined, "ticker")
+
+
+@register("filter_expiry_gte", v(f"""
+SELECT {NARROW} FROM contracts_v WHERE expiration_date >= DATE '{AS_OF}' - INTERVAL 30 DAY""", contracts=True))
+def filter_expiry_gte(spark, sf):
+    return P.contract_columns(W.expiring_since(td.contracts(spark, sf), AS_OF, 30))
+
+
+@register("filter_expired_flag", v(f"""
+SELECT {NARROW} FROM contracts_v WHERE expiration_date >= DATE '{AS_OF}'""", contracts=True))
+def filter_expired_flag(spark, sf):
+    return P.contract_columns(W.by_expired_flag(td.contracts(spark, sf), AS_OF, expired=False))
+
+
+@register("filter_bar_range", v(f"""
+SELECT * FROM bars_v WHERE CAST(make_timestamp(t * 1000) AS DATE)
+  BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""", bars=True))
+def filter_bar_range(spark, sf):
+    return W.bars_in_day_range(td.bars(spark, sf), *RANGE)
+
+
+@register("filter_underlying", v(f"""
+SELECT {NARROW} FROM contracts_v WHERE underlying_ticker IN
+  (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')""", contracts=True))
+def filter_underlying(spark, sf):
+    chosen = (td.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
+              .select(F.col("c_custkey").cast("string").alias("underlying_ticker")))
+    return P.contract_columns(W.for_underlyings(td.contracts(spark, sf), chosen))
+
+
+@register("filter_nonempty_array", v("""
+SELECT ticker, CAST(0 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_aggs
+FROM bars_v WHERE ticker IN (SELECT ticker FROM contracts_v) GROUP BY ticker""", contracts=True, bars=True))
+def filter_nonempty_array(spark, sf):
+    docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
+    return W.with_results(docs, "aggs").select("ticker", "part", F.size("aggs").alias("n_aggs"))
+
+
+@register("coalesce_empty_array", v("""
+SELECT c.ticker, CAST(coalesce(p.page, 0) AS INTEGER) AS page, CAST(coalesce(p.n, 0) AS INTEGER) AS n_results
+FROM contracts_v c LEFT JOIN (
+  SELECT ticker, page, count(*) AS n FROM (
+    SELECT ticker, (row_number() OVER (PARTITION BY ticker ORDER BY t, n, c, o, h, l, v, vw) - 1) // 1000 AS page
+    FROM bars_v) GROUP BY ticker, page) p ON p.ticker = c.ticker""", contracts=True, bars=True))
+def coalesce_empty_array(spark, sf):
+    pages = bar_response_pages(td.bars(spark, sf), 1000).select("ticker", "request_id", "results")
+    joined = td.contracts(spark, sf).select("ticker").join(pages, "ticker", "left")
+    fixed = W.null_results_to_empty(joined, "results")
+    return fixed.select("ticker",
+                        F.coalesce(F.split_part("request_id", F.lit("-"), F.lit(-1)).cast("int"), F.lit(0)).alias("page"),
+                        F.size("results").alias("n_results"))
+
+
+# ---------------- generators / arrays ----------------
+
+@register("explode_bars", v("SELECT * FROM bars_v", bars=True))
+def explode_bars(spark, sf):
+    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    out = pages.select("ticker", F.explode("results").alias("b"))
+    return out.select("ticker", *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n)
+                                  for n in ["c", "h", "l", "n", "o", "t", "v", "vw"]])
+
+
+@register("hof_transform", v("SELECT ticker, t AS timestamp, vw AS vwap FROM bars_v", bars=True))
+def hof_transform(spark, sf):
+    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    kept = pages.select("ticker", keep_fields("results", {"t": "timestamp", "vw": "vwap"}).alias("aggs"))
+    return kept.select("ticker", F.explode("aggs").alias("a")).select("ticker", "a.timestamp", "a.vwap")
+
+
+@register("array_first", v(f"""
+SELECT c.ticker, f.t AS first_t, f.c AS first_c FROM contracts_v c LEFT JOIN (
+  SELECT ticker, t, c FROM bars_v QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY {BAR_ORDER_SQL}) = 1
+) f ON f.ticker = c.ticker""", contracts=True, bars=True))
+def array_first(spark, sf):
+    pages = bar_response_pages(td.bars(spark, sf), 1000).where(F.split_part("request_id", F.lit("-"), F.lit(-1)) == "0")
+    joined = W.null_results_to_empty(td.contracts(spark, sf).select("ticker").join(
+        pages.select("ticker", "results"), "ticker", "left"), "results")
+    first = first_or_null("results")
+    return joined.select("ticker", first["t"].alias("first_t"), first["c"].alias("first_c"))
+
+
+# ---------------- scalar functions ----------------
+
+@register("hash_md5", v("SELECT ticker, t, md5(CAST(t AS VARCHAR)) AS agg_id FROM bars_v", bars=True))
+def hash_md5(spark, sf):
+    return td.bars(spark, sf).select("ticker", "t", H.md5_of_text("t").alias("agg_id"))
+
+
+@register("hash_row_murmur")
+def hash_row_murmur(spark, sf):
+    b = td.bars(spark, sf)
+    # record-bean column order: properties alphabetically
+    return b.withColumn("hash_id", H.murmur_fingerprint("c", "h", "l", "n", "o", "t", "ticker", "v", "vw"))
+
+
+_F2B_COLS = ["ticker", "underlying_ticker", "contract_type", "exercise_style", "expiration_date", "cfi", "correction"]
+
+
+@register("hash_row_sha2", v(f"""
+SELECT ticker, sha256(concat_ws('|', {_esc_sql('ticker')}, {_esc_sql('underlying_ticker')},
+  {_esc_sql('contract_type')}, {_esc_sql('exercise_style')},
+  coalesce(strftime(expiration_date, '%Y-%m-%d'), '∅'), {_esc_sql('cfi')},
+  coalesce(CAST(correction AS VARCHAR), '∅'))) AS row_id FROM contracts_v""", contracts=True))
+def hash_row_sha2(spark, sf):
+    c = td.contracts(spark, sf)
+    return c.select("ticker", H.row_id(c.schema, _F2B_COLS).alias("row_id"))
+
+
+@register("hash_sha256", v("SELECT ticker, sha256(ticker) AS ticker_sha256 FROM contracts_v", contracts=True))
+def hash_sha256(spark, sf):
+    return td.contracts(spark, sf).select("ticker", H.sha256_hex("ticker").alias("ticker_sha256"))
+
+
+@register("str_batch_key", v("""
+SELECT ticker, sha256(underlying_ticker) || '-' || strftime(expiration_date, '%Y-%m-%d') AS batch_key
+FROM contracts_v""", contracts=True))
+def str_batch_key(spark, sf):
+    return td.contracts(spark, sf).select(
+        "ticker", H.batch_key(H.sha256_hex("underlying_ticker"), "expiration_date").alias("batch_key"))
+
+
+@register("date_ny_day", """
+SELECT event_id, strftime(timezone('America/New_York', ts AT TIME ZONE 'UTC'), '%Y-%m-%d') AS ny_day,
+  CAST(timezone('America/New_York', ts AT TIME ZONE 'UTC') AS DATE) AS ny_date
+FROM events""")
+def date_ny_day(spark, sf):
+    ev = td.table(spark, sf, "events")
+    return ev.select("event_id", TF.local_day_text("ts").alias("ny_day"), TF.local_day("ts").alias("ny_date"))
+
+
+@register("date_sub_days", v("""
+SELECT ticker, expiration_date, CAST(expiration_date - INTERVAL 30 DAY AS DATE) AS lookback_date
+FROM contracts_v""", contracts=True))
+def date_sub_days(spark, sf):
+    return td.contracts(spark, sf).select("ticker", "expiration_date",
+                                          TF.days_before("expiration_date", 30).alias("lookback_date"))
+
+
+@register("date_format_ymd", v("""
+SELECT ticker, strftime(expiration_date, '%Y-%m-%d') AS expiration_text FROM contracts_v""", contracts=True))
+def date_format_ymd(spark, sf):
+    return td.contracts(spark, sf).select("ticker", TF.ymd_text("expiration_date").alias("expiration_text"))
+
+
+@register("cast_float", v(f"""
+SELECT {NARROW.replace('strike_price', 'CAST(strike_price AS FLOAT) AS strike_price')} FROM contracts_v""",
+                          contracts=True))
+def cast_float(spark, sf):
+    return narrow_to_float(P.contract_columns(td.contracts(spark, sf)), ["strike_price"])
+
+
+@register("ts_epoch_ms", """
+SELECT event_id, epoch_us(ts) // 1000 AS t, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms FROM events""")
+def ts_epoch_ms(spark, sf):
+    ev = td.table(spark, sf, "events").select("event_id", TF.epoch_millis("ts").alias("t"))
+    return ev.withColumn("ts_ms", TF.utc_ntz_from_millis("t"))
+
+
+# ---------------- aggregates, order, limits, union ----------------
+
+@register("agg_count", "SELECT count(*) AS n FROM lineitem")
+def agg_count(spark, sf):
+    return Q.row_count(td.bars(spark, sf))
+
+
+@register("agg_result_size", v("""
+SELECT ticker, (count(*) + 3) // 4 AS n_responses, count(*) AS n_results FROM bars_v GROUP BY ticker""",
+                               bars=True))
+def agg_result_size(spark, sf):
+    return Q.result_sizes(bar_response_pages(td.bars(spark, sf), 4))
+
+
+@register("sort_bars", v(f"""
+SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY {BAR_ORDER_SQL}) AS seq FROM bars_v""", bars=True))
+def sort_bars(spark, sf):
+    return R.with_sequence(td.bars(spark, sf), tiebreak=TIEBREAK)
+
+
+@register("limit_topk", v(f"""
+SELECT {NARROW} FROM contracts_v ORDER BY strike_price DESC, ticker LIMIT 100""", contracts=True))
+def limit_topk(spark, sf):
+    c = P.contract_columns(td.contracts(spark, sf))
+    return R.top_k(c, 100, [F.col("strike_price").desc(), F.col("ticker").asc()])
+
+
+@register("topn_per_key", v(f"""
+SELECT {NARROW}, row_number() OVER (PARTITION BY underlying_ticker ORDER BY expiration_date DESC, ticker) AS rank
+FROM contracts_v QUALIFY rank <= 3""", contracts=True))
+def topn_per_key(spark, sf):
+    c = P.contract_columns(td.contracts(spark, sf))
+    return R.top_n_per_key(c, ["underlying_ticker"], [F.col("expiration_date").desc(), F.col("ticker").asc()],
+                           3, rank_col="rank")
+
+
+@register("union_all", v("SELECT * FROM bars_v", bars=True))
+def union_all_q(spark, sf):
+    b = td.bars(spark, sf)
+    cut = TF.epoch_millis(F.lit("2000-01-01").cast("timestamp_ntz"))
+    parts = [b.where(F.col("t") < cut), b.where(F.col("t") >= cut), b.where(F.col("t").isNull())]
+    return union_all(parts, schema=BAR, spark=spark)
+
+
+# ---------------- partitioning hints ----------------
+
+@register("repartition_n", v("SELECT * FROM bars_v", bars=True))
+def repartition_n(spark, sf):
+    return spread(td.bars(spark, sf), 16)
+
+
+@register("repartition_by_key", v("""
+SELECT ticker, count(*) AS n_bars, CAST(sum(v) AS BIGINT) AS volume FROM bars_v GROUP BY ticker""", bars=True))
+def repartition_by_key(spark, sf):
+    return by_key(td.bars(spark, sf), "ticker").groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_bars"), F.sum("v").alias("volume"))
+
+
+@register("cache_two_branches", v("""
+SELECT c.underlying_ticker, count(*) AS n_bars, count(DISTINCT c.ticker) AS n_contracts
+FROM contracts_v c JOIN bars_v b ON b.ticker = c.ticker GROUP BY c.underlying_ticker""",
+                                  contracts=True, bars=True))
+def cache_two_branches(spark, sf):
+    shared = reuse(J.contract_bars(td.contracts(spark, sf).select("underlying_ticker", "ticker"),
+                                   td.bars(spark, sf).select("ticker", "t")))
+    flat = shared.groupBy("underlying_ticker").agg(F.count(F.lit(1)).alias("n_bars"))
+    nested = shared.select("underlying_ticker", "ticker").distinct().groupBy("underlying_ticker") \
+        .agg(F.count(F.lit(1)).alias("n_contracts"))
+    return flat.join(nested, "underlying_ticker")
+
+
+# ---------------- re-aimed fetches ----------------
+
+@register("prev_close", v(f"""
+SELECT ticker, t, n, c, o, h, l, v, vw FROM bars_v
+WHERE t < epoch_us(TIMESTAMP '{CLOSE_AS_OF}') // 1000
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY t DESC, n DESC, c DESC, o DESC, h DESC, l DESC,
+  v DESC, vw DESC) = 1""", bars=True))
+def prev_close(spark, sf):
+    return R.previous_close(td.bars(spark, sf), CLOSE_AS_OF, tiebreak=TIEBREAK)
+
+
+@register("distinct_tickers", v("SELECT DISTINCT underlying_ticker FROM contracts_v", contracts=True))
+def distinct_tickers(spark, sf):
+    return R.distinct_values(td.contracts(spark, sf), "underlying_ticker")
+
+
+@register("join_universe_contracts", v(f"""
+SELECT c.* FROM contracts_v c WHERE c.underlying_ticker IN (SELECT underlying_ticker FROM universe_v)""",
+                                       universe=True, contracts=True))
+def join_universe_contracts(spark, sf):
+    return J.universe_contracts(td.universe(spark, sf), td.contracts(spark, sf))
+
+
+@register("join_contract_bars", v(f"""
+SELECT c.underlying_ticker, c.contract_type, c.expiration_date, c.strike_price, b.*
+FROM contracts_v c JOIN bars_v b ON b.ticker = c.ticker""", contracts=True, bars=True))
+def join_contract_bars(spark, sf):
+    c = td.contracts(spark, sf).select("ticker", "underlying_ticker", "contract_type", "expiration_date",
+                                       "strike_price")
+    return J.contract_bars(c, td.bars(spark, sf))
+
+
+@register("join_contract_documents", v(f"""
+SELECT c.underlying_ticker, c.ticker, c.contract_type, c.expiration_date, c.strike_price,
+  CAST(0 AS INTEGER) AS part, CAST(coalesce(s.n, 0) AS INTEGER) AS n_aggs, s.first_ts, s.last_ts, s.first_id
+FROM contracts_v c LEFT JOIN (
+  SELECT ticker, count(*) AS n, min(t) AS first_ts, max(t) AS last_ts,
+    sha256(ticker || '|' || CAST(min(t) AS VARCHAR) || '|1|day') AS first_id
+  FROM bars_v GROUP BY ticker) s ON s.ticker = c.ticker""", contracts=True, bars=True))
+def join_contract_documents(spark, sf):
+    docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
+    last = F.get("aggs", F.size("aggs") - 1)
+    return docs.select("underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price", "part",
+                       F.size("aggs").alias("n_aggs"), F.get("aggs", 0)["timestamp"].alias("first_ts"),
+                       last["timestamp"].alias("last_ts"), F.get("aggs", 0)["agg_id"].alias("first_id"))
+
+
+@register("anti_join_not_loaded", v(f"""
+SELECT {NARROW} FROM contracts_v c WHERE NOT EXISTS (SELECT 1 FROM bars_v b WHERE b.ticker = c.ticker)""",
+                                    contracts=True, bars=True))
+def anti_join_not_loaded(spark, sf):
+    return P.contract_columns(J.not_yet_loaded(td.contracts(spark, sf), td.bars(spark, sf)))
+
+
+_STORED_BEFORE = "2000-01-01"
+_BATCH_FROM = "1999-07-01"
+_RESENT = ("1999-07-01", "1999-09-30")
+
+
+@register("dedup_append", v(f"""
+, batch AS (
+  SELECT * FROM bars_v WHERE t >= epoch_us(TIMESTAMP '{_BATCH_FROM}') // 1000
+  UNION ALL
+  SELECT * FROM bars_v WHERE CAST(make_timestamp(t * 1000) AS DATE) BETWEEN DATE '{_RESENT[0]}' AND DATE '{_RESENT[1]}')
+SELECT * FROM batch EXCEPT SELECT * FROM bars_v WHERE t < epoch_us(TIMESTAMP '{_STORED_BEFORE}') // 1000""",
+                            bars=True))
+def dedup_append(spark, sf):
+    b = td.bars(spark, sf)
+    ids = H.row_id(b.schema, b.columns)
+    stored = b.where(F.col("t") < TF.epoch_millis(F.lit(_STORED_BEFORE).cast("timestamp_ntz"))) \
+        .withColumn("row_id", ids)
+    batch = b.where(F.col("t") >= TF.epoch_millis(F.lit(_BATCH_FROM).cast("timestamp_ntz"))) \
+        .unionByName(W.bars_in_day_range(b, *_RESENT)).withColumn("row_id", ids)
+    return J.idempotent_append(batch, stored).drop("row_id")
+
+
+@register("batch_assign", v(f"""
+SELECT *, (row_number() OVER (ORDER BY ticker, {BAR_ORDER_SQL}) - 1) // 2500 AS batch_id FROM bars_v""",
+                            bars=True))
+def batch_assign(spark, sf):
+    return assign_batches(td.bars(spark, sf), ["ticker", "t", *TIEBREAK], 2500)
+
+
+@register("load_audit", v("""
+SELECT c.underlying_ticker, count(*) AS n_contracts, count(b.n) AS n_with_bars,
+  count(*) - count(b.n) AS n_empty, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS n_bars
+FROM contracts_v c LEFT JOIN (SELECT ticker, count(*) AS n FROM bars_v GROUP BY ticker) b ON b.ticker = c.ticker
+GROUP BY c.underlying_ticker""", contracts=True, bars=True))
+def load_audit(spark, sf):
+    return Q.load_audit(td.contracts(spark, sf), td.bars(spark, sf))
