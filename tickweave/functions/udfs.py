@@ -1,0 +1,131 @@
+"""Python UDF surface (D-U1, D-U2) and the pandas flatMap body used by G2.
+
+These are the slow path, kept because the reference exposes them; the native decoders in
+`sources.responses` do the same work JVM-side. UDFs run Arrow-batched (`useArrow=True`) and
+coerce every field explicitly, so an int arriving for a double field becomes a float and
+never a silent null or 0.0.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CONTRACT_ITEM = T.StructType([
+    T.StructField("ticker", T.StringType()),
+    T.StructField("underlying_ticker", T.StringType()),
+    T.StructField("contract_type", T.StringType()),
+    T.StructField("exercise_style", T.StringType()),
+    T.StructField("expiration_date", T.StringType()),
+    T.StructField("strike_price", T.DoubleType()),
+])
+BAR_ITEM = T.StructType([
+    T.StructField("open", T.DoubleType()),
+    T.StructField("high", T.DoubleType()),
+    T.StructField("low", T.DoubleType()),
+    T.StructField("close", T.DoubleType()),
+    T.StructField("volume", T.LongType()),
+    T.StructField("vwap", T.DoubleType()),
+    T.StructField("timestamp", T.LongType()),
+    T.StructField("transactions", T.IntegerType()),
+    T.StructField("agg_id", T.StringType()),
+])
+_BAR_KEYS = {"open": "o", "high": "h", "low": "l", "close": "c", "vwap": "vw"}
+
+
+def _as_float(x):
+    return None if x is None else float(x)
+
+
+def _as_int(x):
+    if x is None:
+        return None
+    f = float(x)
+    if f != f or f != int(f):
+        raise ValueError("not integral")
+    return int(f)
+
+
+def _as_str(x):
+    return None if x is None else str(x)
+
+
+def bar_agg_id(ticker: str, t: int, multiplier: int = 1, timespan: str = "day") -> str:
+    """Same id as `functions.hashing.bar_id`: sha256 of `ticker|t|multiplier|timespan`."""
+    return hashlib.sha256(f"{ticker}|{t}|{multiplier}|{timespan}".encode()).hexdigest()
+
+
+def contracts_from_text(text):
+    """One contract-list response text -> list of contract records; None if unreadable."""
+    if text is None:
+        return []
+    try:
+        body = json.loads(text)
+        out = []
+        for r in body.get("results") or []:
+            out.append({"ticker": _as_str(r.get("ticker")), "underlying_ticker": _as_str(r.get("underlying_ticker")),
+                        "contract_type": _as_str(r.get("contract_type")),
+                        "exercise_style": _as_str(r.get("exercise_style")),
+                        "expiration_date": _as_str(r.get("expiration_date")),
+                        "strike_price": _as_float(r.get("strike_price"))})
+        return out
+    except (ValueError, TypeError, AttributeError):
+        return None
+
+
+def bars_from_text(text):
+    """One aggregates response text -> list of bar records ([] when results are missing).
+
+    Bars with a non-integral volume are left out (the native decoder reports them as dead
+    letters); an unreadable text gives None.
+    """
+    if text is None:
+        return []
+    try:
+        body = json.loads(text)
+        ticker = body.get("ticker")
+        out = []
+        for b in body.get("results") or []:
+            try:
+                vol = _as_int(b.get("v"))
+            except ValueError:
+                continue
+            t = _as_int(b.get("t"))
+            rec = {k: _as_float(b.get(src)) for k, src in _BAR_KEYS.items()}
+            rec.update(volume=vol, timestamp=t, transactions=_as_int(b.get("n")),
+                       agg_id=None if t is None or ticker is None else bar_agg_id(ticker, t))
+            out.append(rec)
+        return out
+    except (ValueError, TypeError, AttributeError):
+        return None
+
+
+contracts_udf = F.udf(contracts_from_text, T.ArrayType(CONTRACT_ITEM), useArrow=True)
+bars_udf = F.udf(lambda s: bars_from_text(s) or [], T.ArrayType(BAR_ITEM), useArrow=True)
+
+BAR_ROW_COLUMNS = ["ticker", "c", "h", "l", "n", "o", "t", "v", "vw"]
+
+
+def bar_rows_from_texts(pdf: pd.DataFrame) -> pd.DataFrame:
+    """G2 body: a batch of response texts -> the bar rows they hold (0..N per text)."""
+    rows = []
+    for text in pdf["value"]:
+        if text is None:
+            continue
+        try:
+            body = json.loads(text)
+        except ValueError:
+            continue
+        ticker = body.get("ticker")
+        for b in body.get("results") or []:
+            try:
+                rows.append((ticker, _as_float(b["c"]), _as_float(b["h"]), _as_float(b["l"]), _as_int(b["n"]),
+                             _as_float(b["o"]), _as_int(b["t"]), _as_int(b["v"]), _as_float(b["vw"])))
+            except (KeyError, ValueError, TypeError):
+                continue
+    out = pd.DataFrame.from_records(rows, columns=BAR_ROW_COLUMNS)
+    return out.astype({"n": "Int32", "t": "Int64", "v": "Int64"})

@@ -1 +1,86 @@
-"""flow_queries"""
+"""Decode-quality, UDF, flatMap and streaming queries (E1, A5, D-U1, D-U2, G2, B2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import testdata as td
+from ..functions.udfs import BAR_ROW_COLUMNS, bar_rows_from_texts, bars_udf, contracts_udf
+from ..operators.generators import flat_map_pandas
+from ..operators.quality import envelope_report
+from ..schemas import BAR
+from ..session import shared_dir
+from ..sources.responses import (as_json_text, bar_response_pages, contract_response_pages,
+                                 split_bar_responses)
+from ..streaming.landing import land_bar_stream
+from .registry import register
+
+v = td.with_views
+
+
+@register("decode_good_bad_split", """
+SELECT reason, count(*) AS n_records FROM (
+  SELECT CASE WHEN l_linenumber = 7 THEN 'malformed'
+              WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN 'malformed'
+              WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN NULL
+              WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN 'fractional_volume'
+              ELSE 'good' END AS reason
+  FROM lineitem) WHERE reason IS NOT NULL GROUP BY reason""")
+def decode_good_bad_split(spark, sf):
+    good, bad, _ = split_bar_responses(td.bar_texts_with_defects(spark, sf))
+    good_n = good.groupBy(F.lit("good").alias("reason")).agg(F.count(F.lit(1)).alias("n_records"))
+    bad_n = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+    return good_n.unionByName(bad_n)
+
+
+@register("quality_envelope_counts", v("""
+, per AS (SELECT ticker, count(*) AS n, (count(*) + 3) // 4 AS pages FROM bars_v GROUP BY ticker)
+SELECT 'OK' AS status, CAST(sum(pages) AS BIGINT) AS n_responses,
+  CAST(sum(CASE WHEN n > 4 THEN pages ELSE 0 END) AS BIGINT) AS n_mismatched,
+  CAST(sum(n * pages) AS BIGINT) AS declared_total, CAST(sum(n) AS BIGINT) AS actual_total FROM per""",
+                                       bars=True))
+def quality_envelope_counts(spark, sf):
+    bars = td.bars(spark, sf)
+    pages = bar_response_pages(bars, 4)
+    # the envelope declares the ticker's total, the page holds at most 4: a count mismatch
+    totals = bars.groupBy("ticker").agg(F.count(F.lit(1)).cast("int").alias("_total"))
+    declared = pages.join(totals, "ticker").withColumn("resultsCount", F.col("_total")).drop("_total")
+    _, _, envelopes = split_bar_responses(as_json_text(declared))
+    return envelope_report(envelopes)
+
+
+@register("udf_array_struct_contracts", v("""
+SELECT ticker, underlying_ticker, contract_type, exercise_style, strftime(expiration_date, '%Y-%m-%d')
+  AS expiration_date, strike_price FROM contracts_v""", contracts=True))
+def udf_array_struct_contracts(spark, sf):
+    texts = as_json_text(contract_response_pages(td.contracts(spark, sf)), drop=["underlying_ticker", "page"])
+    return texts.select(F.explode(contracts_udf("value")).alias("c")).select("c.*")
+
+
+@register("udf_array_struct_bars", v("""
+SELECT ticker, o AS open, h AS high, l AS low, c AS close, v AS volume, vw AS vwap, t AS timestamp,
+  n AS transactions, sha256(ticker || '|' || CAST(t AS VARCHAR) || '|1|day') AS agg_id FROM bars_v""",
+                                     bars=True))
+def udf_array_struct_bars(spark, sf):
+    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    texts = pages.select("ticker", F.to_json(F.struct(*pages.columns)).alias("value"))
+    return texts.select("ticker", F.explode(bars_udf("value")).alias("b")).select("ticker", "b.*")
+
+
+@register("flatmap_map_in_pandas", v("SELECT * FROM bars_v", bars=True))
+def flatmap_map_in_pandas(spark, sf):
+    texts = as_json_text(bar_response_pages(td.bars(spark, sf), 1000))
+    schema = BAR.simpleString()[len("struct<"):-1]
+    return flat_map_pandas(texts, bar_rows_from_texts, schema).select(*BAR_ROW_COLUMNS)
+
+
+@register("stream_land_bars", v("SELECT * FROM bars_v", bars=True))
+def stream_land_bars(spark, sf):
+    landing = shared_dir(spark, "landing", "bars")
+    table = shared_dir(spark, "landed", "bars")
+    dead = shared_dir(spark, "landed", "bars_dead_letter")
+    ckpt = shared_dir(spark, "streams", "land_bars")
+    texts = as_json_text(bar_response_pages(td.bars(spark, sf), 1000))
+    texts.repartition(3).write.text(landing)
+    land_bar_stream(spark, landing, table, ckpt, dead_letter_dir=dead, max_files_per_trigger=1)
+    return spark.read.parquet(table).select(*BAR.fieldNames())

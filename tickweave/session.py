@@ -28,7 +28,9 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # local mode: list many partition folders with a few tasks, not one task per folder
+         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, shuffle_partitions))))
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()

@@ -79,6 +79,41 @@ def ticks(spark: SparkSession, sf_dir: str, ticker: str = "event_type") -> DataF
     )
 
 
+def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aggregates response per line item, some made faulty by fixed rules on the row:
+
+    - line 7: text cut before its closing brace (malformed);
+    - line 6 with return flag R: trade count sent as the text "x" (wrong type -> malformed);
+    - line 5 with return flag N: volume sent as quantity + 0.5 (fractional volume);
+    - line 4 with return flag A: `results` null (no bars, not an error).
+    """
+    from .sources.responses import bar_wire
+
+    li = table(spark, sf_dir, "lineitem")
+    c = F.col("l_extendedprice")
+    o = c * (1 - F.col("l_discount"))
+    h = c * (1 + F.col("l_tax"))
+    low = o * (1 - F.col("l_tax"))
+    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
+    base = li.select(
+        F.col("l_orderkey").cast("string").alias("ticker"), c.alias("c"), h.alias("h"), low.alias("l"),
+        ln.alias("n"), o.alias("o"), epoch_millis("l_shipdate").alias("t"),
+        F.when((ln == 5) & (rf == "N"), F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity")).alias("v"),
+        ((h + low + c) / 3).alias("vw"), ln.alias("_ln"), rf.alias("_rf"))
+    results = F.when((F.col("_ln") == 4) & (F.col("_rf") == "A"), F.lit(None)).otherwise(F.array(bar_wire()))
+    env = base.select(
+        F.lit(True).alias("adjusted"), F.lit(1).alias("count"), F.lit(1).alias("queryCount"),
+        F.concat_ws("-", "ticker", F.col("t").cast("string"), F.col("n").cast("string")).alias("request_id"),
+        results.alias("results"), F.lit(1).alias("resultsCount"), F.lit("OK").alias("status"), "ticker",
+        "_ln", "_rf")
+    js = env.select(F.to_json(F.struct("adjusted", "count", "queryCount", "request_id", "results",
+                                       "resultsCount", "status", "ticker")).alias("j"), "_ln", "_rf")
+    value = (F.when(F.col("_ln") == 7, F.expr("substring(j, 1, length(j) - 1)"))
+             .when((F.col("_ln") == 6) & (F.col("_rf") == "R"), F.regexp_replace("j", '"n":6,', '"n":"x",'))
+             .otherwise(F.col("j")))
+    return js.select(value.alias("value"))
+
+
 # ---- DuckDB twins (same mapping, for oracle SQL) ----
 UNIVERSE_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS underlying_ticker FROM customer"
 
