@@ -1,0 +1,53 @@
+import pandas as pd
+from pyspark.sql import functions as F
+
+from tickweave.operators.batching import assign_batches
+from tickweave.operators.ranking import ordinal_within, previous_close, top_n_per_key
+
+
+def _skewed(spark, n=3000):
+    # one key holds a third of all rows
+    rows = [("HOT" if i % 3 == 0 else f"K{i % 97}", (i * 7919) % 100_003, i) for i in range(n)]
+    return spark.createDataFrame(rows, "k string, x bigint, id bigint")
+
+
+def test_ordinal_matches_brute_force_on_hot_key(spark):
+    df = _skewed(spark)
+    got = ordinal_within(df, ["k"], ["x", "id"], "ord", num_partitions=7).toPandas()
+    pdf = df.toPandas().sort_values(["k", "x", "id"])
+    pdf["want"] = pdf.groupby("k").cumcount()
+    m = got.merge(pdf, on=["k", "x", "id"])
+    assert len(m) == len(pdf) and (m["ord"] == m["want"]).all()
+
+
+def test_global_ordinal(spark):
+    df = _skewed(spark, 500)
+    got = ordinal_within(df, [], ["id"], "ord", num_partitions=5).select("id", "ord").toPandas()
+    assert sorted(got["ord"]) == list(range(500))
+    assert (got.sort_values("id")["ord"].values == range(500)).all()
+
+
+def test_batches_keep_last_partial_block(spark):
+    for n in (0, 1, 2499, 2500, 2501, 5001):
+        df = spark.range(n).withColumnRenamed("id", "row")
+        b = assign_batches(df, ["row"], 2500).groupBy("batch_id").count().toPandas()
+        assert int(b["count"].sum()) == n
+        want = [min(2500, n - 2500 * i) for i in range((n + 2499) // 2500)]
+        assert sorted(b["count"].tolist(), reverse=True) == sorted(want, reverse=True)
+
+
+def test_top_n_per_key(spark):
+    df = _skewed(spark, 600)
+    got = top_n_per_key(df, ["k"], [F.col("x").desc(), F.col("id")], 3).toPandas()
+    pdf = df.toPandas().sort_values(["k", "x", "id"], ascending=[True, False, True])
+    want = pdf.groupby("k").head(3)
+    assert sorted(map(tuple, got[["k", "id"]].values)) == sorted(map(tuple, want[["k", "id"]].values))
+
+
+def test_previous_close_breaks_ties(spark):
+    bars = spark.createDataFrame(
+        [("A", 1.0, 1.0, 1.0, 1, 1.0, 100, 5, 1.0), ("A", 2.0, 2.0, 2.0, 2, 2.0, 100, 5, 2.0),
+         ("A", 9.0, 9.0, 9.0, 1, 9.0, 86_400_000 * 400, 5, 9.0)],
+        "ticker string, c double, h double, l double, n int, o double, t bigint, v bigint, vw double")
+    r = previous_close(bars, "1970-06-01").collect()
+    assert len(r) == 1 and r[0].c == 2.0 and r[0].t == 100

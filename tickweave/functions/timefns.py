@@ -12,7 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 NEW_YORK = "America/New_York"
 
 
@@ -21,8 +22,16 @@ def _c(col) -> Column:
 
 
 def epoch_millis(ntz) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds (bigint)."""
-    return F.timestamp_diff("MILLISECOND", _EPOCH, _c(ntz))
+    """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds (bigint), floor semantics.
+
+    Built from the calendar day and the time-of-day fields, which NTZ values carry without
+    any zone, so the result does not depend on the session time zone (casting to TIMESTAMP
+    would apply the session zone's offset).
+    """
+    c = _c(ntz)
+    millis_of_day = (F.hour(c) * 3_600_000 + F.minute(c) * 60_000
+                     + F.floor(F.date_part(F.lit("SECOND"), c) * 1000)).cast("bigint")
+    return F.unix_date(F.to_date(c)).cast("bigint") * 86_400_000 + millis_of_day
 
 
 def epoch_millis_of_instant(ts) -> Column:
@@ -32,7 +41,7 @@ def epoch_millis_of_instant(ts) -> Column:
 
 def utc_ntz_from_millis(ms) -> Column:
     """Epoch milliseconds -> TIMESTAMP_NTZ holding the UTC wall clock (F9 inverse)."""
-    return F.timestamp_add("MILLISECOND", _c(ms), _EPOCH)
+    return F.timestamp_add("MILLISECOND", _c(ms), _epoch())
 
 
 def instant_from_millis(ms) -> Column:

@@ -19,8 +19,6 @@ from ..schemas import TIMESPANS
 
 _FIXED_MS = {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
-_MONDAY = F.lit("1970-01-05").cast("date")
-_EPOCH_DAY = F.lit("1970-01-01").cast("date")
 
 
 def bucket_start(ntz: Column, multiplier: int, timespan: str) -> Column:
@@ -35,11 +33,12 @@ def bucket_start(ntz: Column, multiplier: int, timespan: str) -> Column:
         return utc_ntz_from_millis(ms - F.pmod(ms, F.lit(width)))
     day = F.to_date(ntz)
     if timespan == "week":
-        days = F.datediff(day, _MONDAY)
-        start = F.date_add(_MONDAY, days - F.pmod(days, F.lit(7 * multiplier)))
+        monday = F.lit("1970-01-05").cast("date")  # the first Monday after the epoch
+        days = F.datediff(day, monday)
+        start = F.date_add(monday, days - F.pmod(days, F.lit(7 * multiplier)))
     else:
         months = (F.year(day) - 1970) * 12 + F.month(day) - 1
-        start = F.add_months(_EPOCH_DAY, months - F.pmod(months, F.lit(_MONTHS[timespan] * multiplier)))
+        start = F.add_months(F.lit("1970-01-01").cast("date"), months - F.pmod(months, F.lit(_MONTHS[timespan] * multiplier)))
     return start.cast("timestamp_ntz")
 
 

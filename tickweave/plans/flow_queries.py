@@ -36,7 +36,7 @@ def decode_good_bad_split(spark, sf):
 @register("quality_envelope_counts", v("""
 , per AS (SELECT ticker, count(*) AS n, (count(*) + 3) // 4 AS pages FROM bars_v GROUP BY ticker)
 SELECT 'OK' AS status, CAST(sum(pages) AS BIGINT) AS n_responses,
-  CAST(sum(CASE WHEN n > 4 THEN pages ELSE 0 END) AS BIGINT) AS n_mismatched,
+  CAST(sum(CASE WHEN n > 4 THEN pages ELSE 0 END) AS BIGINT) AS n_mismatched, CAST(0 AS BIGINT) AS n_undeclared,
   CAST(sum(n * pages) AS BIGINT) AS declared_total, CAST(sum(n) AS BIGINT) AS actual_total FROM per""",
                                        bars=True))
 def quality_envelope_counts(spark, sf):
