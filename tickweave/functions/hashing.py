@@ -36,10 +36,9 @@ def _canonical_text(col: Column, dtype: T.DataType) -> Column:
         text = F.date_format(col, "yyyy-MM-dd")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         text = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # 17 significant digits round-trip every double exactly
-        text = F.format_string("%.17g", col.cast("double"))
     else:
+        # numbers: Spark's text form of a double is the shortest text that reads back to the
+        # same value, so distinct values never share a text
         text = col.cast("string")
     return F.coalesce(text, F.lit(NULL_MARKER))
 
@@ -47,8 +46,9 @@ def _canonical_text(col: Column, dtype: T.DataType) -> Column:
 def row_id(df_schema: T.StructType, cols: list[str]) -> Column:
     """Collision-safe id = SHA-256 over the canonical text of `cols` joined by `|`.
 
-    Text columns escape the separator, nulls become a marker, dates/times/doubles use a fixed
-    format, so equal rows give equal ids and (1, null) differs from (null, 1).
+    Text columns escape the separator, nulls become a marker, dates/times use a fixed format
+    and numbers their shortest exact text, so equal rows give equal ids and (1, null)
+    differs from (null, 1).
     """
     types = {f.name: f.dataType for f in df_schema.fields}
     parts = [_canonical_text(F.col(c), types[c]) for c in cols]

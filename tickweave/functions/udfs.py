@@ -12,9 +12,12 @@ import hashlib
 import json
 
 import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 CONTRACT_ITEM = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("underlying_ticker", T.StringType()),
@@ -104,8 +107,20 @@ def bars_from_text(text):
         return None
 
 
-contracts_udf = F.udf(contracts_from_text, T.ArrayType(CONTRACT_ITEM), useArrow=True)
-bars_udf = F.udf(lambda s: bars_from_text(s) or [], T.ArrayType(BAR_ITEM), useArrow=True)
+_contracts_udf = F.udf(contracts_from_text, T.ArrayType(CONTRACT_ITEM), useArrow=True)
+_bars_udf = F.udf(lambda s: bars_from_text(s) or [], T.ArrayType(BAR_ITEM), useArrow=True)
+
+
+def contracts_udf(col) -> Column:
+    """D-U1: response text -> array<struct<contract>> via a Python UDF (None if unreadable)."""
+    ship_package(SparkSession.active())
+    return _contracts_udf(col)
+
+
+def bars_udf(col) -> Column:
+    """D-U2: response text -> array<struct<bar>> via a Python UDF (unreadable -> [])."""
+    ship_package(SparkSession.active())
+    return _bars_udf(col)
 
 BAR_ROW_COLUMNS = ["ticker", "c", "h", "l", "n", "o", "t", "v", "vw"]
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 
 def explode_records(df: DataFrame, array_col: str, keep: list[str] = (), alias: str = "r",
                     fields: list[str] | None = None) -> DataFrame:
@@ -29,6 +31,8 @@ def flat_map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     `fn` maps an Arrow batch (as pandas) to the records it yields; Spark partitions the
     input and streams batches through it, so nothing is gathered in one place.
     """
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = fn(pdf)

@@ -10,8 +10,8 @@ from ..operators.generators import flat_map_pandas
 from ..operators.quality import envelope_report
 from ..schemas import BAR
 from ..session import shared_dir
-from ..sources.responses import (as_json_text, bar_response_pages, contract_response_pages,
-                                 split_bar_responses)
+from ..sources.responses import (as_json_text, bar_response_pages, classify_bar_responses,
+                                 contract_response_pages, split_bar_responses)
 from ..streaming.landing import land_bar_stream
 from .registry import register
 
@@ -27,10 +27,9 @@ SELECT reason, count(*) AS n_records FROM (
               ELSE 'good' END AS reason
   FROM lineitem) WHERE reason IS NOT NULL GROUP BY reason""")
 def decode_good_bad_split(spark, sf):
-    good, bad, _ = split_bar_responses(td.bar_texts_with_defects(spark, sf))
-    good_n = good.groupBy(F.lit("good").alias("reason")).agg(F.count(F.lit(1)).alias("n_records"))
-    bad_n = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
-    return good_n.unionByName(bad_n)
+    rows = classify_bar_responses(td.bar_texts_with_defects(spark, sf))
+    return rows.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_records"))
 
 
 @register("quality_envelope_counts", v("""

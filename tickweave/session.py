@@ -68,3 +68,45 @@ def ensure_local_dir(path: str) -> None:
     """Create a local folder (used only for the file: scheme, e.g. test landing areas)."""
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `tickweave` importable in executor Python workers (as `--py-files` would).
+
+    Operators that run Python on executors (UDFs, mapInPandas) pickle functions by module
+    reference, so the package must be on the workers' path. Zips the installed package once per
+    application and registers it with `addPyFile`; Spark distributes it to every executor.
+    """
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for root, _dirs, names in os.walk(pkg_dir):
+        if "__pycache__" in root:
+            continue
+        files.extend(os.path.join(root, n) for n in sorted(names) if n.endswith(".py"))
+    digest = hashlib.sha256()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    root_dir = checkpoint_root(spark)
+    target_dir = local_fs_path(root_dir) if is_local_path(root_dir) else tempfile.mkdtemp(prefix="tickweave-py-")
+    target_dir = os.path.join(target_dir, "tickweave", "pyfiles")
+    os.makedirs(target_dir, exist_ok=True)
+    target = os.path.join(target_dir, f"tickweave-{digest.hexdigest()[:16]}.zip")
+    if not os.path.exists(target):
+        tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("tickweave", os.path.relpath(f, pkg_dir)))
+        os.replace(tmp, target)
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

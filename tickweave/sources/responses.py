@@ -75,10 +75,14 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """Parse each text with `schema`; unparsable or wrong-typed texts keep `_corrupt_record`."""
+    """Parse each text with `schema`; unparsable or wrong-typed texts keep `_corrupt_record`.
+
+    A null text parses to a null record and yields no rows downstream. (No `IS NOT NULL`
+    filter here: the optimizer would push it below a projection and inline an expensive
+    text-building expression into the filter.)
+    """
     opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    return texts.where(F.col(col).isNotNull()).select(
-        F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"))
+    return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"))
 
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
@@ -97,27 +101,38 @@ def _bar_problem(b: Column) -> Column:
             .when(F.abs(v) >= F.lit(_MAX_LONG), F.lit("volume_out_of_range")))
 
 
+def classify_bar_responses(texts: DataFrame, col: str = "value") -> DataFrame:
+    """E1 in one pass: every bar of every response, and every unparsable response, as rows
+    `ticker, reason, record, c, h, l, n, o, t, v, vw`. `reason` is null for a good bar;
+    dead letters keep the raw text (`malformed`) or the bar's JSON (rule broken)."""
+    parsed = parse_responses(texts, BAR_RESPONSE, col)
+    corrupt = F.col(f"r.{CORRUPT}").isNotNull()
+    # an unparsable response becomes one placeholder element so it survives the explode
+    items = F.when(corrupt, F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
+    rows = parsed.select(F.col("r.ticker").alias("ticker"), corrupt.alias("_bad"), F.col("_text"),
+                         F.explode(items).alias("b"))
+    reason = F.when(F.col("_bad"), F.lit("malformed")).otherwise(_bar_problem(F.col("b")))
+    record = F.when(F.col("_bad"), F.col("_text")).when(reason.isNotNull(), F.to_json("b"))
+    return rows.select(
+        "ticker", reason.alias("reason"), record.alias("record"),
+        *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
+
+
 def split_bar_responses(texts: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
     """E1 + S6: landed bar-response texts -> (good bars, dead letters, parsed envelopes).
 
     Dead letters: `ticker, reason, record` -- whole responses that do not parse (reason
     `malformed`, raw text kept) and single bars that break a rule (reason per rule, bar JSON
-    kept). Good bars carry the envelope ticker and bigint volume. The three outputs share
-    one parse; persist or land it when more than one is consumed.
+    kept). Good bars carry the envelope ticker and bigint volume. Each output is lazy; when
+    both good and bad rows are written, persist `classify_bar_responses` once (as the
+    streaming landing does) so the texts are parsed a single time.
     """
-    parsed = parse_responses(texts, BAR_RESPONSE, col)
-    ok_env = parsed.where(F.col(f"r.{CORRUPT}").isNull())
-    bad_env = parsed.where(F.col(f"r.{CORRUPT}").isNotNull()).select(
-        F.col("r.ticker").alias("ticker"), F.lit("malformed").alias("reason"), F.col("_text").alias("record"))
-    bars = ok_env.select(F.col("r.ticker").alias("ticker"), F.explode("r.results").alias("b"))
-    bars = bars.withColumn("_problem", _bar_problem(F.col("b")))
-    good = bars.where(F.col("_problem").isNull()).select(
-        "ticker", *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n)
-                    for n in BAR_WIRE.fieldNames()])
-    bad_bars = bars.where(F.col("_problem").isNotNull()).select(
-        "ticker", F.col("_problem").alias("reason"), F.to_json("b").alias("record"))
-    envelopes = ok_env.select("r.*").drop(CORRUPT)
-    return good, bad_env.unionByName(bad_bars), envelopes
+    classified = classify_bar_responses(texts, col)
+    good = classified.where(F.col("reason").isNull()).select("ticker", *BAR_WIRE.fieldNames())
+    bad = classified.where(F.col("reason").isNotNull()).select("ticker", "reason", "record")
+    envelopes = (parse_responses(texts, BAR_RESPONSE, col).where(F.col(f"r.{CORRUPT}").isNull())
+                 .select("r.*").drop(CORRUPT))
+    return good, bad, envelopes
 
 
 def decode_bar_responses(texts: DataFrame, col: str = "value") -> DataFrame:

@@ -50,7 +50,11 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the stand-in table is one file with one row group (one scan task); a real landing is
+    # many files, so spread the rows first, as such a landing would be read, and encode there
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = table(spark, sf_dir, "lineitem")
+    li = li.repartition(n, F.xxhash64("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"))
     c = F.col("l_extendedprice")
     o = c * (1 - F.col("l_discount"))
     h = c * (1 + F.col("l_tax"))
@@ -89,7 +93,11 @@ def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from .sources.responses import bar_wire
 
+    # the stand-in table is one file with one row group (one scan task); a real landing is
+    # many files, so spread the rows first, as such a landing would be read, and encode there
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = table(spark, sf_dir, "lineitem")
+    li = li.repartition(n, F.xxhash64("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"))
     c = F.col("l_extendedprice")
     o = c * (1 - F.col("l_discount"))
     h = c * (1 + F.col("l_tax"))
