@@ -124,7 +124,9 @@ def filter_expired_flag(spark, sf):
 SELECT * FROM bars_v WHERE CAST(make_timestamp(t * 1000) AS DATE)
   BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""", bars=True))
 def filter_bar_range(spark, sf):
-    return W.bars_in_day_range(td.bars(spark, sf), *RANGE)
+    # the same day range on the stored timestamp first, so the scan skips row groups
+    # (PushedFilters); the operator then applies W4 on the bar's epoch-ms `t`
+    return W.bars_in_day_range(td.bars(spark, sf, TF.in_day_range("l_shipdate", *RANGE)), *RANGE)
 
 
 @register("filter_underlying", v(f"""
@@ -344,7 +346,8 @@ WHERE t < epoch_us(TIMESTAMP '{CLOSE_AS_OF}') // 1000
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY t DESC, n DESC, c DESC, o DESC, h DESC, l DESC,
   v DESC, vw DESC) = 1""", bars=True))
 def prev_close(spark, sf):
-    return R.previous_close(td.bars(spark, sf), CLOSE_AS_OF, tiebreak=TIEBREAK)
+    shipped_before = F.col("l_shipdate") < F.lit(CLOSE_AS_OF).cast("timestamp_ntz")  # pushed to the scan
+    return R.previous_close(td.bars(spark, sf, shipped_before), CLOSE_AS_OF, tiebreak=TIEBREAK)
 
 
 @register("distinct_tickers", v("SELECT DISTINCT underlying_ticker FROM contracts_v", contracts=True))

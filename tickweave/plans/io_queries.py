@@ -126,7 +126,8 @@ QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY t DESC, n DESC, c DESC,
   v DESC, vw DESC) = 1""", bars=True))
 def sink_csv_daily(spark, sf):
     root = shared_dir(spark, "daily_closes")
-    closes = R.previous_close(td.bars(spark, sf), CLOSE_AS_OF, tiebreak=TIEBREAK)
+    shipped_before = F.col("l_shipdate") < F.lit(CLOSE_AS_OF).cast("timestamp_ntz")  # pushed to the scan
+    closes = R.previous_close(td.bars(spark, sf, shipped_before), CLOSE_AS_OF, tiebreak=TIEBREAK)
     folder = K.write_daily_csv(closes, root, CLOSE_AS_OF)
     schema = "ticker string, t bigint, n int, c double, o double, h double, l double, v bigint, vw double"
     return spark.read.schema(schema).option("header", True).csv(folder)

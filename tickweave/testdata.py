@@ -49,12 +49,16 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the stand-in table is one file with one row group (one scan task); a real landing is
-    # many files, so spread the rows first, as such a landing would be read, and encode there
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bars(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """Bars view; `where` is an optional predicate on raw line-item columns (applied before the
+    mapping, so it reaches the Parquet scan as a pushed filter)."""
     li = table(spark, sf_dir, "lineitem")
-    li = li.repartition(n, F.xxhash64("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"))
+    if where is not None:
+        li = li.where(where)
+    return bars_from_lineitem(li)
+
+
+def bars_from_lineitem(li: DataFrame) -> DataFrame:
     c = F.col("l_extendedprice")
     o = c * (1 - F.col("l_discount"))
     h = c * (1 + F.col("l_tax"))
