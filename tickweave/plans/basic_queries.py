@@ -295,7 +295,8 @@ def limit_topk(spark, sf):
 
 
 @register("topn_per_key", v(f"""
-SELECT {NARROW}, row_number() OVER (PARTITION BY underlying_ticker ORDER BY expiration_date DESC, ticker) AS rank
+SELECT {NARROW},
+  CAST(row_number() OVER (PARTITION BY underlying_ticker ORDER BY expiration_date DESC, ticker) AS INTEGER) AS rank
 FROM contracts_v QUALIFY rank <= 3""", contracts=True))
 def topn_per_key(spark, sf):
     c = P.contract_columns(td.contracts(spark, sf))
