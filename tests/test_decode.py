@@ -92,3 +92,12 @@ def test_udf_bar_parser_matches_rules():
     assert bars_from_text(CASES["fractional_volume"]) == []
     rec = bars_from_text(CASES["clean"])[0]
     assert rec["high"] == 2.0 and isinstance(rec["high"], float) and rec["volume"] == 10
+
+
+def test_request_key_attributes_unreadable_responses(spark):
+    from tickweave.sources.responses import classify_bar_responses
+    texts = spark.createDataFrame([('{"ticker":"O:A","results":[{"c":1', "O:A"), (CASES["clean"], "O:Z")],
+                                  "value string, request_ticker string")
+    rows = {(r.ticker, r.reason) for r in classify_bar_responses(texts, request_key="request_ticker").collect()}
+    # the truncated body keeps no envelope: its request key names it; a readable envelope wins
+    assert rows == {("O:A", "malformed"), ("O:A", None)}

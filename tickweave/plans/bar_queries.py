@@ -48,6 +48,22 @@ def bars_week(spark, sf_dir):
     return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "event_type"), 1, "week"))
 
 
+_NY_LOCAL = "date_trunc('day', timezone('America/New_York', ts AT TIME ZONE 'UTC'))"
+_NY_DAY_MS = f"epoch_us(timezone('America/New_York', {_NY_LOCAL})) // 1000"
+_MONTH_MS = "epoch_us(date_trunc('month', ts)) // 1000"
+
+
+@register("bars_day_ny", _tick_bars_sql(_NY_DAY_MS, "event_type"))
+def bars_day_ny(spark, sf_dir):
+    """Day bars on New York trading days (bucket starts at New York midnight)."""
+    return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "event_type"), 1, "day", tz="America/New_York"))
+
+
+@register("bars_month", _tick_bars_sql(_MONTH_MS, "user_id"))
+def bars_month(spark, sf_dir):
+    return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "user_id"), 1, "month"))
+
+
 @register("bars_rollup_week", td.with_views(f"""
 , day_bars AS (
   SELECT ticker, {_DAY_MS} AS t,

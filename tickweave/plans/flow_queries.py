@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import testdata as td
 from ..functions.udfs import BAR_ROW_COLUMNS, bar_rows_from_texts, bars_udf, contracts_udf
 from ..operators.generators import flat_map_pandas
-from ..operators.quality import envelope_report
+from ..operators.quality import envelope_report, load_audit
 from ..schemas import BAR
 from ..session import shared_dir
 from ..sources.responses import (as_json_text, bar_response_pages, classify_bar_responses,
@@ -32,6 +32,26 @@ def decode_good_bad_split(spark, sf):
         F.count(F.lit(1)).alias("n_records"))
 
 
+_DEFECT_CASE = """CASE WHEN l_linenumber = 7 OR (l_linenumber = 6 AND l_returnflag = 'R')
+              OR (l_linenumber = 5 AND l_returnflag = 'N') THEN 'failed'
+            WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'none' ELSE 'good' END"""
+
+
+@register("load_audit_failed", v(f"""
+, per_ticker AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
+    count(*) FILTER (WHERE {_DEFECT_CASE} = 'good') AS good,
+    count(*) FILTER (WHERE {_DEFECT_CASE} = 'failed') AS failed
+  FROM lineitem GROUP BY l_orderkey)
+SELECT c.underlying_ticker, count(*) AS n_contracts, count(*) FILTER (WHERE p.good > 0) AS n_with_bars,
+  count(*) FILTER (WHERE coalesce(p.good, 0) = 0) AS n_empty, CAST(coalesce(sum(p.good), 0) AS BIGINT) AS n_bars,
+  CAST(coalesce(sum(p.failed), 0) AS BIGINT) AS n_failed
+FROM contracts_v c LEFT JOIN per_ticker p ON p.ticker = c.ticker GROUP BY c.underlying_ticker""", contracts=True))
+def load_audit_failed(spark, sf):
+    good, bad, _ = split_bar_responses(td.bar_texts_with_defects(spark, sf), request_key="request_ticker")
+    return load_audit(td.contracts(spark, sf), good, dead_letters=bad)
+
+
 @register("quality_envelope_counts", v("""
 , per AS (SELECT ticker, count(*) AS n, (count(*) + 3) // 4 AS pages FROM bars_v GROUP BY ticker)
 SELECT 'OK' AS status, CAST(sum(pages) AS BIGINT) AS n_responses,

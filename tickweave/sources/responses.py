@@ -74,7 +74,8 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
+def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value",
+                    keep: list[str] = ()) -> DataFrame:
     """Parse each text with `schema`; unparsable or wrong-typed texts keep `_corrupt_record`.
 
     A null text parses to a null record and yields no rows downstream. (No `IS NOT NULL`
@@ -82,7 +83,7 @@ def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value")
     text-building expression into the filter.)
     """
     opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"))
+    return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"), *keep)
 
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
@@ -101,15 +102,21 @@ def _bar_problem(b: Column) -> Column:
             .when(F.abs(v) >= F.lit(_MAX_LONG), F.lit("volume_out_of_range")))
 
 
-def classify_bar_responses(texts: DataFrame, col: str = "value") -> DataFrame:
+def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
     """E1 in one pass: every bar of every response, and every unparsable response, as rows
     `ticker, reason, record, c, h, l, n, o, t, v, vw`. `reason` is null for a good bar;
-    dead letters keep the raw text (`malformed`) or the bar's JSON (rule broken)."""
-    parsed = parse_responses(texts, BAR_RESPONSE, col)
+    dead letters keep the raw text (`malformed`) or the bar's JSON (rule broken).
+
+    An unparsable text has no readable envelope, so its ticker is unknown unless the landing
+    kept the request key next to the body: pass that column as `request_key` and it is used
+    whenever the envelope ticker is missing.
+    """
+    parsed = parse_responses(texts, BAR_RESPONSE, col, keep=[request_key] if request_key else [])
     corrupt = F.col(f"r.{CORRUPT}").isNotNull()
     # an unparsable response becomes one placeholder element so it survives the explode
     items = F.when(corrupt, F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
-    rows = parsed.select(F.col("r.ticker").alias("ticker"), corrupt.alias("_bad"), F.col("_text"),
+    ticker = F.coalesce(F.col("r.ticker"), F.col(request_key)) if request_key else F.col("r.ticker")
+    rows = parsed.select(ticker.alias("ticker"), corrupt.alias("_bad"), F.col("_text"),
                          F.explode(items).alias("b"))
     reason = F.when(F.col("_bad"), F.lit("malformed")).otherwise(_bar_problem(F.col("b")))
     record = F.when(F.col("_bad"), F.col("_text")).when(reason.isNotNull(), F.to_json("b"))
@@ -118,7 +125,8 @@ def classify_bar_responses(texts: DataFrame, col: str = "value") -> DataFrame:
         *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
 
 
-def split_bar_responses(texts: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
+def split_bar_responses(texts: DataFrame, col: str = "value",
+                        request_key: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """E1 + S6: landed bar-response texts -> (good bars, dead letters, parsed envelopes).
 
     Dead letters: `ticker, reason, record` -- whole responses that do not parse (reason
@@ -127,7 +135,7 @@ def split_bar_responses(texts: DataFrame, col: str = "value") -> tuple[DataFrame
     both good and bad rows are written, persist `classify_bar_responses` once (as the
     streaming landing does) so the texts are parsed a single time.
     """
-    classified = classify_bar_responses(texts, col)
+    classified = classify_bar_responses(texts, col, request_key)
     good = classified.where(F.col("reason").isNull()).select("ticker", *BAR_WIRE.fieldNames())
     bad = classified.where(F.col("reason").isNotNull()).select("ticker", "reason", "record")
     envelopes = (parse_responses(texts, BAR_RESPONSE, col).where(F.col(f"r.{CORRUPT}").isNull())

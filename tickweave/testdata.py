@@ -94,6 +94,9 @@ def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     - line 6 with return flag R: trade count sent as the text "x" (wrong type -> malformed);
     - line 5 with return flag N: volume sent as quantity + 0.5 (fractional volume);
     - line 4 with return flag A: `results` null (no bars, not an error).
+
+    Columns: `value` (the landed body) and `request_ticker` (the key the request was made
+    for, as a landing keeps it next to the body).
     """
     from .sources.responses import bar_wire
 
@@ -119,11 +122,12 @@ def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
         results.alias("results"), F.lit(1).alias("resultsCount"), F.lit("OK").alias("status"), "ticker",
         "_ln", "_rf")
     js = env.select(F.to_json(F.struct("adjusted", "count", "queryCount", "request_id", "results",
-                                       "resultsCount", "status", "ticker")).alias("j"), "_ln", "_rf")
+                                       "resultsCount", "status", "ticker")).alias("j"), "_ln", "_rf",
+                    F.col("ticker").alias("request_ticker"))
     value = (F.when(F.col("_ln") == 7, F.expr("substring(j, 1, length(j) - 1)"))
              .when((F.col("_ln") == 6) & (F.col("_rf") == "R"), F.regexp_replace("j", '"n":6,', '"n":"x",'))
              .otherwise(F.col("j")))
-    return js.select(value.alias("value"))
+    return js.select(value.alias("value"), "request_ticker")
 
 
 # ---- DuckDB twins (same mapping, for oracle SQL) ----
