@@ -46,7 +46,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="tickweave-ckpt-")
-        spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
+        try:
+            spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
+        except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+            spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)
     return _FALLBACK_ROOT
 
 
@@ -83,8 +86,11 @@ def ship_package(spark: SparkSession) -> None:
     import hashlib
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship as a session artifact instead
+        sc, app = None, f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -108,5 +114,8 @@ def ship_package(spark: SparkSession) -> None:
             for f in files:
                 z.write(f, os.path.join("tickweave", os.path.relpath(f, pkg_dir)))
         os.replace(tmp, target)
-    sc.addPyFile(target)
+    if sc is not None:
+        sc.addPyFile(target)
+    else:
+        spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(app)
