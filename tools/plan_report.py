@@ -25,7 +25,7 @@ def _scan(line: str) -> str:
     head = line[:line.index("Batched")] if "Batched" in line else line[:120]
     parts = [head.rstrip()]
     for key in ("PartitionFilters", "PushedFilters", "ReadSchema"):
-        m = re.search(key + r": (\[[^\]]*\]|struct<[^ ]*)", line)
+        m = re.search(key + r": (\[.*?\](?=, \w+:|$)|struct<[^ ]*)", line)
         if m and m.group(1) not in ("[]",):
             parts.append(f"{key}: {m.group(1)[:200]}")
     return " ".join(parts)
@@ -48,6 +48,7 @@ def outline(plan: str) -> list[str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(shuffle_partitions=16)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     registry.load_all()
     print("# Physical plans (final, after AQE)\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` with local[*], 16 shuffle partitions. "
