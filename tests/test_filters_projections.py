@@ -1,0 +1,43 @@
+import datetime as dt
+
+from tickweave.operators import filters as W
+from tickweave.operators import projections as P
+
+CONTRACT = "underlying_ticker string, ticker string, expiration_date date"
+
+
+def _contracts(spark):
+    d = dt.date(2024, 9, 19)
+    return spark.createDataFrame([("AAPL", "O:1", d - dt.timedelta(days=1)), ("AAPL", "O:2", d),
+                                  ("AAPL", None, d + dt.timedelta(days=1)),
+                                  ("MSFT", "O:3", d - dt.timedelta(days=31))], CONTRACT)
+
+
+def test_expired_flag_boundary(spark):
+    c = _contracts(spark)
+    unexpired = {r.ticker for r in W.by_expired_flag(c, "2024-09-19").collect()}
+    expired = {r.ticker for r in W.by_expired_flag(c, dt.date(2024, 9, 19), expired=True).collect()}
+    assert unexpired == {"O:2", None} and expired == {"O:1", "O:3"}  # expiring on as_of is not expired
+
+
+def test_lookback_and_not_null_and_underlying(spark):
+    c = _contracts(spark)
+    assert {r.ticker for r in W.expiring_since(c, "2024-09-19", 30).collect()} == {"O:1", "O:2", None}
+    assert W.drop_null(c).count() == 3
+    assert {r.ticker for r in W.for_underlyings(c, "MSFT").collect()} == {"O:3"}
+    assert W.for_underlyings(c, ["MSFT", "AAPL"]).count() == 4
+
+
+def test_day_range_keeps_both_end_days(spark):
+    ms = lambda s: int((dt.datetime.fromisoformat(s) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    bars = spark.createDataFrame([(ms("2024-08-19T00:00:00"),), (ms("2024-09-19T23:59:59"),),
+                                  (ms("2024-09-20T00:00:00"),), (ms("2024-08-18T23:59:59"),)], "t bigint")
+    assert W.bars_in_day_range(bars, "2024-08-19", "2024-09-19").count() == 2
+
+
+def test_renames(spark):
+    c = spark.createDataFrame([("call", 5.0, "AAPL")], "contract_type string, strike_price double, underlying_ticker string")
+    assert P.to_camel_case(c).columns == ["contractType", "strikePrice", "underlyingTicker"]
+    assert P.to_snake_case(P.to_camel_case(c)).columns == c.columns
+    b = spark.createDataFrame([(1.0, 2.0, 0.5, 1.5, 10, 1.2, 3, 7)], "o double, h double, l double, c double, v bigint, vw double, t bigint, n int")
+    assert P.bar_long_names(b).columns == ["open", "high", "low", "close", "volume", "vwap", "timestamp", "transactions"]

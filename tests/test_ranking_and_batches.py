@@ -51,3 +51,9 @@ def test_previous_close_breaks_ties(spark):
         "ticker string, c double, h double, l double, n int, o double, t bigint, v bigint, vw double")
     r = previous_close(bars, "1970-06-01").collect()
     assert len(r) == 1 and r[0].c == 2.0 and r[0].t == 100
+
+
+def test_ordinal_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("A", 1)], "k string, x int")
+    got = {(r.k, r.x, r.o) for r in ordinal_within(df, ["k"], ["x"], "o", num_partitions=2).collect()}
+    assert got == {("A", 1, 0), (None, 1, 0), (None, 2, 1)}
