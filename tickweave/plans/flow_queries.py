@@ -13,6 +13,7 @@ from ..session import shared_dir
 from ..sources.responses import (as_json_text, bar_response_pages, classify_bar_responses,
                                  contract_response_pages, split_bar_responses)
 from ..streaming.landing import land_bar_stream
+from .populate import populate
 from .registry import register
 
 v = td.with_views
@@ -52,6 +53,29 @@ def load_audit_failed(spark, sf):
     return load_audit(td.contracts(spark, sf), good, dead_letters=bad)
 
 
+@register("populate_end_to_end", v(f"""
+SELECT sha256(b.ticker || '|' || CAST(b.t AS VARCHAR) || '|1|day') AS agg_id, c.underlying_ticker, b.ticker,
+  b.o AS open, b.h AS high, b.l AS low, b.c AS close, b.v AS volume, b.vw AS vwap, b.t AS timestamp,
+  b.n AS transactions
+FROM contracts_v c JOIN (
+  SELECT CAST(l_orderkey AS VARCHAR) AS ticker, l_extendedprice AS c, l_extendedprice * (1 + l_tax) AS h,
+    l_extendedprice * (1 - l_discount) * (1 - l_tax) AS l, l_linenumber AS n,
+    l_extendedprice * (1 - l_discount) AS o, epoch_us(l_shipdate) // 1000 AS t, CAST(l_quantity AS BIGINT) AS v,
+    (l_extendedprice * (1 + l_tax) + l_extendedprice * (1 - l_discount) * (1 - l_tax) + l_extendedprice) / 3 AS vw
+  FROM lineitem WHERE {_DEFECT_CASE} = 'good') b ON b.ticker = c.ticker""", contracts=True))
+def populate_end_to_end(spark, sf):
+    root = shared_dir(spark, "populate")
+    # land the inputs the way the fetch stage would: a universe CSV, contract-list pages, bar responses
+    (td.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("Symbol"),
+                                            F.col("c_name").alias("Name"))
+     .write.option("header", True).csv(f"{root}/in/universe"))
+    as_json_text(contract_response_pages(td.contracts(spark, sf)), drop=["underlying_ticker", "page"]) \
+        .write.text(f"{root}/in/contracts")
+    td.bar_texts_with_defects(spark, sf).write.json(f"{root}/in/bars")
+    result = populate(spark, f"{root}/in/universe", f"{root}/in/contracts", f"{root}/in/bars", f"{root}/out")
+    return spark.read.parquet(result.rows_path)
+
+
 @register("quality_envelope_counts", v("""
 , per AS (SELECT ticker, count(*) AS n, (count(*) + 3) // 4 AS pages FROM bars_v GROUP BY ticker)
 SELECT 'OK' AS status, CAST(sum(pages) AS BIGINT) AS n_responses,
