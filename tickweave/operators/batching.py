@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..defaults import LANDING_BATCH_ROWS
 from .ranking import ordinal_within
 
-LANDING_BATCH_ROWS = 2500  # fixed value: rows per landing batch
 
 
 def assign_batches(df: DataFrame, order: list[Column | str], size: int = LANDING_BATCH_ROWS,

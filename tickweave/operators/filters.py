@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..defaults import EXPIRY_LOOKBACK_DAYS
 from ..functions.arrays import empty_if_null, nonempty
 from ..functions.timefns import as_date, in_day_range_millis
 
@@ -15,7 +16,7 @@ def drop_null(df: DataFrame, col: str = "ticker") -> DataFrame:
     return df.where(F.col(col).isNotNull())
 
 
-def expiring_since(df: DataFrame, as_of, days: int = 30, col: str = "expiration_date") -> DataFrame:
+def expiring_since(df: DataFrame, as_of, days: int = EXPIRY_LOOKBACK_DAYS, col: str = "expiration_date") -> DataFrame:
     """`expiration_date >= as_of - days`."""
     return df.where(F.col(col) >= F.date_sub(as_date(as_of), days))
 

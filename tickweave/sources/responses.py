@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..defaults import RESPONSE_PAGE_SIZE
 from ..functions.arrays import element_count
 from ..operators.ranking import ordinal_within
 from ..schemas import BAR_RESPONSE, BAR_WIRE, CONTRACT, CONTRACT_RESPONSE
@@ -41,7 +42,7 @@ def bar_wire(v: Column | None = None) -> Column:
                       for n in BAR_WIRE.fieldNames()])
 
 
-def bar_response_pages(bars: DataFrame, page_size: int = 1000, wire_v: Column | None = None,
+def bar_response_pages(bars: DataFrame, page_size: int = RESPONSE_PAGE_SIZE, wire_v: Column | None = None,
                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw")) -> DataFrame:
     """Bars -> one aggregates response per (ticker, page), as struct columns."""
     pages = pack_pages(bars, "ticker", [F.col("t"), *[F.col(c) for c in tiebreak]], bar_wire(wire_v), page_size)
@@ -52,7 +53,7 @@ def bar_response_pages(bars: DataFrame, page_size: int = 1000, wire_v: Column |
         "results", size.alias("resultsCount"), F.lit("OK").alias("status"), "ticker")
 
 
-def contract_response_pages(contracts: DataFrame, page_size: int = 1000) -> DataFrame:
+def contract_response_pages(contracts: DataFrame, page_size: int = RESPONSE_PAGE_SIZE) -> DataFrame:
     """Contracts -> one list response per (underlying, page); `next_url` links the next page."""
     wire = F.struct(*[(F.date_format(n, "yyyy-MM-dd") if n == "expiration_date" else F.col(n)).alias(n)
                       for n in CONTRACT.fieldNames()])
