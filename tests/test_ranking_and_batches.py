@@ -1,4 +1,3 @@
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tickweave.operators.batching import assign_batches

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import testdata as td
 from ..functions import hashing as H
 from ..functions import timefns as TF
-from ..functions.arrays import element_count, first_or_null, keep_fields
+from ..functions.arrays import first_or_null, keep_fields
 from ..functions.casts import narrow_to_float
 from ..operators import filters as W
 from ..operators import joins as J
