@@ -56,3 +56,17 @@ def test_ordinal_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("A", 1)], "k string, x int")
     got = {(r.k, r.x, r.o) for r in ordinal_within(df, ["k"], ["x"], "o", num_partitions=2).collect()}
     assert got == {("A", 1, 0), (None, 1, 0), (None, 2, 1)}
+
+
+def test_top_n_above_window_limit_threshold_uses_ordinals(spark):
+    df = _skewed(spark, 600)
+    order = [F.col("x").desc(), F.col("id")]
+    want = {tuple(r) for r in top_n_per_key(df, ["k"], order, 3, "rank").collect()}
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        got_df = top_n_per_key(df, ["k"], order, 3, "rank")
+        got = {tuple(r) for r in got_df.select(*df.columns, "rank").collect()}
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    assert got == want and len(got) > 0
