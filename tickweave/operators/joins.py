@@ -60,11 +60,17 @@ def contract_documents(contracts: DataFrame, bars: DataFrame, max_per_document:
                     F.transform("_es", lambda e: F.struct(e["timestamp"].alias("timestamp"),
                                                           e["agg_id"].alias("agg_id"))).alias("aggs")))
     narrow = contracts.select("underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price")
-    out = narrow.join(docs, "ticker", "left")
+    cols = ["underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price", "part", "aggs"]
+    # inner join + anti join instead of one left join: in an outer join AQE may only split the
+    # preserved (contract) side, so a ticker with very many parts would sit in one task; an
+    # inner join can be split on either side
+    with_bars = narrow.join(docs, "ticker", "inner").select(*cols)
+    tickers_with_bars = bars.select("ticker").distinct()
     empty = F.array().cast(docs.schema["aggs"].dataType)
-    return out.select("underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price",
-                      F.coalesce("part", F.lit(0)).alias("part"),
-                      F.coalesce("aggs", empty).alias("aggs"))
+    without_bars = narrow.join(tickers_with_bars, "ticker", "left_anti").select(
+        "underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price",
+        F.lit(0).alias("part"), empty.alias("aggs"))
+    return with_bars.unionByName(without_bars)
 
 
 def not_yet_loaded(candidates: DataFrame, landed: DataFrame, key: str = "ticker") -> DataFrame:
