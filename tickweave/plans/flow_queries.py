@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import testdata as td
 from ..functions.udfs import BAR_ROW_COLUMNS, bar_rows_from_texts, bars_udf, contracts_udf
 from ..operators.generators import flat_map_pandas
-from ..operators.quality import envelope_report, load_audit
+from ..operators.quality import envelope_report, load_audit_outcomes
 from ..schemas import BAR
 from ..session import shared_dir
 from ..sources.responses import (as_json_text, bar_response_pages, classify_bar_responses,
@@ -49,8 +49,8 @@ SELECT c.underlying_ticker, count(*) AS n_contracts, count(*) FILTER (WHERE p.go
   CAST(coalesce(sum(p.failed), 0) AS BIGINT) AS n_failed
 FROM contracts_v c LEFT JOIN per_ticker p ON p.ticker = c.ticker GROUP BY c.underlying_ticker""", contracts=True))
 def load_audit_failed(spark, sf):
-    good, bad, _ = split_bar_responses(td.bar_texts_with_defects(spark, sf), request_key="request_ticker")
-    return load_audit(td.contracts(spark, sf), good, dead_letters=bad)
+    outcomes = classify_bar_responses(td.bar_texts_with_defects(spark, sf), request_key="request_ticker")
+    return load_audit_outcomes(td.contracts(spark, sf), outcomes)
 
 
 @register("populate_end_to_end", v(f"""

@@ -4,6 +4,12 @@ JSON text back into rows (S5, S6), routing bad records to a dead-letter table (E
 Decoding is lenient on unknown keys, treats missing/null `results` as empty, and copies the
 envelope `ticker` onto each bar. Volume is read as double, must be integral and within the
 bigint range, and is stored as bigint; anything else is a dead letter, never a silent null.
+
+Decoded rows are produced by a generator (`inline`/`explode`) whose input already folds in the
+corrupt-record check. Later predicates on decoded fields (a join's inferred `ticker IS NOT
+NULL`, a range on `t`) then refer to generator output and stay above it. Otherwise the
+optimizer would push them below the projection and run `from_json` a second time inside a
+filter, possibly in the scan stage.
 """
 
 from __future__ import annotations
@@ -89,9 +95,9 @@ def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value",
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
     """Contract-list responses -> contract rows (expiration parsed to date)."""
-    parsed = parse_responses(texts, CONTRACT_RESPONSE, col).where(F.col(f"r.{CORRUPT}").isNull())
-    rows = parsed.select(F.explode(F.col("r.results")).alias("c"))
-    return rows.select(*[(F.to_date("c.expiration_date") if n == "expiration_date" else F.col(f"c.{n}")).alias(n)
+    parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
+    rows = parsed.select(F.inline(F.when(F.col(f"r.{CORRUPT}").isNull(), F.col("r.results"))))
+    return rows.select(*[(F.to_date("expiration_date") if n == "expiration_date" else F.col(n)).alias(n)
                          for n in CONTRACT.fieldNames()])
 
 
@@ -117,10 +123,12 @@ def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: st
     # an unparsable response becomes one placeholder element so it survives the explode
     items = F.when(corrupt, F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
     ticker = F.coalesce(F.col("r.ticker"), F.col(request_key)) if request_key else F.col("r.ticker")
-    rows = parsed.select(ticker.alias("ticker"), corrupt.alias("_bad"), F.col("_text"),
-                         F.explode(items).alias("b"))
+    raw = F.when(corrupt, F.col("_text"))  # the raw text travels only with unparsable responses
+    elements = F.transform(items, lambda b: F.struct(ticker.alias("ticker"), corrupt.alias("_bad"),
+                                                     raw.alias("_raw"), b.alias("b")))
+    rows = parsed.select(F.inline(elements))
     reason = F.when(F.col("_bad"), F.lit("malformed")).otherwise(_bar_problem(F.col("b")))
-    record = F.when(F.col("_bad"), F.col("_text")).when(reason.isNotNull(), F.to_json("b"))
+    record = F.when(F.col("_bad"), F.col("_raw")).when(reason.isNotNull(), F.to_json("b"))
     return rows.select(
         "ticker", reason.alias("reason"), record.alias("record"),
         *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
@@ -139,8 +147,8 @@ def split_bar_responses(texts: DataFrame, col: str = "value",
     classified = classify_bar_responses(texts, col, request_key)
     good = classified.where(F.col("reason").isNull()).select("ticker", *BAR_WIRE.fieldNames())
     bad = classified.where(F.col("reason").isNotNull()).select("ticker", "reason", "record")
-    envelopes = (parse_responses(texts, BAR_RESPONSE, col).where(F.col(f"r.{CORRUPT}").isNull())
-                 .select("r.*").drop(CORRUPT))
+    parsed = parse_responses(texts, BAR_RESPONSE, col)
+    envelopes = parsed.select(F.inline(F.when(F.col(f"r.{CORRUPT}").isNull(), F.array(F.col("r"))))).drop(CORRUPT)
     return good, bad, envelopes
 
 
