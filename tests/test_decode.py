@@ -101,3 +101,15 @@ def test_request_key_attributes_unreadable_responses(spark):
     rows = {(r.ticker, r.reason) for r in classify_bar_responses(texts, request_key="request_ticker").collect()}
     # the truncated body keeps no envelope: its request key names it; a readable envelope wins
     assert rows == {("O:A", "malformed"), ("O:A", None)}
+
+
+def test_contract_dead_letters(spark):
+    from tickweave.sources.responses import classify_contract_responses
+    texts = [json.dumps({"results": [{"ticker": "O:1", "expiration_date": "2024-09-20"},
+                                     {"ticker": "O:2", "expiration_date": "2024-09-27"}]}),
+             '{"results": [{"ticker": "O:3"', None, json.dumps({"results": None})]
+    rows = classify_contract_responses(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    good = sorted(r.ticker for r in rows if r.reason is None)
+    bad = [r for r in rows if r.reason is not None]
+    assert good == ["O:1", "O:2"]
+    assert len(bad) == 1 and bad[0].reason == "malformed" and bad[0].record.startswith('{"results"')

@@ -93,8 +93,24 @@ def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value",
     return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"), *keep)
 
 
+def classify_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
+    """E1 for contract lists, one parse: a row per contract (`reason` null) plus one row per
+    unreadable response (`reason` = `malformed`, raw text in `record`, contract fields null)."""
+    parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
+    corrupt = F.col(f"r.{CORRUPT}").isNotNull()
+    items = F.when(corrupt, F.array(F.lit(None).cast(CONTRACT_RESPONSE["results"].dataType.elementType))) \
+        .otherwise(F.col("r.results"))
+    raw = F.when(corrupt, F.col("_text"))
+    rows = parsed.select(F.inline(F.transform(items, lambda c: F.struct(
+        F.when(corrupt, F.lit("malformed")).alias("reason"), raw.alias("record"), c.alias("c")))))
+    return rows.select("reason", "record",
+                       *[(F.to_date(f"c.{n}") if n == "expiration_date" else F.col(f"c.{n}")).alias(n)
+                         for n in CONTRACT.fieldNames()])
+
+
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
-    """Contract-list responses -> contract rows (expiration parsed to date)."""
+    """Contract-list responses -> contract rows (expiration parsed to date); see
+    `classify_contract_responses` for the unreadable ones."""
     parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
     rows = parsed.select(F.inline(F.when(F.col(f"r.{CORRUPT}").isNull(), F.col("r.results"))))
     return rows.select(*[(F.to_date("expiration_date") if n == "expiration_date" else F.col(n)).alias(n)
