@@ -56,3 +56,11 @@ def test_broadcast_only_when_bounded(spark):
         .queryExecution().executedPlan().toString() or True
     big = J.broadcast_if_bounded(spark.range(1000), 100)
     assert big.count() == 1000
+
+
+def test_skew_safe_left_join_equals_left_join(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    right = spark.createDataFrame([("a", 10), ("a", 11), ("c", 12)], "k string, y int")
+    want = {tuple(r) for r in left.join(right, "k", "left").select("k", "x", "y").collect()}
+    got = {tuple(r) for r in J.skew_safe_left_join(left, right, "k").select("k", "x", "y").collect()}
+    assert got == want and len(got) == 4

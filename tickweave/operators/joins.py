@@ -24,6 +24,20 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return df
 
 
+def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Same rows as `left.join(right, key, "left")`, built as inner join + anti join.
+
+    In an outer join AQE may only split the preserved (left) side; when the other side holds a
+    hot key (a ticker with very many rows) that key would sit in one task. An inner join can be
+    split on either side; left rows without a match come from the anti join with nulls.
+    """
+    matched = left.join(right, key, "inner")
+    extra = [c for c in right.columns if c != key]
+    unmatched = left.join(right.select(key).distinct(), key, "left_anti").select(
+        "*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
+    return matched.unionByName(unmatched)
+
+
 def universe_contracts(universe: DataFrame, contracts: DataFrame,
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Contracts of each listed underlying (symbols with none disappear, like explode).

@@ -103,8 +103,8 @@ def proj_bar_names(spark, sf):
 SELECT u.underlying_ticker, c.ticker FROM universe_v u LEFT JOIN contracts_v c
   ON c.underlying_ticker = u.underlying_ticker WHERE c.ticker IS NOT NULL""", universe=True, contracts=True))
 def filter_not_null(spark, sf):
-    joined = td.universe(spark, sf).join(td.contracts(spark, sf).select("underlying_ticker", "ticker"),
-                                         "underlying_ticker", "left")
+    joined = J.skew_safe_left_join(td.universe(spark, sf),
+                                   td.contracts(spark, sf).select("underlying_ticker", "ticker"), "underlying_ticker")
     return W.drop_null(joined, "ticker")
 
 
@@ -154,7 +154,7 @@ FROM contracts_v c LEFT JOIN (
     FROM bars_v) GROUP BY ticker, page) p ON p.ticker = c.ticker""", contracts=True, bars=True))
 def coalesce_empty_array(spark, sf):
     pages = bar_response_pages(td.bars(spark, sf), 1000).select("ticker", "request_id", "results")
-    joined = td.contracts(spark, sf).select("ticker").join(pages, "ticker", "left")
+    joined = J.skew_safe_left_join(td.contracts(spark, sf).select("ticker"), pages, "ticker")
     fixed = W.null_results_to_empty(joined, "results")
     return fixed.select("ticker",
                         F.coalesce(F.split_part("request_id", F.lit("-"), F.lit(-1)).cast("int"), F.lit(0)).alias("page"),
