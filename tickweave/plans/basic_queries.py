@@ -120,6 +120,12 @@ def filter_expired_flag(spark, sf):
     return P.contract_columns(W.by_expired_flag(td.contracts(spark, sf), AS_OF, expired=False))
 
 
+@register("filter_expired_true", v(f"""
+SELECT {NARROW} FROM contracts_v WHERE expiration_date < DATE '{AS_OF}'""", contracts=True))
+def filter_expired_true(spark, sf):
+    return P.contract_columns(W.by_expired_flag(td.contracts(spark, sf), AS_OF, expired=True))
+
+
 @register("filter_bar_range", v(f"""
 SELECT * FROM bars_v WHERE CAST(make_timestamp(t * 1000) AS DATE)
   BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""", bars=True))
@@ -287,6 +293,13 @@ def sort_bars(spark, sf):
     return R.with_sequence(td.bars(spark, sf), tiebreak=TIEBREAK)
 
 
+@register("sort_bars_desc", v("""
+SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY t DESC, n DESC, c DESC, o DESC, h DESC, l DESC,
+  v DESC, vw DESC) AS seq FROM bars_v""", bars=True))
+def sort_bars_desc(spark, sf):
+    return R.with_sequence(td.bars(spark, sf), descending=True, tiebreak=TIEBREAK)
+
+
 @register("limit_topk", v(f"""
 SELECT {NARROW} FROM contracts_v ORDER BY strike_price DESC, ticker LIMIT 100""", contracts=True))
 def limit_topk(spark, sf):
