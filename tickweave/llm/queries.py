@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import sharding, url_filters
+from . import packing, sharding, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -23,6 +23,16 @@ def query(fn):
     return fn
 
 
+WINDOW = 1024
+END_OF_DOCUMENT = 0
+
+
+@query
+def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return packing.pack(docs, WINDOW, end_id=END_OF_DOCUMENT)
+
+
 @query
 def op2_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
