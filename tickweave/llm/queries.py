@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import packing, sharding, url_filters
+from . import packing, sharding, token_files, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -78,3 +78,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality(docs, keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+END_ID = 2
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.read_token_files(token_files.write_token_files(docs, END_ID))
