@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import packing, sharding, token_files, url_filters
+from . import bpe, packing, sharding, token_files, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -87,3 +87,12 @@ END_ID = 2
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.read_token_files(token_files.write_token_files(docs, END_ID))
+
+
+@query
+def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs))
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
