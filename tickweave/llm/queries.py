@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import bpe, packing, sharding, token_files, url_filters
+from . import bpe, html_extract, packing, sharding, token_files, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -96,3 +96,9 @@ def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages)
