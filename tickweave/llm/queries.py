@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import bpe, html_extract, packing, sharding, token_files, url_filters
+from . import bpe, html_extract, packing, sharding, simhash, token_files, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -102,3 +102,13 @@ def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extract.extract(pages)
+
+
+SHINGLE = 3
+MAX_DISTANCE = 3
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, SHINGLE, MAX_DISTANCE)
