@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import bpe, html_extract, packing, sharding, simhash, token_files, url_filters
+from . import bpe, e8_lattice, html_extract, packing, sharding, simhash, token_files, url_filters
 from .common import table
 
 QUERIES: dict = {}
@@ -112,3 +112,12 @@ MAX_DISTANCE = 3
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, SHINGLE, MAX_DISTANCE)
+
+
+LINK_COSINE = 0.9
+
+
+@query
+def op10_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return e8_lattice.near_duplicates(vectors, LINK_COSINE)
