@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ship_package
 
-CACHE_ENTRIES = 1_000_000  # per Python worker; the cache starts anew beyond it
+CACHE_ENTRIES = 600_000  # per Python worker; what comes later is worked out each time
+SLICE = 256              # documents in an output batch
 _WORKER: dict[tuple, "Codec"] = {}
 
 
@@ -85,7 +86,8 @@ class Vocabulary:
         known = self._follows.get((first, second))
         if known is None:
             known = self.reached(second) and self._apart(first, second)
-            self._follows[first, second] = known
+            if len(self._follows) < CACHE_ENTRIES:
+                self._follows[first, second] = known
         return known
 
     def _apart(self, first: int, second: int) -> bool:
@@ -162,12 +164,12 @@ class _Chunks(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
         raw = piece.encode("utf-8", "surrogatepass")
         token = self.vocabulary.rank.get(raw)
         ids = [token] if token is not None else PrefixTokens(self.vocabulary, raw).ids()
-        self[piece] = out = np.array(ids, "<u4").tobytes()
+        out = np.array(ids, "<u4").tobytes()
+        if len(self) < CACHE_ENTRIES:
+            self[piece] = out
         return out
 
 
@@ -209,21 +211,30 @@ def worker_codec(path: str, pattern: str) -> Codec:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None,
-           pattern: str | None = None) -> DataFrame:
-    """One row per document: the key and `ids` (little-endian unsigned 32-bit). A null or empty text
-    has no ids; repeated rows are encoded each; other columns are not read."""
+           pattern: str | None = None, decoded: bool = False) -> DataFrame:
+    """One row per document: the key and `ids` (little-endian unsigned 32-bit), and if asked
+    `decoded`, the bytes that the ids stand for. A null or empty text has no ids; repeated rows
+    are encoded each; an empty table stays empty; other columns are not read."""
     ship_package(docs.sparkSession)
     path, pattern = vocabulary or ranks_path(), pattern or piece_pattern()
     key_type = docs.schema[key].dataType.simpleString()
+    names = [key, "ids"] + (["decoded"] if decoded else [])
 
     def work(batches):
         codec = worker_codec(path, pattern)
-        for b in batches:
-            ids = [codec.encode(t or "").tobytes() for t in b["text"].to_pylist()]
-            yield pa.record_batch([b[0], pa.array(ids, pa.binary())], [key, "ids"])
+        for b in (part for whole in batches for part in _slices(whole)):
+            ids = [codec.encode(t or "") for t in b["text"].to_pylist()]
+            columns = [b[0], pa.array([i.tobytes() for i in ids], pa.binary())]
+            if decoded:
+                columns.append(pa.array(map(codec.decode, ids), pa.binary()))
+            yield pa.record_batch(columns, names)
 
     rows = docs.select(F.col(key), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, f"`{key}` {key_type}, ids binary")
+    return rows.mapInArrow(work, f"`{key}` {key_type}, ids binary" + (", decoded binary" if decoded else ""))
+
+
+def _slices(batch: pa.RecordBatch):
+    return (batch.slice(at, SLICE) for at in range(0, batch.num_rows, SLICE))
 
 
 def decode(encoded: DataFrame, ids: str = "ids", vocabulary: str | None = None,
@@ -237,7 +248,7 @@ def decode(encoded: DataFrame, ids: str = "ids", vocabulary: str | None = None,
 
     def work(batches):
         codec = worker_codec(path, pattern)
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole)):
             raw = [None if i is None else codec.decode(np.frombuffer(i, "<u4")) for i in b[ids].to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(raw, pa.binary())], [*b.schema.names, out])
 
