@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import bpe, e8_lattice, html_extract, packing, sharding, simhash, token_files, url_filters
+from . import (bpe, e8_lattice, html_extract, packing, sharding, simhash, suffix_dedup, token_files,
+               url_filters)
 from .common import table
 
 QUERIES: dict = {}
@@ -121,3 +122,10 @@ LINK_COSINE = 0.9
 def op10_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return e8_lattice.near_duplicates(vectors, LINK_COSINE)
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
