@@ -42,12 +42,13 @@ def stars(pairs: DataFrame) -> DataFrame:
 
 
 def connected_components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Columns node and label: for each row of `nodes` (node unique) the least label in its
-    component over `pairs` (a, b)."""
+    """Columns node, root and label: for each row of `nodes` (node unique, label) the least node and
+    the least label in its component over `pairs` (a, b)."""
     tied = stars(pairs)
     member = tied.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
         tied.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
     member = land(member, "members")
     least = member.join(nodes, "node").groupBy("root").agg(F.min("label").alias("least"))
-    named = member.join(least, "root").select("node", "least")
-    return nodes.join(named, "node", "left").select("node", F.coalesce("least", "label").alias("label"))
+    named = member.join(least, "root")
+    return nodes.join(named, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("least", "label").alias("label"))

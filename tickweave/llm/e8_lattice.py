@@ -246,7 +246,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, key: str = "vec_id",
     parts = connected_components(sizes.select(F.col("ball").alias("node"), "label"), crossing.select("a", "b"))
     cross = crossing.groupBy("vid").agg(F.sum("n").alias("cross"))
     known = (member.join(sizes.select("ball", "total"), "ball")
-             .join(parts.withColumnRenamed("node", "ball"), "ball").join(cross, "vid", "left")
+             .join(parts.select(F.col("node").alias("ball"), "label"), "ball").join(cross, "vid", "left")
              .select("vid", (F.col("total") - 1 + F.coalesce("cross", F.lit(0))).alias("n_links"),
                      F.col("label").alias("component_id")))
     of_row = sound.select("row", "v").join(same.select("v", "vid"), "v").join(known, "vid") \

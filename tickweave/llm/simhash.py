@@ -46,18 +46,25 @@ def fingerprint(text: str, shingle: int) -> bytes:
     return np.packbits(2 * ones > len(rows)).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and `fp` (signed 64-bit) of every row; a null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text",
+                 keep: list[str] | None = None) -> DataFrame:
+    """Key, the columns `keep` and `fp` (signed 64-bit) of every row; a null text has no words."""
     ship_package(docs.sparkSession)
-    key_type = docs.schema[key].dataType.simpleString()
+    keep = [key, *(keep or [])]
+    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def work(batches):
         for b in batches:
-            raw = b"".join(fingerprint(t or "", shingle) for t in b["text"].to_pylist())
-            yield pa.record_batch([b[0], pa.array(np.frombuffer(raw, ">i8").astype(np.int64))], [key, "fp"])
+            raw = b"".join(fingerprint(t or "", shingle) for t in b[len(keep)].to_pylist())
+            fp = pa.array(np.frombuffer(raw, ">i8").astype(np.int64))
+            yield pa.record_batch([*b.columns[:len(keep)], fp], [*keep, "fp"])
 
-    return docs.select(F.col(key), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(work, f"`{key}` {key_type}, fp bigint")
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text")) \
+        .mapInArrow(work, f"{kept}, fp bigint")
+
+
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -67,10 +74,6 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _signed(bits: int) -> int:
-    return bits - (1 << 64) if bits >> 63 else bits
-
-
 def links(distinct: DataFrame, distance: int) -> DataFrame:
     """Pairs a, b of different fingerprints (column fp of `distinct`) at most `distance` bits apart;
     a pair may come more than once."""
@@ -102,6 +105,14 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
     return asked.join(table, ["seg", "value"]).where(near).select("a", "b")
 
 
+def _components(marked: DataFrame, distance: int, key: str) -> DataFrame:
+    """fp, root and label (the least fingerprint and key of its component) of all fingerprints."""
+    distinct = land(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
+    pairs = links(distinct.select("fp"), distance)
+    return connected_components(distinct.select(F.col("fp").alias("node"), F.col("first").alias("label")),
+                                pairs).withColumnRenamed("node", "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per row of `docs`: the key, fingerprint (16 lower-case hex digits) and component_id,
@@ -111,10 +122,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: s
     get a row; a null key is reachable but never the smallest unless there is no other; an empty
     table gives an empty result; other columns are not read."""
     marked = land(fingerprints(docs, shingle, key, text), "fingerprints")
-    distinct = land(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
-    pairs = links(distinct.select("fp"), distance)
-    parts = connected_components(distinct.select(F.col("fp").alias("node"), F.col("first").alias("label")),
-                                 pairs)
-    return (marked.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
+    return (marked.join(_components(marked, distance, key), "fp", "left")
             .select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.col("label").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """The rows of `docs` that stand for their component: one for each, of its smallest key (a null
+    key only where there is no other), and of several rows with that key the one whose text has
+    the smallest hash. Nulls, repeats and empty tables as in `near_duplicates`."""
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col(text)))
+    marked = land(fingerprints(hashed, shingle, key, text, ["_text_hash"]), "fingerprints")
+    first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("_key"), "_text_hash"))
+    chosen = marked.join(_components(marked, distance, key), "fp") \
+        .groupBy("root").agg(first.alias("w")).select("w._key", F.col("w._text_hash").alias("_hash"))
+    return (hashed.join(chosen, F.col(key).eqNullSafe(F.col("_key"))
+                        & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+            .dropDuplicates([key, "_text_hash"]).select(*docs.columns))

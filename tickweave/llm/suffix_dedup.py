@@ -419,11 +419,12 @@ def _verdicts(spans: DataFrame) -> DataFrame:
     return spans.groupBy("bucket").applyInArrow(work, RANGES)
 
 
-def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list) -> DataFrame:
+def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list, as_text: bool) -> DataFrame:
     """One row per document: key, carried columns, n_bytes, n_removed, n_spans, kept."""
     names = [f.name for f in carried]
     schema = ", ".join([f"`{key}` bigint", *[f"`{f.name}` {f.dataType.simpleString()}" for f in carried],
-                        "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept binary"])
+                        "n_bytes bigint", "n_removed bigint", "n_spans bigint",
+                        "kept string" if as_text else "kept binary"])
 
     def work(group, left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
@@ -449,7 +450,7 @@ def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list) -> DataF
             rest = pa.ipc.open_stream(zstandard.decompress(rows[0]["carried"])).read_all()
             columns += [rest[c].combine_chunks() for c in names]
         columns += [pa.array(shard.lengths), pa.array(removed), pa.array(rise[shard.ends] - rise[shard.starts]),
-                    pa.array(kept, pa.binary())]
+                    pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())]
         return pa.table(columns, [key, *names, "n_bytes", "n_removed", "n_spans", "kept"])
 
     columns = ["shard", "ids", "lengths", "text"] + (["carried"] if names else [])
@@ -457,9 +458,11 @@ def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list) -> DataF
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                   carry: list[str] | None = None, bucket_bytes: int = SHARD_BYTES) -> DataFrame:
+                   carry: list[str] | None = None, as_text: bool = False,
+                   bucket_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of `docs`: the key (as long), the `carry` columns, n_bytes, n_removed, n_spans
-    (maximal removed runs) and kept (the remaining bytes; characters may be cut).
+    (maximal removed runs) and kept: the remaining bytes, in which characters may be cut, or with
+    `as_text` the text without cut characters.
 
     A null or empty text has no bytes; texts shorter than a window keep all; a null key counts as
     larger than every other; rows of one key do not remove from each other; an empty table gives
@@ -474,4 +477,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spans = land(_spans(shards, shared, buckets), "spans")
     found = spans.where("bucket >= 0").drop("first", "last")
     ranges = spans.where("bucket < 0").select("shard", "first", "last").union(_verdicts(found))
-    return _cut(shards, ranges, key, carried)
+    return _cut(shards, ranges, key, carried, as_text)
