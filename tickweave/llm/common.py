@@ -14,11 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def land(df: DataFrame, label: str) -> DataFrame:
+def slices(batches, rows: int):
+    """Record batches of at most `rows` rows, so that what a task makes of one stays small."""
+    return (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+
+def land(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder of spark.checkpoint.dir and read it back:
     a lineage cut that survives lost executors, with its rows and partition numbers fixed."""
     path = shared_dir(df.sparkSession, "llm", label)
-    df.write.parquet(path)
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._landed_at = path
     return out
@@ -55,5 +60,5 @@ def bases(numbered: DataFrame, group: list[str], amount) -> DataFrame:
     return per.withColumn("base", F.coalesce(F.sum("amount_sum").over(w), F.lit(0)).cast("long"))
 
 
-__all__ = ["table", "land", "drop_landed", "shuffle_partitions", "task_ordinals", "bases",
+__all__ = ["table", "land", "slices", "drop_landed", "shuffle_partitions", "task_ordinals", "bases",
            "ship_package", "shared_dir"]

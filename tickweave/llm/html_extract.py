@@ -209,8 +209,10 @@ def extract(pages: DataFrame, keep: list[str] | None = None, url: str = "url", p
     ship_package(pages.sparkSession)
     keep = [c for c in (keep or [c for c in pages.columns if c != page]) if c not in ("text", "n_chars")]
     parsed = land(_parsed(pages, keep, url, page), "pages")
-    template = templates(parsed.select(*("_" + c for c in OWN)).toDF(*OWN), support, min_pages) \
-        .withColumnRenamed("host", "_of")
+    # landed, so that its size is known: Spark broadcasts it below the session's threshold only,
+    # and beyond joins by host, splitting the rows of a large one
+    template = land(templates(parsed.select(*("_" + c for c in OWN)).toDF(*OWN), support, min_pages)
+                    .withColumnRenamed("host", "_of"), "templates")
     joined = parsed.drop("_tokens").join(template, F.col("_host") == F.col("_of"), "left")
     slots = F.when(F.col("template").isNull(), F.col("_blocks")).otherwise(
         F.filter("_blocks", lambda b: ~F.array_contains(F.col("template"), b["token"])))
