@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship_package
+from .common import ship_package, slices
 
 CACHE_ENTRIES = 600_000  # per Python worker; what comes later is worked out each time
 SLICE = 256              # documents in an output batch
@@ -222,7 +222,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
 
     def work(batches):
         codec = worker_codec(path, pattern)
-        for b in (part for whole in batches for part in _slices(whole)):
+        for b in slices(batches, SLICE):
             ids = [codec.encode(t or "") for t in b["text"].to_pylist()]
             columns = [b[0], pa.array([i.tobytes() for i in ids], pa.binary())]
             if decoded:
@@ -233,10 +233,6 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     return rows.mapInArrow(work, f"`{key}` {key_type}, ids binary" + (", decoded binary" if decoded else ""))
 
 
-def _slices(batch: pa.RecordBatch):
-    return (batch.slice(at, SLICE) for at in range(0, batch.num_rows, SLICE))
-
-
 def decode(encoded: DataFrame, ids: str = "ids", vocabulary: str | None = None,
            pattern: str | None = None, out: str = "decoded") -> DataFrame:
     """`encoded` with the bytes its ids stand for as column `out` (replaced if there); null ids give
@@ -248,7 +244,7 @@ def decode(encoded: DataFrame, ids: str = "ids", vocabulary: str | None = None,
 
     def work(batches):
         codec = worker_codec(path, pattern)
-        for b in (part for whole in batches for part in _slices(whole)):
+        for b in slices(batches, SLICE):
             raw = [None if i is None else codec.decode(np.frombuffer(i, "<u4")) for i in b[ids].to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(raw, pa.binary())], [*b.schema.names, out])
 

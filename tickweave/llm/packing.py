@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from .common import land, ship_package
+from .common import land, ship_package, slices
 from .tokens import bpe_json_path, worker_encoder
 
 PIECES = ("doc_id {key}, source string, start bigint, length bigint, ids_crc32 bigint, "
@@ -145,7 +144,7 @@ def _tokenised(docs: DataFrame, key: str, text: str, source: str, path: str,
         tail = b"" if end_id is None else end_id.to_bytes(enc.width, "little")
         pid = TaskContext.get().partitionId()
         queued: dict[str, int] = {}
-        for b in batches:
+        for b in slices(batches, 512):
             ids = [enc.encode(t or "") + tail for t in b["text"].to_pylist()]
             n = [len(i) // enc.width for i in ids]
             before = []
@@ -175,7 +174,8 @@ def pack(docs: DataFrame, window: int = 1024, targets: dict[str, float] | None =
     ship_package(docs.sparkSession)
     path = vocabulary or bpe_json_path()
     key_type = docs.schema[key].dataType.simpleString()
-    tokens = land(_tokenised(docs, key, text, source, path, end_id).where("n_tokens > 0"), "tokens")
+    tokens = land(_tokenised(docs, key, text, source, path, end_id).where("n_tokens > 0"), "tokens",
+                  **{"compression": "snappy", "parquet.enable.dictionary": "false"})
     per_task = tokens.groupBy("pid", "source").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.partitionBy("source").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     places = land(per_task.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))),
@@ -189,41 +189,44 @@ def pack(docs: DataFrame, window: int = 1024, targets: dict[str, float] | None =
     schema = PIECES.format(key=key_type) + (", ids binary" if with_ids else "")
     arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
 
-    def cut(rows, queue):
-        """The pieces of documents that follow each other in a queue: (doc_id, first, n, ids)."""
+    def cut(queue, run):
+        """The pieces of documents that follow each other in a queue, as columns."""
         enc = worker_encoder(path)
-        w, bounds, head = schedule.windows_of(number[queue], rows[0][1], rows[-1][1] + rows[-1][2], window)
-        begins = np.array([r[1] for r in rows], np.int64)
-        ends = begins + np.array([r[2] for r in rows], np.int64)
-        lo = np.searchsorted(bounds, begins, "right") - 1
-        hi = np.searchsorted(bounds, ends, "left")
-        marks, heads, numbers = bounds.tolist(), head.tolist(), w.tolist()
-        for (doc_id, first, n, raw), k0, k1 in zip(rows, lo.tolist(), hi.tolist(), strict=True):
-            wide = np.frombuffer(raw, enc.dtype).astype("<u4").tobytes()
-            for k in range(k0, k1):
-                a, z = max(first, marks[k]), min(first + n, marks[k + 1])
-                if a < z:
-                    part = wide[4 * (a - first):4 * (z - first)]
-                    yield (doc_id, queue, a - first, z - a, zlib.crc32(part), n, numbers[k],
-                           heads[k] + a - marks[k], *([part] if with_ids else []))
+        doc, first, n, raws = zip(*run, strict=True)
+        begin, n = np.array(first, np.int64), np.array(n, np.int64)
+        end = begin + n
+        w, bounds, head = schedule.windows_of(number[queue], first[0], int(end[-1]), window)
+        lo = np.searchsorted(bounds, begin, "right") - 1
+        count = np.searchsorted(bounds, end, "left") - lo
+        row = np.repeat(np.arange(len(run)), count)  # a row for each window a document reaches
+        k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
+        a, z = np.maximum(begin[row], bounds[k]), np.minimum(end[row], bounds[k + 1])
+        some = a < z  # a window may hold nothing of the queue
+        row, k, a, z = row[some], k[some], a[some], z[some]
+        wide = memoryview(np.frombuffer(b"".join(raws), enc.dtype).astype("<u4").tobytes())
+        parts = [wide[x:y] for x, y in zip((4 * (a - first[0])).tolist(), (4 * (z - first[0])).tolist(),
+                                           strict=True)]
+        columns = [pa.array(doc, arrow_schema[0].type).take(pa.array(row)), pa.repeat(queue, len(row)),
+                   a - begin[row], z - a, np.fromiter(map(zlib.crc32, parts), np.int64, len(row)),
+                   n[row], w[k], head[k] + a - bounds[k]]
+        return columns + ([pa.array(list(map(bytes, parts)), pa.binary())] if with_ids else [])
 
     def pieces(batches):
-        for b in batches:
+        for b in slices(batches, 2500):
             first = (b["base"].to_numpy() + b["before"].to_numpy()).tolist()
             source_, doc, n, ids = (b[c].to_pylist() for c in ("source", "doc_id", "n_tokens", "ids"))
             order = sorted(range(len(doc)), key=lambda i: (source_[i], first[i]))
-            runs: list[list] = []
+            runs: list[tuple[str, list]] = []
             for i in order:
-                row, last = (doc[i], first[i], n[i], ids[i]), runs[-1] if runs else None
-                if last and last[0] == source_[i] and last[1][-1][1] + last[1][-1][2] == first[i] \
-                        and first[i] - last[1][0][1] < SLICE_TOKENS:
-                    last[1].append(row)
+                queue, run = runs[-1] if runs else (None, None)
+                if queue == source_[i] and run[-1][1] + run[-1][2] == first[i] \
+                        and first[i] - run[0][1] < SLICE_TOKENS:
+                    run.append((doc[i], first[i], n[i], ids[i]))
                 else:
-                    runs.append([source_[i], [row]])
-            rows = (r for queue, run in runs for r in cut(run, queue))
-            while some := list(islice(rows, 50_000)):
-                yield pa.record_batch([pa.array(c, f.type) for c, f in
-                                       zip(zip(*some, strict=True), arrow_schema, strict=True)],
+                    runs.append((source_[i], [(doc[i], first[i], n[i], ids[i])]))
+            for queue, run in runs:
+                yield pa.record_batch([pa.array(c, f.type) if isinstance(c, np.ndarray) else c
+                                       for c, f in zip(cut(queue, run), arrow_schema, strict=True)],
                                       schema=arrow_schema)
 
     return tokens.join(places.drop("n"), ["pid", "source"]).mapInArrow(pieces, schema)

@@ -15,9 +15,10 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 1_000_000  # per Python worker; the cache starts anew beyond it
+CACHE_ENTRIES = 500_000  # per Python worker and cache; what comes later is worked out each time
 
 _ODD = re.compile(r"\s\s|^\s|\s$|[^\t\n\r\x20-\x7e\xa1-ɏ]|^$")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORKER: dict[str, "ChunkEncoder"] = {}
 
 
@@ -45,11 +46,18 @@ class _Pieces(dict):
         self.alphabet = known  # by latin-1 code point, for str.translate
 
     def __missing__(self, piece: str) -> bytes:
-        text = piece.encode().decode("latin-1").translate(self.alphabet)
-        ids = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(text)])
-        self[piece] = ids
+        ids = self.ids(piece)
+        if len(self) < CACHE_ENTRIES:
+            self[piece] = ids
         return ids
 
+    def ids(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():  # of these only the space has a stand-in
+            text = piece.replace(" ", self.alphabet[32])
+        else:
+            text = piece.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(text)])
+
 
 class _Chunks(dict):
     """Ids of a chunk after its space; None for one that only its whole text decides."""
@@ -60,14 +68,19 @@ class _Chunks(dict):
         self.pieces, self.split = pieces, regex.compile(public_tokenizers.PATTERN).findall
 
     def __missing__(self, chunk: str) -> bytes | None:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-            self.pieces.clear()
-        if _ODD.search(chunk):
-            ids = None
+        if chunk.isalpha():
+            ids = None if _ODD.search(chunk) else self.pieces.ids(" " + chunk)
         else:
-            ids = b"".join([self.pieces[p] for p in self.split(" " + chunk)])
-        self[chunk] = ids
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha():  # a word and marks are two pieces
+                ids = self[word]
+                ids = ids and ids + self.pieces[chunk[len(word):]]
+            elif _ODD.search(chunk):
+                ids = None
+            else:
+                ids = b"".join([self.pieces[p] for p in self.split(" " + chunk)])
+        if len(self) < CACHE_ENTRIES:
+            self[chunk] = ids
         return ids
 
 
