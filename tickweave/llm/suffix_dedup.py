@@ -182,6 +182,14 @@ def _intervals(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first[begin], last[np.append(begin[1:], len(first)) - 1]
 
 
+def _groups(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    if not len(values):
+        return []
+    begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return list(zip(begin.tolist(), [*begin[1:].tolist(), len(values)], strict=True))
+
+
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All positions of the ranges, one after the other."""
     ends = np.cumsum(lengths)
@@ -269,12 +277,10 @@ def _anchors(shards: DataFrame, buckets: int) -> DataFrame:
     def _by_bucket(shard, bucket, keys):
         order = np.lexsort((keys, bucket))
         bucket, keys = bucket[order], keys[order]
-        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-        ends = np.append(begin[1:], len(bucket)) if len(bucket) else []
+        groups = _groups(bucket)
         return pa.record_batch(
-            [pa.array(bucket[begin].astype(np.int64) if len(bucket) else [], pa.int64()),
-             pa.array([shard] * len(begin), pa.int64()),
-             pa.array([_six(keys[x:y]) for x, y in zip(begin, ends, strict=True)], pa.binary())],
+            [pa.array([int(bucket[x]) for x, _ in groups], pa.int64()), pa.array([shard] * len(groups), pa.int64()),
+             pa.array([_six(keys[x:y]) for x, y in groups], pa.binary())],
             ["bucket", "shard", "keys"])
 
     return shards.select("shard", "ids", "lengths", "text").mapInArrow(work, "bucket bigint, shard bigint, keys binary")
@@ -329,8 +335,7 @@ def _spans(shards: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
         wanted = np.zeros(len(h), bool)
         merged = {b: _from_six(k) for b, k in zip(right["bucket"].to_pylist(), right["keys"].to_pylist(), strict=True)}
         order = np.argsort(bucket, kind="stable")
-        begin = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(h) else np.empty(0, int)
-        for x, y in zip(begin, np.append(begin[1:], len(h)), strict=True):
+        for x, y in _groups(bucket[order]):
             mine, theirs = order[x:y], merged.get(int(bucket[order[x]]))
             if theirs is not None and len(theirs):
                 place = np.minimum(np.searchsorted(theirs, keys[mine]), len(theirs) - 1)
@@ -357,8 +362,7 @@ def _spans(shards: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
         rep = np.flatnonzero(~later)  # the least document's, each time it has it
         rep = rep[np.argsort(bucket[rep], kind="stable")]
         cols = [[number], [-1], [b""], [b""], [b""], [b""], [_blob(begin_, "<i8")], [_blob(end_, "<i8")]]
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[rep]) != 0])) if len(rep) else np.empty(0, int)
-        for x, y in zip(edges, np.append(edges[1:], len(rep)), strict=True):
+        for x, y in _groups(bucket[rep]):
             part = rep[x:y]
             for col, v in zip(cols, (number, int(bucket[part[0]]), _blob(first[part], "<u4") if len(raw) < 1 << 32
                                      else _blob(first[part], "<u8"), _blob(count[part], "u1"),
