@@ -1,0 +1,65 @@
+import math
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMOKE
+from tests.llm.brute import base_features
+from tickweave.llm import quality, queries
+
+CLEAN = "The house is in the north of the town and it was built by a man with two sons. "
+TEXTS = [None, "", " \n\t", "one", "a b c a b c a b c", "x\ny\nx\n \nx", CLEAN * 3, "###a $b %c &d|e <f> " * 30,
+         "word " * 70, "é\xa0à b\x0bc\x1cd", "\n".join(["same line here"] * 9), "w " * 30_000, "many different " +
+         " ".join(f"w{i}" for i in range(20_000))]
+
+
+def test_base_features_against_plain_python(spark):
+    smoke = [r.text for r in spark.read.parquet(f"{SF_SMOKE}/documents.parquet").collect()]
+    texts = TEXTS + smoke
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id int, text string, n_words int")
+    rows = quality.with_features(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert got == base_features(texts[r.doc_id]), texts[r.doc_id]
+
+
+def test_verdicts_of_awkward_rows(spark):
+    docs = spark.createDataFrame([(i // 2, t, "own", "own") for i, t in enumerate(TEXTS * 2)],
+                                 "doc_id int, text string, kept string, source string")
+    rows = quality.quality(docs).collect()
+    assert len(rows) == 2 * len(TEXTS) and {r.source for r in rows} == {"own"}
+    assert all(r.base_failed and not r.kept for r in rows if r.n_words < 50)
+    assert quality.quality(docs.limit(0)).count() == 0
+    assert len({r.kept for r in rows if r.text == CLEAN * 3}) == 1
+
+
+def test_fit_recovers_planted_accuracies():
+    # two answers a rule, independent given the class, 80 % good documents
+    right = [0.95, 0.9, 0.85, 0.8]
+    patterns = {}
+    for bits in range(16):
+        votes = tuple(1 if bits >> j & 1 else -1 for j in range(4))
+        p_good = p_bad = 1.0
+        for v, a in zip(votes, right, strict=True):
+            p_good *= a if v == 1 else 1 - a
+            p_bad *= 1 - a if v == 1 else a
+        patterns[votes] = round(100_000 * (0.8 * p_good + 0.2 * p_bad))
+    model = quality.fit(sorted(patterns.items()), 4)
+    assert abs(model.prior - 0.8) < 0.02
+    assert all(abs(a - b) < 0.03 for a, b in zip(model.accuracy(), right, strict=True))
+    assert not math.isnan(quality.fit([], 4).prior)
+
+
+def test_kept_documents_match_held_out_labels(spark):
+    sf = SF_SMOKE.replace("0.001", "0.1")
+    kept = queries.QUERIES["op4_quality_rules"](spark, sf).where(~F.col("base_failed")).select("doc_id", "kept")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    n = {(r["quality"], r["kept"]): r["count"] for r in
+         kept.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True]  # clean documents stay
+    assert n.get((0, True), 0) <= 0.02 * n[0, False]   # junk goes
+
+
+def test_plan_has_no_python(spark):
+    plan = queries.QUERIES["op4_quality_rules"](spark, SF_SMOKE)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

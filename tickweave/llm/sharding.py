@@ -30,7 +30,9 @@ class Tree:
     @staticmethod
     def of(shards: int, base: int = 8, per_rack: int = 2, racks: int = 2) -> "Tree":
         """Equal shards 0 .. shards - 1. The first `base` fill regions of `racks` racks of
-        `per_rack` shards; each further shard joined later and is a region of its own."""
+        `per_rack` shards; each further shard joined later and is a region of its own. So one
+        more shard takes rows only into itself from `base` shards on; a smaller number is a
+        layout of its own, as is another `base`."""
         base = min(shards, base)
         nested: dict[int, dict[int, list]] = {}
         for s in range(base):
