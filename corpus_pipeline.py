@@ -45,9 +45,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without the passages that a smaller doc_id has. One of which nothing is left goes; a
     null or empty text stays as it is. A column n_chars follows a text that was cut."""
     rows, names = _aside(docs)
-    cut = suffix_dedup.remove_repeats(rows, carry=["text", *names], as_text=True)
+    rows = rows.withColumn("_null", F.col("text").isNull())
+    cut = suffix_dedup.remove_repeats(rows, carry=["_null", *names], as_text=True)
     cut = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes"))) \
-        .withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))) \
+        .withColumn("text", F.when(~F.col("_null"), F.col("kept"))) \
         .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     for n, c in names.items():
         if c == "n_chars":

@@ -88,15 +88,15 @@ def runs(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndar
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """The suffix array. Larsson-Sadakane: positions are grouped by their first 8 bytes; groups that
+    """The suffix array (of fewer than 2^31 positions). Larsson-Sadakane: positions are grouped by their first 8 bytes; groups that
     are not yet single are split by the groups of the positions `h` on, and `h` doubles."""
     n = len(text)
     key = _words(text)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key, kind="stable").astype(np.int32)
     key = key[sa]
     head = np.concatenate([[True], key[1:] != key[:-1]])  # the first of a group
     del key
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32)
     rank[n] = -1  # the end, before everything
     starts = np.flatnonzero(head)
     rank[sa] = np.repeat(starts, np.diff(np.append(starts, n)))
@@ -104,8 +104,10 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     h = 8
     while len(open_):
         at = sa[open_]
-        past = np.clip(at + h - n, 0, 8)  # in the first round: of such equals the shorter comes first
-        packed = rank[at] * np.int64(n + 16) + rank[np.minimum(at + h, n)] + 9 - past
+        behind = at + np.int64(h)
+        past = np.clip(behind - n, 0, 8)  # in the first round: of such equals the shorter comes first
+        packed = rank[at] * np.int64(n + 16) + rank[np.minimum(behind, n)] + 9 - past
+        del behind, past
         order = np.argsort(packed, kind="stable")
         at, packed = at[order], packed[order]
         sa[open_] = at
@@ -125,7 +127,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, starts: np.ndarray, length
     order a suffix shares at most one byte less than the suffix one position before; the spans
     (starts, lengths) of the text go side by side."""
     n = len(text)
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = -1
     lcp = np.zeros(n, np.int8 if most < 128 else np.int32)
@@ -305,10 +307,15 @@ def _shared(anchors: DataFrame) -> DataFrame:
     def work(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         lists = [_from_six(k) for k in table["keys"].to_pylist()]
-        everything = np.sort(np.concatenate(lists))
-        again = np.unique(everything[1:][everything[1:] == everything[:-1]])
-        rows = [(s, _six(k[np.isin(k, again, assume_unique=False)]))
-                for s, k in zip(table["shard"].to_pylist(), lists, strict=True)]
+        keys = np.concatenate(lists)
+        order = np.argsort(keys, kind="stable")
+        same = keys[order[1:]] == keys[order[:-1]]  # a shard has a key once
+        again = np.zeros(len(keys), bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        ends = np.cumsum([len(k) for k in lists]).tolist()
+        rows = [(s, _six(keys[z - len(k):z][again[z - len(k):z]]))
+                for s, k, z in zip(table["shard"].to_pylist(), lists, ends, strict=True)]
         rows = [r for r in rows if r[1]]
         return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int64()),
                          pa.array([r[1] for r in rows], pa.binary())], ["shard", "bucket", "keys"])
@@ -321,10 +328,11 @@ SPANS = ("shard bigint, bucket bigint, starts binary, windows binary, docs binar
 
 
 def _spans(shards: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
-    """Per shard, rows for each content shard: the spans at shared anchors (start in the
-    shard, windows, document, bytes), of equal ones those of the least document; and one row without a bucket: the byte ranges that a
-    smaller document of the same shard decides."""
+    """Per shard, a row for each content shard: the spans at shared anchors (start in the shard, windows,
+    document, bytes as zstd), of equal ones those of the least document. One more row, for any
+    content shard, has the byte ranges that a smaller document of the same shard decides."""
     def work(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
         if not left.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.binary()] * 6)],
                             ["shard", "bucket", "starts", "windows", "docs", "text", "first", "last"])
@@ -361,18 +369,20 @@ def _spans(shards: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
         begin_, end_ = _intervals(first[later], (first + size)[later])
         rep = np.flatnonzero(~later)  # the least document's, each time it has it
         rep = rep[np.argsort(bucket[rep], kind="stable")]
-        cols = [[number], [-1], [b""], [b""], [b""], [b""], [_blob(begin_, "<i8")], [_blob(end_, "<i8")]]
+        packer = zstandard.ZstdCompressor(level=3)
+        cols = [[number], [number % buckets], [b""], [b""], [b""], [b""], [_blob(begin_, "<i8")], [_blob(end_, "<i8")]]
         for x, y in _groups(bucket[rep]):
             part = rep[x:y]
             for col, v in zip(cols, (number, int(bucket[part[0]]), _blob(first[part], "<u4") if len(raw) < 1 << 32
                                      else _blob(first[part], "<u8"), _blob(count[part], "u1"),
                                      _blob(ids[part], "<i8"),
-                                     shard.buf[_ragged(first[part], size[part])].tobytes(), b"", b""), strict=True):
+                                     packer.compress(shard.buf[_ragged(first[part], size[part])].tobytes()),
+                                     b"", b""), strict=True):
                 col.append(v)
         return pa.table([pa.array(c, pa.int64() if k < 2 else pa.binary()) for k, c in enumerate(cols)],
                         ["shard", "bucket", "starts", "windows", "docs", "text", "first", "last"])
 
-    return shards.select("shard", "ids", "lengths", "text").groupBy("shard")         .cogroup(shared.groupBy("shard")).applyInArrow(work, SPANS)
+    return shards.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(work, SPANS)
 
 
 RANGES = "shard bigint, first binary, last binary"
@@ -380,15 +390,25 @@ RANGES = "shard bigint, first binary, last binary"
 
 def _verdicts(spans: DataFrame) -> DataFrame:
     """Per content shard: the byte ranges of each text shard's spans that lie in a window which a
-    smaller document has."""
+    smaller document has, and the ranges that were decided before."""
     def work(table: pa.Table) -> pa.Table:
-        rows = table.select(["shard", "starts", "windows", "docs", "text"]).to_pylist()
+        rows = table.to_pylist()
+        out = [(r["shard"], r["first"], r["last"]) for r in rows if not r["windows"]]
+        out += _found([r for r in rows if r["windows"]])
+        return pa.table([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()),
+                         pa.array([r[2] for r in out], pa.binary())], ["shard", "first", "last"])
+
+    def _found(rows: list[dict]) -> list[tuple]:
+        import zstandard
+        if not rows:
+            return []
+        names = [r["shard"] for r in rows]
         count = np.concatenate([np.frombuffer(r["windows"], np.uint8) for r in rows]).astype(np.int64)
         docs = np.concatenate([np.frombuffer(r["docs"], "<i8") for r in rows])
         starts = np.concatenate([np.frombuffer(r["starts"], f"<u{len(r['starts']) // len(r['windows'])}")
                                  .astype(np.int64) for r in rows])
         shard = np.repeat(np.arange(len(rows)), [len(r["windows"]) for r in rows])
-        raw = b"".join(r["text"] for r in rows)
+        raw = b"".join(zstandard.decompress(r["text"]) for r in rows)
         del rows
         size = count + LENGTH - 1
         at = np.cumsum(size) - size
@@ -412,13 +432,10 @@ def _verdicts(spans: DataFrame) -> DataFrame:
         start = _ragged(starts, count)[goes]
         of_shard = np.repeat(shard, count)[goes]
         out = []
-        for s in np.unique(of_shard):
-            mine = start[of_shard == s]
-            out.append((s, *_intervals(mine, mine + LENGTH)))
-        names = table["shard"].to_pylist()
-        return pa.table([pa.array([names[s] for s, _, _ in out], pa.int64()),
-                         pa.array([_blob(b, "<i8") for _, b, _ in out], pa.binary()),
-                         pa.array([_blob(e, "<i8") for _, _, e in out], pa.binary())], ["shard", "first", "last"])
+        for x, y in _groups(of_shard):  # in order of the rows
+            begin_, end_ = _intervals(start[x:y], start[x:y] + LENGTH)
+            out.append((names[of_shard[x]], _blob(begin_, "<i8"), _blob(end_, "<i8")))
+        return out
 
     return spans.groupBy("bucket").applyInArrow(work, RANGES)
 
@@ -457,8 +474,7 @@ def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list, as_text:
                     pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())]
         return pa.table(columns, [key, *names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    columns = ["shard", "ids", "lengths", "text"] + (["carried"] if names else [])
-    return shards.select(*columns).groupBy("shard").cogroup(ranges.groupBy("shard")).applyInArrow(work, schema)
+    return shards.groupBy("shard").cogroup(ranges.groupBy("shard")).applyInArrow(work, schema)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -478,7 +494,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     total = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, int(2.5 * total / bucket_bytes))
     shared = _shared(_anchors(shards, buckets))
-    spans = land(_spans(shards, shared, buckets), "spans")
-    found = spans.where("bucket >= 0").drop("first", "last")
-    ranges = spans.where("bucket < 0").select("shard", "first", "last").union(_verdicts(found))
+    # both meetings with the shards are by the same exchange of them, which Spark makes once
+    ranges = _verdicts(_spans(shards, shared, buckets))
     return _cut(shards, ranges, key, carried, as_text)
