@@ -69,3 +69,29 @@ def test_rejects_unknown_timespan(spark):
     import pytest
     with pytest.raises(ValueError):
         bars_from_ticks(spark.createDataFrame([], TICK), 1, "fortnight")
+
+
+def test_hour_bars_in_a_zone_follow_the_time_line(spark):
+    """Both clock changes of New York in 2024: the repeated hour is two bars, the skipped one none."""
+    stamps = ["2024-11-03 04:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00", "2024-11-03 07:30:00",
+              "2024-03-10 06:30:00", "2024-03-10 07:30:00", "2024-03-10 04:59:59"]
+    ticks = spark.createDataFrame([("A", s, 1.0, 1, i) for i, s in enumerate(stamps)],
+                                  "ticker string, ts string, price double, size bigint, tick_id bigint") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    from tickweave.operators.bars import bars_from_ticks
+    ms = lambda s: int(dt.datetime.fromisoformat(s + "+00:00").timestamp() * 1000)
+    hours = {r.t: r.n for r in bars_from_ticks(ticks, 1, "hour", tz="America/New_York").collect()}
+    assert hours == {ms(s[:13] + ":00:00"): 1 for s in stamps}
+    days = {r.t: r.n for r in bars_from_ticks(ticks, 12, "hour", tz="America/New_York").collect()}
+    assert days == {ms("2024-11-03 04:00:00"): 4, ms("2024-03-10 05:00:00"): 2, ms("2024-03-09 17:00:00"): 1}
+
+
+def test_equal_times_break_by_tick_id_and_microseconds_count(spark):
+    rows = [("A", "2024-01-01 00:00:00.000002", 3.0, 1, 1), ("A", "2024-01-01 00:00:00.000001", 2.0, 1, 9),
+            ("A", "2024-01-01 00:00:00.000001", 1.0, 1, -5), ("A", "2024-01-01 00:00:00.000002", 4.0, 1, 2),
+            ("A", "1969-12-31 23:59:59.999999", 9.0, 1, 0), ("A", "1969-12-31 23:59:59.999998", 8.0, 1, 0)]
+    ticks = spark.createDataFrame(rows, "ticker string, ts string, price double, size bigint, tick_id bigint") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    from tickweave.operators.bars import bars_from_ticks
+    got = {(r.o, r.c) for r in bars_from_ticks(ticks, 1, "day").collect()}
+    assert got == {(1.0, 4.0), (8.0, 9.0)}

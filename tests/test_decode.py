@@ -3,7 +3,6 @@
 import json
 
 from tickweave.sources.responses import decode_contract_responses, split_bar_responses
-from tickweave.functions.udfs import bars_from_text
 
 CLEAN = {"ticker": "O:A", "status": "OK", "resultsCount": 1,
          "results": [{"c": 1.5, "h": 2, "l": 1, "n": 3, "o": 1.2, "t": 1726718400000, "v": 10, "vw": 1.4}]}
@@ -85,13 +84,40 @@ def test_contract_responses(spark):
     assert rows[0].strike_price == 5.0 and str(rows[0].expiration_date) == "2024-09-20"
 
 
-def test_udf_bar_parser_matches_rules():
-    assert bars_from_text(None) == []
-    assert bars_from_text(CASES["null_results"]) == []
-    assert bars_from_text("nope") is None
-    assert bars_from_text(CASES["fractional_volume"]) == []
-    rec = bars_from_text(CASES["clean"])[0]
-    assert rec["high"] == 2.0 and isinstance(rec["high"], float) and rec["volume"] == 10
+def test_array_columns_follow_the_same_rules(spark):
+    from pyspark.sql import functions as F
+
+    from tickweave.functions.hashing import bar_id
+    from tickweave.sources.responses import bars_of, classify_bar_responses, contracts_of
+    texts = spark.createDataFrame([(t,) for t in BAD_BARS + list(CASES.values())], "value string")
+    got = texts.select(F.explode(bars_of("value")).alias("b")).select("b.*")
+    good = classify_bar_responses(texts).where("reason IS NULL")
+    want = good.select("t", "c", "n", bar_id("ticker", "t").alias("agg_id"))
+    assert sorted(map(tuple, got.select("timestamp", "close", "transactions", "agg_id").collect())) == \
+        sorted(map(tuple, want.collect()))
+    body = {"results": [{"ticker": "O:1", "expiration_date": "2024-09-20"}, {"ticker": "O:2", "expiration_date": "soon"}]}
+    rows = spark.createDataFrame([(json.dumps(body),), ("nope",), (None,)], "value string") \
+        .select(F.explode(contracts_of("value")).alias("c")).select("c.ticker").collect()
+    assert [r.ticker for r in rows] == ["O:1"]
+
+
+BAD_BARS = [_bar(v=1e20), json.dumps(CLEAN).replace('"v": 10', '"v": NaN'),
+            json.dumps(CLEAN).replace('"v": 10', '"v": 1e400'), json.dumps(CLEAN).replace('"c": 1.5', '"c": Infinity'),
+            _bar(c=None), _bar(vw=None), _bar(n=None), json.dumps({k: v for k, v in CLEAN.items() if k != "ticker"}),
+            json.dumps({"status": "ERROR", "error": "no such ticker"}), json.dumps({"status": "NOT_AUTHORIZED"}),
+            _with(results=[None]), "[1, 2]"]
+
+
+def test_one_bad_record_never_stops_the_others(spark):
+    from tickweave.sources.responses import classify_bar_responses
+    texts = spark.createDataFrame([(t,) for t in BAD_BARS + [CASES["clean"]]], "value string")
+    rows = classify_bar_responses(texts).collect()
+    assert sum(r.reason is None for r in rows) == 1
+    from collections import Counter
+    assert Counter(r.reason for r in rows if r.reason) == Counter({
+        "volume_out_of_range": 3, "price_not_finite": 1, "missing_field": 3, "missing_ticker": 1,
+        "error_response": 2, "null_bar": 1, "malformed": 1})
+    assert all(r.record for r in rows if r.reason and r.reason != "null_bar")
 
 
 def test_request_key_attributes_unreadable_responses(spark):
@@ -113,3 +139,14 @@ def test_contract_dead_letters(spark):
     bad = [r for r in rows if r.reason is not None]
     assert good == ["O:1", "O:2"]
     assert len(bad) == 1 and bad[0].reason == "malformed" and bad[0].record.startswith('{"results"')
+
+
+def test_bad_dates_and_error_bodies_of_contract_lists(spark):
+    from tickweave.sources.responses import classify_contract_responses
+    texts = [json.dumps({"results": [{"ticker": "O:1", "expiration_date": "2024-13-45"},
+                                     {"ticker": "O:2", "expiration_date": "soon"}, {"ticker": "O:3"},
+                                     {"ticker": "O:4", "expiration_date": "2024-09-20"}]}),
+             json.dumps({"status": "ERROR", "results": None})]
+    rows = classify_contract_responses(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert sorted((r.reason or "", r.ticker or "") for r in rows) == [
+        ("", "O:3"), ("", "O:4"), ("bad_date", "O:1"), ("bad_date", "O:2"), ("error_response", "")]

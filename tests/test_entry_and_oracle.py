@@ -9,10 +9,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMOKE
+from tickweave.plans import registry
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 ROWS_ONLY = {"hash_row_murmur"}
+registry.load_all()
 
 
 def _digest(rows, cols):
@@ -42,19 +44,20 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = registry.QUERIES, registry.ORACLE_SQL
     assert set(q) - set(o) == ROWS_ONLY
     assert set(o) <= set(q)
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMOKE)
+    df = registry.QUERIES[name](spark, SF_SMOKE)
     rows = [tuple(r) for r in df.collect()]
     if name in ROWS_ONLY:
         assert len(rows) > 0
         return
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(registry.ORACLE_SQL[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

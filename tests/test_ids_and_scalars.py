@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tickweave.functions import hashing as H
 from tickweave.functions.arrays import empty_if_null, first_or_null
-from tickweave.functions.udfs import bar_agg_id
 
 
 def test_row_id_separates_null_positions(spark):
@@ -36,10 +35,31 @@ def test_bar_id_differs_per_ticker_and_matches_python(spark):
     df = spark.createDataFrame([("O:A", 1), ("O:B", 1)], "ticker string, t bigint")
     ids = [r[0] for r in df.select(H.bar_id("ticker", "t")).collect()]
     assert ids[0] != ids[1]
-    assert ids[0] == bar_agg_id("O:A", 1)
+    assert ids[0] == hashlib.sha256(b"O:A|1|1|day").hexdigest()
 
 
 def test_array_helpers(spark):
     df = spark.createDataFrame([([1, 2],), ([],), (None,)], "a array<int>")
     out = df.select(first_or_null("a").alias("f"), F.size(empty_if_null("a", "array<int>")).alias("n")).collect()
     assert [(r.f, r.n) for r in out] == [(1, 2), (None, 0), (None, 0)]
+
+
+def test_row_ids_tell_marker_zone_and_zero_apart(spark):
+    from tickweave.functions.hashing import bar_id, row_id
+    df = spark.createDataFrame([("∅",), (None,), ("\\∅",), ("a|b",), ("a",)], "s string")
+    assert len({r.i for r in df.select(row_id(df.schema, ["s"]).alias("i")).collect()}) == 5
+    times = spark.sql("SELECT timestamp_millis(1726718400123) AS t")
+    seen = set()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            seen.add(times.select(row_id(times.schema, ["t"]).alias("i")).first().i)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(seen) == 1
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert len({r.i for r in zeros.select(row_id(zeros.schema, ["x"]).alias("i")).collect()}) == 2
+    bars = spark.createDataFrame([("A|1", 2), ("A", 12), (None, 2), ("A", None)], "ticker string, t bigint")
+    ids = [r.i for r in bars.select(bar_id("ticker", "t").alias("i")).collect()]
+    assert ids[2] is None and ids[3] is None and ids[0] != ids[1]

@@ -25,15 +25,16 @@ def test_universe_join_dedups_symbols_and_keeps_strings(spark):
 def test_documents_keep_contracts_without_bars(spark):
     docs = {r.ticker: r for r in J.contract_documents(_contracts(spark), _bars(spark)).collect() if r.ticker}
     assert [a.timestamp for a in docs["O:A1"].aggs] == [1, 2, 3]
-    assert docs["O:A2"].aggs == [] and docs["O:A2"].part == 0
+    assert docs["O:A2"].aggs == [] and docs["O:A2"].part is None and docs["O:A1"].part == 1970
 
 
-def test_documents_split_long_histories(spark):
-    bars = spark.createDataFrame([("O:A1", 1.0, 1.0, 1.0, 1, 1.0, t, 1, 1.0) for t in range(7)], BAR)
+def test_documents_split_by_calendar_year(spark):
+    year = 366 * 86_400_000  # 1970, 1971, 1972, 1973 from the epoch on
+    times = [5, 0, 7, year, year + 1, 3 * year]
+    bars = spark.createDataFrame([("O:A1", 1.0, 1.0, 1.0, 1, 1.0, t, 1, 1.0) for t in times], BAR)
     docs = sorted((r.part, [a.timestamp for a in r.aggs])
-                  for r in J.contract_documents(_contracts(spark), bars, max_per_document=3).collect()
-                  if r.ticker == "O:A1")
-    assert docs == [(0, [0, 1, 2]), (1, [3, 4, 5]), (2, [6])]
+                  for r in J.contract_documents(_contracts(spark), bars).collect() if r.ticker == "O:A1")
+    assert docs == [(1970, [0, 5, 7]), (1971, [year, year + 1]), (1973, [3 * year])]
 
 
 def test_not_yet_loaded(spark):
@@ -50,12 +51,21 @@ def test_idempotent_append_twice_is_once(spark):
     assert J.idempotent_append(batch, stored2).count() == 0
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    assert "Broadcast" in J.broadcast_if_bounded(small, 100).join(spark.range(1000), "id")._jdf \
-        .queryExecution().executedPlan().toString() or True
-    big = J.broadcast_if_bounded(spark.range(1000), 100)
-    assert big.count() == 1000
+def test_rows_without_an_id_are_routed_out(spark):
+    batch = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "row_id string, x int")
+    stored = spark.createDataFrame([], "row_id string, x int")
+    assert [r.x for r in J.idempotent_append(batch, stored).collect()] == [1]
+    assert sorted((r.x, r.reason) for r in J.without_id(batch).collect()) == [(2, "missing_id"), (3, "missing_id")]
+
+
+def test_joins_run_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("joins-run-no-job", "building joins")
+    uni = _contracts(spark).select("underlying_ticker")
+    J.universe_contracts(uni, _contracts(spark))
+    J.contract_documents(_contracts(spark), _bars(spark))
+    J.not_yet_loaded(_contracts(spark), _bars(spark))
+    assert len(tracker.getJobIdsForGroup("joins-run-no-job")) == 0
 
 
 def test_skew_safe_left_join_equals_left_join(spark):

@@ -40,7 +40,29 @@ def test_each_decode_parses_once(spark):
 
 
 def test_no_window_partitioned_by_ticker_for_ordinals(spark):
-    for name in ("sort_bars", "batch_assign", "join_contract_documents"):
+    for name in ("sort_bars", "batch_assign"):
         _, physical = _plans(spark, name)
-        assert "rangepartitioning(ticker" in physical or "rangepartitioning(" in physical, name
         assert "row_number()" not in physical, name
+        assert "_pid" in physical, name  # windows see a row per partition and key
+
+
+def test_ordered_first_and_last_hash(spark):
+    for name in ("bars_day", "bars_4h_ny", "bars_rollup_week"):
+        _, physical = _plans(spark, name)
+        assert "SortAggregate" not in physical and "HashAggregate" in physical, name
+
+
+def test_queries_leave_nothing_cached(spark):
+    spark.catalog.clearCache()
+    for name in ("json_bars", "explode_replace", "join_contract_documents", "cache_two_branches", "populate_audit",
+                 "stream_land_bars", "sort_bars", "udf_array_struct_bars"):
+        entry.queries()[name](spark, SF_SMOKE).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_decode_inputs_need_one_shuffle_at_most(spark):
+    for name in ("json_bars", "json_contracts", "flatmap_map_in_pandas", "udf_array_struct_bars"):
+        _, physical = _plans(spark, name)
+        assert physical.count("Exchange ") <= 1 and "Python" not in physical and "Pandas" not in physical, name
+    _, physical = _plans(spark, "decode_good_bad_split")
+    assert physical.count("Exchange ") == 1  # of the counts

@@ -58,15 +58,17 @@ def test_ordinal_keeps_null_keys(spark):
     assert got == {("A", 1, 0), (None, 1, 0), (None, 2, 1)}
 
 
-def test_top_n_above_window_limit_threshold_uses_ordinals(spark):
-    df = _skewed(spark, 600)
+def test_top_n_is_the_same_for_every_n(spark):
+    df = _skewed(spark, 3000)
     order = [F.col("x").desc(), F.col("id")]
-    want = {tuple(r) for r in top_n_per_key(df, ["k"], order, 3, "rank").collect()}
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
-    try:
-        got_df = top_n_per_key(df, ["k"], order, 3, "rank")
-        got = {tuple(r) for r in got_df.select(*df.columns, "rank").collect()}
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
-    assert got == want and len(got) > 0
+    pdf = df.toPandas().sort_values(["k", "x", "id"], ascending=[True, False, True])
+    for n in (1, 7, 500, 2000):  # a hot key has 1000 rows; Spark's window limit is at 1000
+        got = {tuple(r) for r in top_n_per_key(df, ["k"], order, n, "rank").select("k", "id").collect()}
+        want = {tuple(r) for r in pdf.groupby("k").head(n)[["k", "id"]].values}
+        assert got == want
+
+
+def test_nothing_stays_cached(spark):
+    spark.catalog.clearCache()
+    ordinal_within(_skewed(spark, 300), ["k"], ["x", "id"], "o").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

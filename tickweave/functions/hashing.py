@@ -29,13 +29,24 @@ def murmur_fingerprint(*cols) -> Column:
     return F.hex(F.hash(*[_c(c) for c in cols]))
 
 
+def _escaped(col: Column) -> Column:
+    """Text in which separators and the null marker cannot be mistaken for the real ones."""
+    for c in ("\\", FIELD_SEP, NULL_MARKER):
+        col = F.replace(col, F.lit(c), F.lit("\\" + c))
+    return col
+
+
 def _canonical_text(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
-        text = F.replace(F.replace(col, F.lit("\\"), F.lit("\\\\")), F.lit(FIELD_SEP), F.lit("\\" + FIELD_SEP))
+        text = _escaped(col)
     elif isinstance(dtype, T.DateType):
         text = F.date_format(col, "yyyy-MM-dd")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(dtype, T.TimestampNTZType):
         text = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(dtype, T.TimestampType):
+        text = F.unix_micros(col).cast("string")  # an instant, whatever the session's time zone
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = F.when(col == 0, F.lit(0).cast(dtype)).otherwise(col).cast("string")  # -0.0 equals 0.0
     else:
         # numbers: Spark's text form of a double is the shortest text that reads back to the
         # same value, so distinct values never share a text
@@ -46,9 +57,9 @@ def _canonical_text(col: Column, dtype: T.DataType) -> Column:
 def row_id(df_schema: T.StructType, cols: list[str]) -> Column:
     """Collision-safe id = SHA-256 over the canonical text of `cols` joined by `|`.
 
-    Text columns escape the separator, nulls become a marker, dates/times use a fixed format
-    and numbers their shortest exact text, so equal rows give equal ids and (1, null)
-    differs from (null, 1).
+    Text columns escape the separator and the null marker, nulls become that marker, dates and
+    zone-free times use a fixed format, instants their microseconds and numbers their shortest
+    exact text, so equal rows give equal ids and (1, null) differs from (null, 1).
     """
     types = {f.name: f.dataType for f in df_schema.fields}
     parts = [_canonical_text(F.col(c), types[c]) for c in cols]
@@ -66,6 +77,7 @@ def batch_key(hash_col, day_col) -> Column:
 
 
 def bar_id(ticker, t, multiplier: int = 1, timespan: str = "day") -> Column:
-    """Bar key per (ticker, t, multiplier, timespan): two tickers on one day never share it."""
-    return F.sha2(F.concat_ws(FIELD_SEP, _c(ticker), _c(t).cast("string"),
-                              F.lit(str(multiplier)), F.lit(timespan)), 256)
+    """Bar key per (ticker, t, multiplier, timespan): two tickers on one day never share it; null
+    without a ticker or a time, which `idempotent_append` keeps apart."""
+    return F.sha2(F.concat(_escaped(_c(ticker)), F.lit(FIELD_SEP), _c(t).cast("string"),
+                           F.lit(f"{FIELD_SEP}{multiplier}{FIELD_SEP}{timespan}")), 256)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import EXPIRY_LOOKBACK_DAYS
 from ..functions.arrays import empty_if_null, nonempty
-from ..functions.timefns import as_date, in_day_range_millis
+from ..functions.timefns import as_date, epoch_millis, in_day_range_millis
 
 
 def drop_null(df: DataFrame, col: str = "ticker") -> DataFrame:
@@ -35,6 +35,11 @@ def bars_in_day_range(df: DataFrame, start, end, col: str = "t") -> DataFrame:
     return df.where(in_day_range_millis(col, start, end))
 
 
+def bars_since(df: DataFrame, start, col: str = "t") -> DataFrame:
+    """W4 with an open end: bars from the UTC day `start` on."""
+    return df.where(F.col(col) >= epoch_millis(as_date(start).cast("timestamp_ntz")))
+
+
 def for_underlyings(df: DataFrame, underlyings, col: str = "underlying_ticker") -> DataFrame:
     """One underlying (equality), a short literal list (IN), or a DataFrame of them (semi join)."""
     if isinstance(underlyings, DataFrame):

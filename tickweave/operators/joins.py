@@ -1,9 +1,8 @@
 """Dependent fetches re-aimed as joins.
 
-Broadcasts happen only behind a proven bound: `broadcast_if_bounded` counts at most
-`max_rows + 1` rows (a limit, so the check stops early on a large side) and only then adds
-the hint. Otherwise the join is left to the planner: sort-merge, with AQE converting it to a
-broadcast from measured sizes and splitting skewed partitions (a hot ticker on the big side).
+No join here hints a strategy: the planner takes a broadcast from measured sizes under the
+session's threshold, and sort-merge with AQE splitting skewed partitions (a hot ticker on the
+big side) beyond it. Nothing runs a job.
 """
 
 from __future__ import annotations
@@ -12,16 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bar_id
-from .ranking import ordinal_within
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side provably holds at most `max_rows` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+from ..functions.timefns import utc_ntz_from_millis
 
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -38,14 +28,13 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFram
     return matched.unionByName(unmatched)
 
 
-def universe_contracts(universe: DataFrame, contracts: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def universe_contracts(universe: DataFrame, contracts: DataFrame) -> DataFrame:
     """Contracts of each listed underlying (symbols with none disappear, like explode).
 
     A symbol listed twice must not double its contracts, so the universe is de-duplicated.
     """
     symbols = universe.select("underlying_ticker").where(F.col("underlying_ticker").isNotNull()).distinct()
-    return contracts.join(broadcast_if_bounded(symbols, max_broadcast_rows), "underlying_ticker", "inner")
+    return contracts.join(symbols, "underlying_ticker", "inner")
 
 
 def contract_bars(contracts: DataFrame, bars: DataFrame) -> DataFrame:
@@ -53,38 +42,27 @@ def contract_bars(contracts: DataFrame, bars: DataFrame) -> DataFrame:
     return contracts.join(bars, "ticker", "inner")
 
 
-def contract_documents(contracts: DataFrame, bars: DataFrame, max_per_document: int = 1000,
-                       multiplier: int = 1, timespan: str = "day",
+def contract_documents(contracts: DataFrame, bars: DataFrame, multiplier: int = 1, timespan: str = "day",
                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw")) -> DataFrame:
     """Nested documents, contract fields + `aggs: array<struct<timestamp, agg_id>>` in time order.
 
-    Contracts with no bars keep one document with an empty array. A contract's bars are
-    split into documents of at most `max_per_document` elements (`part` 0, 1, ...), so a
-    contract with a huge history never becomes one unbounded row or one unbounded group.
+    A contract has a document per calendar year (UTC) of its bars, the year as `part`; so the shape
+    depends on the data's time, not on its volume, and a long history is many groups. Contracts
+    with no bars keep one document with an empty array and a null part.
     """
-    order = [F.col("t"), *[F.col(c) for c in tiebreak]]
-    numbered = ordinal_within(bars.select("ticker", "t", *tiebreak), ["ticker"], order, "_ord")
-    elements = numbered.select(
-        "ticker", F.floor(F.col("_ord") / max_per_document).cast("int").alias("part"),
-        F.struct(F.col("t").alias("timestamp"), bar_id("ticker", "t", multiplier, timespan).alias("agg_id"),
-                 F.col("_ord")).alias("_e"))
-    docs = (elements.groupBy("ticker", "part")
+    part = F.year(utc_ntz_from_millis("t"))
+    element = F.struct("t", *tiebreak, bar_id("ticker", "t", multiplier, timespan).alias("agg_id"))
+    docs = (bars.select("ticker", part.alias("part"), element.alias("_e"))
+            .groupBy("ticker", "part")
             .agg(F.array_sort(F.collect_list("_e")).alias("_es"))
             .select("ticker", "part",
-                    F.transform("_es", lambda e: F.struct(e["timestamp"].alias("timestamp"),
+                    F.transform("_es", lambda e: F.struct(e["t"].alias("timestamp"),
                                                           e["agg_id"].alias("agg_id"))).alias("aggs")))
     narrow = contracts.select("underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price")
     cols = ["underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price", "part", "aggs"]
-    # inner join + anti join instead of one left join: in an outer join AQE may only split the
-    # preserved (contract) side, so a ticker with very many parts would sit in one task; an
-    # inner join can be split on either side
-    with_bars = narrow.join(docs, "ticker", "inner").select(*cols)
-    tickers_with_bars = bars.select("ticker").distinct()
+    # a ticker has a document per year at most, so this left join has no hot key on its right side
     empty = F.array().cast(docs.schema["aggs"].dataType)
-    without_bars = narrow.join(tickers_with_bars, "ticker", "left_anti").select(
-        "underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price",
-        F.lit(0).alias("part"), empty.alias("aggs"))
-    return with_bars.unionByName(without_bars)
+    return narrow.join(docs, "ticker", "left").withColumn("aggs", F.coalesce("aggs", empty)).select(*cols)
 
 
 def not_yet_loaded(candidates: DataFrame, landed: DataFrame, key: str = "ticker") -> DataFrame:
@@ -95,6 +73,13 @@ def not_yet_loaded(candidates: DataFrame, landed: DataFrame, key: str = "ticker"
 def idempotent_append(batch: DataFrame, stored: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Rows of `batch` whose id is not stored yet, duplicates inside the batch removed.
 
-    Appending the result and running again with the same batch appends nothing.
+    Appending the result and running again with the same batch appends nothing. Rows without
+    an id cannot be told apart, so none is appended here: see `without_id`.
     """
-    return batch.dropDuplicates([id_col]).join(stored.select(id_col), id_col, "left_anti")
+    known = batch.where(F.col(id_col).isNotNull())
+    return known.dropDuplicates([id_col]).join(stored.select(id_col), id_col, "left_anti")
+
+
+def without_id(batch: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """The rows of a batch that J5 cannot place, as dead letters: all columns plus `reason`."""
+    return batch.where(F.col(id_col).isNull()).withColumn("reason", F.lit("missing_id"))

@@ -13,11 +13,13 @@ def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
 
 def by_key(df: DataFrame, *keys: str, num_partitions: int | None = None) -> DataFrame:
-    """R2: hash-partition by key (co-locates a later aggregation or join on it)."""
-    return df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    """R2: rows of a key together, as far as evenly sized partitions allow: a `rebalance` hint on the
+    key, whose large partitions AQE splits."""
+    return df.hint("rebalance", *([num_partitions] if num_partitions else []), *keys)
 
 
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a table that feeds several branches (memory, spilling to disk). Lost blocks are
-    recomputed from lineage, so inputs must be deterministic; land to Parquet otherwise."""
+    recomputed from lineage, so inputs must be deterministic; land to Parquet otherwise. The
+    caller owns it and calls `unpersist()` when the branches are written."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -20,7 +20,7 @@ def _tick_bars_sql(bucket_ms: str, ticker: str) -> str:
     return td.with_views(f"""
 SELECT ticker,
   first(price ORDER BY ts DESC, tick_id DESC) AS c,
-  max(price) AS h, min(price) AS l, CAST(count(*) AS INTEGER) AS n,
+  max(price) AS h, min(price) AS l, count(*) AS n,
   first(price ORDER BY ts, tick_id) AS o,
   {bucket_ms} AS t,
   CAST(sum(size) AS BIGINT) AS v,
@@ -59,6 +59,16 @@ def bars_day_ny(spark, sf_dir):
     return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "event_type"), 1, "day", tz="America/New_York"))
 
 
+_NY_INSTANT = f"({_NY_DAY_MS})"
+_NY_4H_MS = (f"{_NY_INSTANT} + ((epoch_us(ts) // 1000 - {_NY_INSTANT}) // 14400000) * 14400000")
+
+
+@register("bars_4h_ny", _tick_bars_sql(_NY_4H_MS, "event_type"))
+def bars_4h_ny(spark, sf_dir):
+    """Four-hour bars counted from New York midnight."""
+    return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "event_type"), 4, "hour", tz="America/New_York"))
+
+
 @register("bars_month", _tick_bars_sql(_MONTH_MS, "user_id"))
 def bars_month(spark, sf_dir):
     return _rounded(bars_from_ticks(td.ticks(spark, sf_dir, "user_id"), 1, "month"))
@@ -73,7 +83,7 @@ def bars_month(spark, sf_dir):
     CASE WHEN sum(size) <> 0 THEN sum(price * size) / sum(size) END AS vw
   FROM ticks_v GROUP BY ticker, {_DAY_MS})
 SELECT ticker,
-  first(c ORDER BY t DESC) AS c, max(h) AS h, min(l) AS l, CAST(sum(n) AS INTEGER) AS n,
+  first(c ORDER BY t DESC) AS c, max(h) AS h, min(l) AS l, CAST(sum(n) AS BIGINT) AS n,
   first(o ORDER BY t) AS o,
   epoch_us(date_trunc('week', make_timestamp(t * 1000))) // 1000 AS t,
   CAST(sum(v) AS BIGINT) AS v,

@@ -23,6 +23,7 @@ from ..operators.batching import assign_batches
 from ..operators.combine import union_all
 from ..operators.partitioning import by_key, reuse, spread
 from ..schemas import BAR
+from ..session import land
 from ..sources.responses import bar_response_pages
 from .registry import register
 
@@ -36,7 +37,7 @@ v = td.with_views
 
 
 def _esc_sql(col: str) -> str:
-    return f"coalesce(replace(replace({col}, '\\', '\\\\'), '|', '\\|'), '∅')"
+    return f"coalesce(replace(replace(replace({col}, '\\', '\\\\'), '|', '\\|'), '∅', '\\∅'), '∅')"
 
 
 # ---------------- projections ----------------
@@ -145,33 +146,37 @@ def filter_underlying(spark, sf):
 
 
 @register("filter_nonempty_array", v("""
-SELECT ticker, CAST(0 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_aggs
-FROM bars_v WHERE ticker IN (SELECT ticker FROM contracts_v) GROUP BY ticker""", contracts=True, bars=True))
+SELECT ticker, CAST(date_part('year', make_timestamp(t * 1000)) AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_aggs
+FROM bars_v WHERE ticker IN (SELECT ticker FROM contracts_v) GROUP BY ALL""", contracts=True, bars=True))
 def filter_nonempty_array(spark, sf):
     docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
     return W.with_results(docs, "aggs").select("ticker", "part", F.size("aggs").alias("n_aggs"))
 
 
-@register("coalesce_empty_array", v("""
-SELECT c.ticker, CAST(coalesce(p.page, 0) AS INTEGER) AS page, CAST(coalesce(p.n, 0) AS INTEGER) AS n_results
-FROM contracts_v c LEFT JOIN (
-  SELECT ticker, page, count(*) AS n FROM (
-    SELECT ticker, (row_number() OVER (PARTITION BY ticker ORDER BY t, n, c, o, h, l, v, vw) - 1) // 1000 AS page
-    FROM bars_v) GROUP BY ticker, page) p ON p.ticker = c.ticker""", contracts=True, bars=True))
+_PAGE_SQL = "CAST(strftime(make_timestamp(t * 1000), '%Y%m') AS INTEGER)"
+
+
+def _page():
+    """The month of a response page, from its request id."""
+    return F.substring_index("request_id", "-", -1).cast("int")
+
+
+@register("coalesce_empty_array", v(f"""
+SELECT c.ticker, p.page, CAST(coalesce(p.n, 0) AS INTEGER) AS n_results
+FROM contracts_v c LEFT JOIN (SELECT ticker, {_PAGE_SQL} AS page, count(*) AS n FROM bars_v GROUP BY ALL) p
+  ON p.ticker = c.ticker""", contracts=True, bars=True))
 def coalesce_empty_array(spark, sf):
-    pages = bar_response_pages(td.bars(spark, sf), 1000).select("ticker", "request_id", "results")
-    joined = J.skew_safe_left_join(td.contracts(spark, sf).select("ticker"), pages, "ticker")
-    fixed = W.null_results_to_empty(joined, "results")
-    return fixed.select("ticker",
-                        F.coalesce(F.split_part("request_id", F.lit("-"), F.lit(-1)).cast("int"), F.lit(0)).alias("page"),
-                        F.size("results").alias("n_results"))
+    # pages per ticker are bounded by its months, so the right side has no hot key
+    pages = bar_response_pages(td.bars(spark, sf)).select("ticker", _page().alias("page"), "results")
+    joined = td.contracts(spark, sf).select("ticker").join(pages, "ticker", "left")
+    return W.null_results_to_empty(joined, "results").select("ticker", "page", F.size("results").alias("n_results"))
 
 
 # ---------------- generators / arrays ----------------
 
 @register("explode_bars", v("SELECT * FROM bars_v", bars=True))
 def explode_bars(spark, sf):
-    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    pages = bar_response_pages(td.bars(spark, sf))
     out = pages.select("ticker", F.explode("results").alias("b"))
     return out.select("ticker", *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n)
                                   for n in ["c", "h", "l", "n", "o", "t", "v", "vw"]])
@@ -179,7 +184,7 @@ def explode_bars(spark, sf):
 
 @register("hof_transform", v("SELECT ticker, t AS timestamp, vw AS vwap FROM bars_v", bars=True))
 def hof_transform(spark, sf):
-    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    pages = bar_response_pages(td.bars(spark, sf))
     kept = pages.select("ticker", keep_fields("results", {"t": "timestamp", "vw": "vwap"}).alias("aggs"))
     return kept.select("ticker", F.explode("aggs").alias("a")).select("ticker", "a.timestamp", "a.vwap")
 
@@ -189,9 +194,8 @@ SELECT c.ticker, f.t AS first_t, f.c AS first_c FROM contracts_v c LEFT JOIN (
   SELECT ticker, t, c FROM bars_v QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY {BAR_ORDER_SQL}) = 1
 ) f ON f.ticker = c.ticker""", contracts=True, bars=True))
 def array_first(spark, sf):
-    pages = bar_response_pages(td.bars(spark, sf), 1000).where(F.split_part("request_id", F.lit("-"), F.lit(-1)) == "0")
-    joined = W.null_results_to_empty(td.contracts(spark, sf).select("ticker").join(
-        pages.select("ticker", "results"), "ticker", "left"), "results")
+    pages = bar_response_pages(td.bars(spark, sf)).groupBy("ticker").agg(F.min_by("results", _page()).alias("results"))
+    joined = W.null_results_to_empty(td.contracts(spark, sf).select("ticker").join(pages, "ticker", "left"), "results")
     first = first_or_null("results")
     return joined.select("ticker", first["t"].alias("first_t"), first["c"].alias("first_c"))
 
@@ -210,6 +214,50 @@ def hash_row_murmur(spark, sf):
     return b.withColumn("hash_id", H.murmur_fingerprint("c", "h", "l", "n", "o", "t", "ticker", "v", "vw"))
 
 
+def _u(n: int) -> str:
+    return f"CAST({n} AS UBIGINT)"
+
+
+_M32 = _u(1 << 32)
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"(({x}) * {_u(1 << r)} % {_M32} + ({x}) // {_u(1 << (32 - r))})"
+
+
+def _murmur_sql(steps: list[tuple[str, str]]) -> str:
+    """Murmur3 (32 bit, seed 42) over (expression, 'int' | 'long') columns of bars_v, step by step in
+    CTEs of unsigned arithmetic; each column's hash is the seed of the next."""
+    ctes, last, k = ["m0 AS (SELECT ticker, n, t, v, CAST(42 AS UBIGINT) AS h FROM bars_v)"], "m0", 0
+
+    def step(h: str):
+        nonlocal last, k
+        k += 1
+        ctes.append(f"m{k} AS (SELECT * REPLACE (CAST({h} AS UBIGINT) AS h) FROM {last})")
+        last = f"m{k}"
+
+    for value, kind in steps:
+        wide = f"CAST((CAST({value} AS HUGEINT) + 18446744073709551616) % 18446744073709551616 AS UBIGINT)"
+        words = [f"({wide} % {_M32})"] + ([f"({wide} // {_M32})"] if kind == "long" else [])
+        for w in words:
+            k1 = f"({_rotl(f'({w} * {_u(3432918353)} % {_M32})', 15)} * {_u(461845907)} % {_M32})"
+            step(f"xor(h, {k1})")
+            step(_rotl("h", 13))
+            step(f"(h * {_u(5)} + {_u(3864292196)}) % {_M32}")
+        step(f"xor(h, {_u(4 * len(words))})")
+        for shift, factor in ((16, 2246822507), (13, 3266489909), (16, None)):
+            step(f"xor(h, h // {_u(1 << shift)})" + (f" * {_u(factor)} % {_M32}" if factor else ""))
+    return ", " + ",\n".join(ctes) + f"\nSELECT ticker, n, t, v, " \
+        f"printf('%X', CASE WHEN h < 2147483648 THEN CAST(h AS BIGINT) ELSE CAST(h AS BIGINT) - 4294967296 END) AS hash_id FROM {last}"
+
+
+@register("hash_int_murmur", v(_murmur_sql([("n", "int"), ("t", "long"), ("v", "long")]), bars=True))
+def hash_int_murmur(spark, sf):
+    """F2 over the integral columns, which SQL arithmetic can check."""
+    b = td.bars(spark, sf).select("ticker", "n", "t", "v")
+    return b.withColumn("hash_id", H.murmur_fingerprint("n", "t", "v"))
+
+
 _F2B_COLS = ["ticker", "underlying_ticker", "contract_type", "exercise_style", "expiration_date", "cfi", "correction"]
 
 
@@ -281,10 +329,10 @@ def agg_count(spark, sf):
 
 
 @register("agg_result_size", v("""
-SELECT ticker, (count(*) + 3) // 4 AS n_responses, count(*) AS n_results FROM bars_v GROUP BY ticker""",
-                               bars=True))
+SELECT ticker, count(DISTINCT date_trunc('month', make_timestamp(t * 1000))) AS n_responses, count(*) AS n_results
+FROM bars_v GROUP BY ticker""", bars=True))
 def agg_result_size(spark, sf):
-    return Q.result_sizes(bar_response_pages(td.bars(spark, sf), 4))
+    return Q.result_sizes(bar_response_pages(td.bars(spark, sf)))
 
 
 @register("sort_bars", v(f"""
@@ -319,9 +367,8 @@ def topn_per_key(spark, sf):
 
 @register("union_all", v("SELECT * FROM bars_v", bars=True))
 def union_all_q(spark, sf):
-    b = td.bars(spark, sf)
-    cut = TF.epoch_millis(F.lit("2000-01-01").cast("timestamp_ntz"))
-    parts = [b.where(F.col("t") < cut), b.where(F.col("t") >= cut), b.where(F.col("t").isNull())]
+    cut, shipped = F.lit("2000-01-01").cast("timestamp_ntz"), F.col("l_shipdate")  # pushed to each scan
+    parts = [td.bars(spark, sf, where) for where in (shipped < cut, shipped >= cut, shipped.isNull())]
     return union_all(parts, schema=BAR, spark=spark)
 
 
@@ -349,7 +396,10 @@ def cache_two_branches(spark, sf):
     flat = shared.groupBy("underlying_ticker").agg(F.count(F.lit(1)).alias("n_bars"))
     nested = shared.select("underlying_ticker", "ticker").distinct().groupBy("underlying_ticker") \
         .agg(F.count(F.lit(1)).alias("n_contracts"))
-    return flat.join(nested, "underlying_ticker")
+    try:
+        return land(flat.join(nested, "underlying_ticker"), "two-branches")
+    finally:
+        shared.unpersist()
 
 
 # ---------------- re-aimed fetches ----------------
@@ -387,11 +437,11 @@ def join_contract_bars(spark, sf):
 
 @register("join_contract_documents", v(f"""
 SELECT c.underlying_ticker, c.ticker, c.contract_type, c.expiration_date, c.strike_price,
-  CAST(0 AS INTEGER) AS part, CAST(coalesce(s.n, 0) AS INTEGER) AS n_aggs, s.first_ts, s.last_ts, s.first_id
+  s.part, CAST(coalesce(s.n, 0) AS INTEGER) AS n_aggs, s.first_ts, s.last_ts, s.first_id
 FROM contracts_v c LEFT JOIN (
-  SELECT ticker, count(*) AS n, min(t) AS first_ts, max(t) AS last_ts,
-    sha256(ticker || '|' || CAST(min(t) AS VARCHAR) || '|1|day') AS first_id
-  FROM bars_v GROUP BY ticker) s ON s.ticker = c.ticker""", contracts=True, bars=True))
+  SELECT ticker, CAST(date_part('year', make_timestamp(t * 1000)) AS INTEGER) AS part, count(*) AS n,
+    min(t) AS first_ts, max(t) AS last_ts, sha256(ticker || '|' || CAST(min(t) AS VARCHAR) || '|1|day') AS first_id
+  FROM bars_v GROUP BY 1, 2) s ON s.ticker = c.ticker""", contracts=True, bars=True))
 def join_contract_documents(spark, sf):
     docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
     last = F.get("aggs", F.size("aggs") - 1)
@@ -420,13 +470,14 @@ _RESENT = ("1999-07-01", "1999-09-30")
 SELECT * FROM batch EXCEPT SELECT * FROM bars_v WHERE t < epoch_us(TIMESTAMP '{_STORED_BEFORE}') // 1000""",
                             bars=True))
 def dedup_append(spark, sf):
-    b = td.bars(spark, sf)
-    ids = H.row_id(b.schema, b.columns)
-    stored = b.where(F.col("t") < TF.epoch_millis(F.lit(_STORED_BEFORE).cast("timestamp_ntz"))) \
-        .withColumn("row_id", ids)
-    batch = b.where(F.col("t") >= TF.epoch_millis(F.lit(_BATCH_FROM).cast("timestamp_ntz"))) \
-        .unionByName(W.bars_in_day_range(b, *_RESENT)).withColumn("row_id", ids)
-    return J.idempotent_append(batch, stored).drop("row_id")
+    shipped = F.col("l_shipdate")  # conditions on the stored time are pushed to the scans
+    at = lambda day: F.lit(day).cast("timestamp_ntz")
+    stored = td.bars(spark, sf, shipped < at(_STORED_BEFORE))
+    stored = W.bars_since(stored, _BATCH_FROM)  # no older row can have an id of the batch
+    batch = td.bars(spark, sf, shipped >= at(_BATCH_FROM)).unionByName(
+        td.bars(spark, sf, TF.in_day_range("l_shipdate", *_RESENT)))
+    ids = H.row_id(batch.schema, batch.columns)
+    return J.idempotent_append(batch.withColumn("row_id", ids), stored.select(ids.alias("row_id"))).drop("row_id")
 
 
 @register("batch_assign", v(f"""

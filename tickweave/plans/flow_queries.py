@@ -1,93 +1,160 @@
-"""Decode-quality, UDF, flatMap and streaming queries (E1, A5, D-U1, D-U2, G2, B2)."""
+"""Decode-quality, array-of-struct, flatMap, streaming and whole-flow queries (E1, A5, D-U1, D-U2,
+G2, B2)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from .. import testdata as td
-from ..functions.udfs import BAR_ROW_COLUMNS, bar_rows_from_texts, bars_udf, contracts_udf
-from ..operators.generators import flat_map_pandas
 from ..operators.quality import envelope_report, load_audit_outcomes
-from ..schemas import BAR
+from ..schemas import BAR, CONTRACT
 from ..session import shared_dir
-from ..sources.responses import (as_json_text, bar_response_pages, classify_bar_responses,
-                                 contract_response_pages, split_bar_responses)
-from ..streaming.landing import land_bar_stream
+from ..sources.responses import (as_json_text, bar_response_pages, bars_of, classify_bar_responses,
+                                 classify_contract_responses, contract_response_pages, contracts_of,
+                                 decode_bar_responses, split_bar_responses)
+from ..streaming.landing import land_bar_stream, land_contract_stream
 from .populate import populate
 from .registry import register
 
 v = td.with_views
 
 
-@register("decode_good_bad_split", """
-SELECT reason, count(*) AS n_records FROM (
-  SELECT CASE WHEN l_linenumber = 7 THEN 'malformed'
-              WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN 'malformed'
-              WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN NULL
-              WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN 'fractional_volume'
-              ELSE 'good' END AS reason
-  FROM lineitem) WHERE reason IS NOT NULL GROUP BY reason""")
+@register("decode_good_bad_split", f"""
+SELECT reason, count(*) AS n_records FROM (SELECT {td.BAR_REASON_SQL} AS reason FROM lineitem)
+WHERE reason <> 'none' GROUP BY reason""")
 def decode_good_bad_split(spark, sf):
     rows = classify_bar_responses(td.bar_texts_with_defects(spark, sf))
     return rows.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(
         F.count(F.lit(1)).alias("n_records"))
 
 
-_DEFECT_CASE = """CASE WHEN l_linenumber = 7 OR (l_linenumber = 6 AND l_returnflag = 'R')
-              OR (l_linenumber = 5 AND l_returnflag = 'N') THEN 'failed'
-            WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'none' ELSE 'good' END"""
+@register("decode_contracts_split", f"""
+SELECT reason, count(*) AS n_records FROM (SELECT {td.CONTRACT_REASON_SQL} AS reason FROM orders)
+GROUP BY reason""")
+def decode_contracts_split(spark, sf):
+    rows = classify_contract_responses(td.contract_texts_with_defects(spark, sf))
+    return rows.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_records"))
+
+
+_DEFECT_CASE = f"""CASE {td.BAR_REASON_SQL} WHEN 'good' THEN 'good' WHEN 'none' THEN 'none' ELSE 'failed' END"""
 
 
-@register("load_audit_failed", v(f"""
+def _audit_sql(contracts: str) -> str:
+    """The audit over a contract table, with the failed records of no contract in a null row."""
+    return f"""
 , per_ticker AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
     count(*) FILTER (WHERE {_DEFECT_CASE} = 'good') AS good,
     count(*) FILTER (WHERE {_DEFECT_CASE} = 'failed') AS failed
-  FROM lineitem GROUP BY l_orderkey)
+  FROM lineitem GROUP BY l_orderkey), listed AS ({contracts})
 SELECT c.underlying_ticker, count(*) AS n_contracts, count(*) FILTER (WHERE p.good > 0) AS n_with_bars,
   count(*) FILTER (WHERE coalesce(p.good, 0) = 0) AS n_empty, CAST(coalesce(sum(p.good), 0) AS BIGINT) AS n_bars,
   CAST(coalesce(sum(p.failed), 0) AS BIGINT) AS n_failed
-FROM contracts_v c LEFT JOIN per_ticker p ON p.ticker = c.ticker GROUP BY c.underlying_ticker""", contracts=True))
+FROM listed c LEFT JOIN per_ticker p ON p.ticker = c.ticker GROUP BY c.underlying_ticker"""
+
+
+@register("load_audit_failed", v(_audit_sql("SELECT * FROM contracts_v"), contracts=True))
 def load_audit_failed(spark, sf):
     outcomes = classify_bar_responses(td.bar_texts_with_defects(spark, sf), request_key="request_ticker")
     return load_audit_outcomes(td.contracts(spark, sf), outcomes)
 
 
-@register("populate_end_to_end", v(f"""
-SELECT sha256(b.ticker || '|' || CAST(b.t AS VARCHAR) || '|1|day') AS agg_id, c.underlying_ticker, b.ticker,
-  b.o AS open, b.h AS high, b.l AS low, b.c AS close, b.v AS volume, b.vw AS vwap, b.t AS timestamp,
-  b.n AS transactions
-FROM contracts_v c JOIN (
-  SELECT CAST(l_orderkey AS VARCHAR) AS ticker, l_extendedprice AS c, l_extendedprice * (1 + l_tax) AS h,
+# ---- the whole flow: landed twice under two run ids, so the second run must change nothing ----
+
+AS_OF, LOOKBACK, BAR_RANGE = "1998-01-31", 30, ("1998-01-01", "1999-12-31")
+_LISTED_SQL = f"""SELECT * FROM contracts_v WHERE CAST(ticker AS BIGINT) % 10 NOT IN (3, 7, 9)
+  AND expiration_date >= DATE '{AS_OF}' - INTERVAL {LOOKBACK} DAY"""
+_GOOD_SQL = f"""SELECT CAST(l_orderkey AS VARCHAR) AS ticker, l_extendedprice AS c, l_extendedprice * (1 + l_tax) AS h,
     l_extendedprice * (1 - l_discount) * (1 - l_tax) AS l, l_linenumber AS n,
     l_extendedprice * (1 - l_discount) AS o, epoch_us(l_shipdate) // 1000 AS t, CAST(l_quantity AS BIGINT) AS v,
     (l_extendedprice * (1 + l_tax) + l_extendedprice * (1 - l_discount) * (1 - l_tax) + l_extendedprice) / 3 AS vw
-  FROM lineitem WHERE {_DEFECT_CASE} = 'good') b ON b.ticker = c.ticker""", contracts=True))
-def populate_end_to_end(spark, sf):
+  FROM lineitem WHERE {_DEFECT_CASE} = 'good' AND CAST(l_shipdate AS DATE)
+    BETWEEN DATE '{BAR_RANGE[0]}' AND DATE '{BAR_RANGE[1]}'"""
+
+
+def _populated(spark, sf):
     root = shared_dir(spark, "populate")
-    # land the inputs the way the fetch stage would: a universe CSV, contract-list pages, bar responses
+    # land the inputs the way the fetch stage would: a universe CSV, contract lists, bar responses
     (td.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("Symbol"),
                                             F.col("c_name").alias("Name"))
      .write.option("header", True).csv(f"{root}/in/universe"))
-    as_json_text(contract_response_pages(td.contracts(spark, sf)), drop=["underlying_ticker", "page"]) \
-        .write.text(f"{root}/in/contracts")
+    td.contract_texts_with_defects(spark, sf).write.text(f"{root}/in/contracts")
     td.bar_texts_with_defects(spark, sf).write.json(f"{root}/in/bars")
-    result = populate(spark, f"{root}/in/universe", f"{root}/in/contracts", f"{root}/in/bars", f"{root}/out")
-    return spark.read.parquet(result.rows_path)
+    for run in ("first", "second"):
+        paths = populate(spark, f"{root}/in/universe", f"{root}/in/contracts", f"{root}/in/bars", f"{root}/out",
+                         run_id=run, as_of=AS_OF, lookback_days=LOOKBACK, bar_range=BAR_RANGE)
+    return paths
+
+
+@register("populate_end_to_end", v(f"""
+, listed AS ({_LISTED_SQL})
+SELECT sha256(b.ticker || '|' || CAST(b.t AS VARCHAR) || '|1|day') AS agg_id, c.underlying_ticker, b.ticker,
+  b.o AS open, b.h AS high, b.l AS low, b.c AS close, b.v AS volume, b.vw AS vwap, b.t AS timestamp,
+  b.n AS transactions
+FROM listed c JOIN ({_GOOD_SQL}) b ON b.ticker = c.ticker""", contracts=True))
+def populate_end_to_end(spark, sf):
+    rows = spark.read.parquet(_populated(spark, sf).rows_path)
+    return rows.drop("run_id", "hash_id")
+
+
+@register("populate_documents", v(f"""
+, listed AS ({_LISTED_SQL}), good AS ({_GOOD_SQL})
+SELECT c.underlying_ticker, c.ticker, s.part, CAST(coalesce(s.n, 0) AS INTEGER) AS n_aggs, s.first_ts, s.last_ts
+FROM listed c LEFT JOIN (
+  SELECT ticker, CAST(date_part('year', make_timestamp(t * 1000)) AS INTEGER) AS part, count(*) AS n,
+    min(t) AS first_ts, max(t) AS last_ts FROM good GROUP BY ALL) s ON s.ticker = c.ticker""", contracts=True))
+def populate_documents(spark, sf):
+    docs = spark.read.parquet(_populated(spark, sf).documents_path)
+    return docs.select("underlying_ticker", "ticker", "part", F.size("aggs").alias("n_aggs"),
+                       F.get("aggs", 0)["timestamp"].alias("first_ts"),
+                       F.get("aggs", F.size("aggs") - 1)["timestamp"].alias("last_ts"))
+
+
+@register("populate_contracts", v(f"""
+, listed AS ({_LISTED_SQL})
+SELECT underlying_ticker, ticker, contract_type, exercise_style, expiration_date, strike_price FROM listed""",
+                                  contracts=True))
+def populate_contracts(spark, sf):
+    return spark.read.parquet(_populated(spark, sf).contracts_path).select(
+        "underlying_ticker", "ticker", "contract_type", "exercise_style", "expiration_date", "strike_price")
+
+
+@register("populate_dead_letters", f"""
+SELECT 'bars' AS kind, CAST(l_orderkey AS VARCHAR) AS ticker, {td.BAR_REASON_SQL} AS reason
+FROM lineitem WHERE {_DEFECT_CASE} = 'failed'
+UNION ALL SELECT 'contracts', NULL, {td.CONTRACT_REASON_SQL} FROM orders WHERE {td.CONTRACT_REASON_SQL} <> 'good'""")
+def populate_dead_letters(spark, sf):
+    return spark.read.parquet(_populated(spark, sf).dead_letters_path).select("kind", "ticker", "reason")
+
+
+@register("populate_audit", v(f"""
+, listed AS ({_LISTED_SQL}), good AS ({_GOOD_SQL}),
+bars AS (SELECT ticker, count(*) AS n FROM good GROUP BY ticker),
+failed AS (SELECT CAST(l_orderkey AS VARCHAR) AS ticker, count(*) AS n FROM lineitem
+  WHERE {_DEFECT_CASE} = 'failed' GROUP BY l_orderkey
+  UNION ALL SELECT NULL, count(*) FROM orders WHERE {td.CONTRACT_REASON_SQL} <> 'good')
+SELECT c.underlying_ticker, count(*) AS n_contracts, count(b.n) AS n_with_bars, count(*) - count(b.n) AS n_empty,
+  CAST(coalesce(sum(b.n), 0) AS BIGINT) AS n_bars, CAST(coalesce(sum(f.n), 0) AS BIGINT) AS n_failed
+FROM listed c LEFT JOIN bars b ON b.ticker = c.ticker LEFT JOIN failed f ON f.ticker = c.ticker
+GROUP BY c.underlying_ticker
+UNION ALL SELECT NULL, 0, 0, 0, 0, CAST(sum(n) AS BIGINT) FROM failed
+WHERE ticker IS NULL OR ticker NOT IN (SELECT ticker FROM listed)""", contracts=True))
+def populate_audit(spark, sf):
+    audit = spark.read.parquet(_populated(spark, sf).audit_path)
+    return audit.where(F.col("run_id") == "second").drop("run_id")
 
 
 @register("quality_envelope_counts", v("""
-, per AS (SELECT ticker, count(*) AS n, (count(*) + 3) // 4 AS pages FROM bars_v GROUP BY ticker)
-SELECT 'OK' AS status, CAST(sum(pages) AS BIGINT) AS n_responses,
-  CAST(sum(CASE WHEN n > 4 THEN pages ELSE 0 END) AS BIGINT) AS n_mismatched, CAST(0 AS BIGINT) AS n_undeclared,
-  CAST(sum(n * pages) AS BIGINT) AS declared_total, CAST(sum(n) AS BIGINT) AS actual_total FROM per""",
-                                       bars=True))
+, per AS (SELECT ticker, date_trunc('month', make_timestamp(t * 1000)) AS page, count(*) AS n FROM bars_v GROUP BY ALL)
+SELECT 'OK' AS status, count(*) AS n_responses, count(*) FILTER (WHERE month(page) = 12) AS n_mismatched,
+  CAST(0 AS BIGINT) AS n_undeclared, CAST(sum(n + CASE WHEN month(page) = 12 THEN 1 ELSE 0 END) AS BIGINT)
+  AS declared_total, CAST(sum(n) AS BIGINT) AS actual_total FROM per""", bars=True))
 def quality_envelope_counts(spark, sf):
-    bars = td.bars(spark, sf)
-    pages = bar_response_pages(bars, 4)
-    # the envelope declares the ticker's total, the page holds at most 4: a count mismatch
-    totals = bars.groupBy("ticker").agg(F.count(F.lit(1)).cast("int").alias("_total"))
-    declared = pages.join(totals, "ticker").withColumn("resultsCount", F.col("_total")).drop("_total")
+    pages = bar_response_pages(td.bars(spark, sf))
+    # envelopes of December pages declare one bar more than they hold
+    december = F.endswith("request_id", F.lit("12")).cast("int")
+    declared = pages.withColumn("resultsCount", F.col("resultsCount") + december)
     _, _, envelopes = split_bar_responses(as_json_text(declared))
     return envelope_report(envelopes)
 
@@ -97,7 +164,7 @@ SELECT ticker, underlying_ticker, contract_type, exercise_style, strftime(expira
   AS expiration_date, strike_price FROM contracts_v""", contracts=True))
 def udf_array_struct_contracts(spark, sf):
     texts = as_json_text(contract_response_pages(td.contracts(spark, sf)), drop=["underlying_ticker", "page"])
-    return texts.select(F.explode(contracts_udf("value")).alias("c")).select("c.*")
+    return texts.select(F.explode(contracts_of("value")).alias("c")).select("c.*")
 
 
 @register("udf_array_struct_bars", v("""
@@ -105,25 +172,45 @@ SELECT ticker, o AS open, h AS high, l AS low, c AS close, v AS volume, vw AS vw
   n AS transactions, sha256(ticker || '|' || CAST(t AS VARCHAR) || '|1|day') AS agg_id FROM bars_v""",
                                      bars=True))
 def udf_array_struct_bars(spark, sf):
-    pages = bar_response_pages(td.bars(spark, sf), 1000)
+    pages = bar_response_pages(td.bars(spark, sf))
     texts = pages.select("ticker", F.to_json(F.struct(*pages.columns)).alias("value"))
-    return texts.select("ticker", F.explode(bars_udf("value")).alias("b")).select("ticker", "b.*")
+    return texts.select("ticker", F.explode(bars_of("value")).alias("b")).select("ticker", "b.*")
 
 
 @register("flatmap_map_in_pandas", v("SELECT * FROM bars_v", bars=True))
 def flatmap_map_in_pandas(spark, sf):
-    texts = as_json_text(bar_response_pages(td.bars(spark, sf), 1000))
-    schema = BAR.simpleString()[len("struct<"):-1]
-    return flat_map_pandas(texts, bar_rows_from_texts, schema).select(*BAR_ROW_COLUMNS)
+    """G2, one text -> 0..n bar rows, by the decoder's generator (`generators.flat_map_pandas` is for
+    bodies that no function expresses)."""
+    texts = as_json_text(bar_response_pages(td.bars(spark, sf)))
+    return decode_bar_responses(texts).select(*BAR.fieldNames())
 
 
-@register("stream_land_bars", v("SELECT * FROM bars_v", bars=True))
+@register("stream_land_bars", v(f"""
+SELECT ticker, c, h, l, n, o, t, v, vw FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS ticker, l_extendedprice AS c, l_extendedprice * (1 + l_tax) AS h,
+    l_extendedprice * (1 - l_discount) * (1 - l_tax) AS l, l_linenumber AS n,
+    l_extendedprice * (1 - l_discount) AS o, epoch_us(l_shipdate) // 1000 AS t, CAST(l_quantity AS BIGINT) AS v,
+    (l_extendedprice * (1 + l_tax) + l_extendedprice * (1 - l_discount) * (1 - l_tax) + l_extendedprice) / 3 AS vw
+  FROM lineitem WHERE {_DEFECT_CASE} = 'good')""", bars=True))
 def stream_land_bars(spark, sf):
-    landing = shared_dir(spark, "landing", "bars")
-    table = shared_dir(spark, "landed", "bars")
-    dead = shared_dir(spark, "landed", "bars_dead_letter")
-    ckpt = shared_dir(spark, "streams", "land_bars")
-    texts = as_json_text(bar_response_pages(td.bars(spark, sf), 1000))
-    texts.repartition(3).write.text(landing)
-    land_bar_stream(spark, landing, table, ckpt, dead_letter_dir=dead, max_files_per_trigger=1)
+    """Two landings, each with a checkpoint of its own, into one table; the input has defects."""
+    table, dead = shared_dir(spark, "landed", "bars"), shared_dir(spark, "landed", "bars_dead_letter")
+    texts = td.bar_texts_with_defects(spark, sf)
+    odd = F.pmod(F.col("request_ticker").cast("bigint"), F.lit(2)) == 1
+    for part in (texts.where(odd), texts.where(~odd)):
+        landing = shared_dir(spark, "landing", "bars")
+        part.write.json(landing)
+        land_bar_stream(spark, landing, table, shared_dir(spark, "streams", "land_bars"), dead_letter_dir=dead,
+                        request_key="request_ticker")
     return spark.read.parquet(table).select(*BAR.fieldNames())
+
+
+@register("stream_land_contracts", v(f"""
+SELECT {", ".join(CONTRACT.fieldNames())} FROM contracts_v WHERE CAST(ticker AS BIGINT) % 10 NOT IN (3, 7, 9)""",
+                                     contracts=True))
+def stream_land_contracts(spark, sf):
+    landing, table = shared_dir(spark, "landing", "contracts"), shared_dir(spark, "landed", "contracts")
+    td.contract_texts_with_defects(spark, sf).write.text(landing)
+    land_contract_stream(spark, landing, table, shared_dir(spark, "streams", "land_contracts"),
+                         dead_letter_dir=shared_dir(spark, "landed", "contracts_dead_letter"))
+    return spark.read.parquet(table).select(*CONTRACT.fieldNames())

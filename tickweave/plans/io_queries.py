@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from .. import testdata as td
 from ..operators import joins as J
 from ..operators import ranking as R
-from ..operators.batching import assign_batches
 from ..schemas import BAR, CONTRACT, CONTRACT_DOCUMENT
 from ..session import shared_dir
 from ..sinks import writers as K
@@ -24,6 +23,7 @@ from .registry import register
 v = td.with_views
 CONTRACT_COLS = ", ".join(CONTRACT.fieldNames())
 LOAD_DATE = "2024-09-19"
+LANDING_FILE_ROWS = 250_000
 
 
 @register("src_csv_universe", v("SELECT underlying_ticker FROM universe_v", universe=True))
@@ -37,11 +37,9 @@ def src_csv_universe(spark, sf):
 
 
 def _land_contracts_nested(spark, sf):
-    """Contracts landed one folder per underlying, the underlying kept inside the files too."""
+    """Contracts landed in nested folders: a load date, and in it a fixed number of buckets."""
     path = shared_dir(spark, "contracts_nested")
-    c = td.contracts(spark, sf)
-    K.write_parquet_partitioned(c.withColumn("underlying", F.col("underlying_ticker")), path, ["underlying"],
-                                cluster=["ticker"])
+    K.write_parquet_bucketed(td.contracts(spark, sf), f"{path}/load_date={LOAD_DATE}", "underlying_ticker", 16)
     return path
 
 
@@ -83,7 +81,7 @@ def json_contracts(spark, sf):
 
 @register("json_bars", v("SELECT * FROM bars_v", bars=True))
 def json_bars(spark, sf):
-    return decode_bar_responses(as_json_text(bar_response_pages(td.bars(spark, sf), 1000)))
+    return decode_bar_responses(as_json_text(bar_response_pages(td.bars(spark, sf))))
 
 
 @register("sink_documents", v("""
@@ -103,18 +101,17 @@ def sink_documents(spark, sf):
 @register("sink_parquet_by_underlying", v(f"SELECT {CONTRACT_COLS} FROM contracts_v", contracts=True))
 def sink_parquet_by_underlying(spark, sf):
     path = shared_dir(spark, "contracts_by_underlying")
-    K.write_parquet_partitioned(td.contracts(spark, sf), path, ["underlying_ticker"], mode="append",
-                                cluster=["ticker"])
+    K.write_parquet_bucketed(td.contracts(spark, sf), path, "underlying_ticker", 16)
     return spark.read.schema(CONTRACT).parquet(path).select(*CONTRACT.fieldNames())
 
 
 @register("sink_parquet_by_batch", v("SELECT * FROM bars_v", bars=True))
 def sink_parquet_by_batch(spark, sf):
     path = shared_dir(spark, "bars_by_batch")
-    batched = assign_batches(td.bars(spark, sf), ["ticker", "t", *TIEBREAK], 2500) \
-        .withColumn("load_date", F.lit(LOAD_DATE).cast("date"))
-    for _ in range(2):  # a re-run rewrites the same partitions: nothing is appended twice
-        K.write_parquet_partitioned(batched, path, ["load_date", "batch_id"], dynamic_overwrite=True)
+    rows = td.bars(spark, sf).withColumn("load_date", F.lit(LOAD_DATE).cast("date"))
+    for _ in range(2):  # a re-run rewrites the same partition: nothing is appended twice
+        K.write_parquet_partitioned(rows, path, ["load_date"], dynamic_overwrite=True,
+                                    max_records_per_file=LANDING_FILE_ROWS)
     back = spark.read.parquet(path).where(F.col("load_date") == F.lit(LOAD_DATE).cast("date"))
     return back.select(*BAR.fieldNames())
 

@@ -1,11 +1,10 @@
 """Session helpers.
 
 `local_session` is what tests and the bench use. Library operators never create a session;
-they receive DataFrames. `shared_dir` gives a fresh folder inside the cluster's shared
-checkpoint location (``spark.checkpoint.dir``), which is where round-trip writes, streaming
-checkpoints and lineage cuts go. Only when that setting is missing (a bare local test session)
-does it fall back to a new temporary folder, and it then registers that folder as the
-checkpoint dir so `DataFrame.checkpoint()` works too.
+they receive DataFrames. `shared_dir` gives a fresh folder
+inside the cluster's shared checkpoint location (``spark.checkpoint.dir``), which is where round-trip
+writes, streaming checkpoints and lineage cuts go; `clear_scratch` deletes an application's.
+Only on a local master may the setting be missing: a new temporary folder then stands in.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK_ROOT: str | None = None
 
@@ -39,24 +38,42 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, a new local one on a
+    local master, and an error on any other: executors would not see it."""
     global _FALLBACK_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="tickweave-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
-        except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-            spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)
+        spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
     return _FALLBACK_ROOT
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/tickweave/{spark.conf.get('spark.app.id', 'app')}"
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unique folder path under the shared checkpoint root (not created yet)."""
     sub = "/".join(p.strip("/") for p in parts if p)
-    return f"{checkpoint_root(spark)}/tickweave/{sub}/{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{sub}/{uuid.uuid4().hex}"
+
+
+def land(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as Parquet in the shared scratch folder and read it back."""
+    path = shared_dir(df.sparkSession, "landed", label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has put under the shared checkpoint root. For the caller,
+    when no DataFrame that reads it is used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def is_local_path(path: str) -> bool:

@@ -2,8 +2,10 @@
 JSON text back into rows (S5, S6), routing bad records to a dead-letter table (E1).
 
 Decoding is lenient on unknown keys, treats missing/null `results` as empty, and copies the
-envelope `ticker` onto each bar. Volume is read as double, must be integral and within the
-bigint range, and is stored as bigint; anything else is a dead letter, never a silent null.
+envelope `ticker` onto each bar. Every wire field of a bar is required; volume is read as double,
+must be within the bigint range and integral, and is stored as bigint; anything else is a dead
+letter, never a silent null. No cast on a decoded value can fail: one bad record never stops the
+others. A response whose status is not a good one is a dead letter as a whole.
 
 Decoded rows are produced by a generator (`inline`/`explode`) whose input already folds in the
 corrupt-record check. Later predicates on decoded fields (a join's inferred `ticker IS NOT
@@ -18,27 +20,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..defaults import RESPONSE_PAGE_SIZE
 from ..functions.arrays import element_count
-from ..operators.ranking import ordinal_within
-from ..schemas import BAR_RESPONSE, BAR_WIRE, CONTRACT, CONTRACT_RESPONSE
+from ..functions.hashing import bar_id
+from ..functions.timefns import utc_ntz_from_millis
+from ..schemas import BAR_RESPONSE, BAR_SHORT_TO_LONG, BAR_WIRE, CONTRACT, CONTRACT_RESPONSE
 
 CORRUPT = "_corrupt_record"
-_MAX_LONG = 9.223372036854775e18
+_MAX_LONG = 2.0 ** 63
+# ---- fixed values: envelope statuses of an answer that holds its data ----
+GOOD_STATUS = ("OK", "DELAYED")
+# ---- end of fixed values ----
 
 
 # ---------- encoding (tables -> response pages) ----------
 
-def pack_pages(df: DataFrame, key: str, order: list[Column | str], element: Column, page_size: int) -> DataFrame:
-    """Group rows into pages of at most `page_size` per key, elements in `order`.
+def month_of(day: Column) -> Column:
+    """A date as yyyymm; 0 for null."""
+    return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0))
 
-    Pages come from a range-partitioned ordinal, so a key with a huge number of rows becomes
-    many bounded pages and never one unbounded group. Output: key, page, n_pages, results.
+
+def pack_pages(df: DataFrame, key: str, page: Column, order: list[Column | str], element: Column) -> DataFrame:
+    """Group rows into one page per key and calendar month, elements in `order`.
+
+    A page's size follows from the data's time and not from its volume, so a key with a long
+    history is many groups; one shuffle, no ordinal. Output: key, page, results.
     """
-    numbered = ordinal_within(df.select("*", element.alias("_el")), [key], order, "_ord")
-    paged = numbered.select(key, F.floor(F.col("_ord") / page_size).cast("int").alias("page"),
-                            F.struct(F.col("_ord"), F.col("_el")).alias("_e"))
-    pages = paged.groupBy(key, "page").agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+    cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    entry = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(cols)], element.alias("_el"))
+    pages = df.select(F.col(key), page.alias("page"), entry.alias("_e")).groupBy(key, "page") \
+        .agg(F.array_sort(F.collect_list("_e")).alias("_es"))
     return pages.select(key, "page", F.transform("_es", lambda e: e["_el"]).alias("results"))
 
 
@@ -48,10 +58,11 @@ def bar_wire(v: Column | None = None) -> Column:
                       for n in BAR_WIRE.fieldNames()])
 
 
-def bar_response_pages(bars: DataFrame, page_size: int = RESPONSE_PAGE_SIZE, wire_v: Column | None = None,
+def bar_response_pages(bars: DataFrame, wire_v: Column | None = None,
                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw")) -> DataFrame:
-    """Bars -> one aggregates response per (ticker, page), as struct columns."""
-    pages = pack_pages(bars, "ticker", [F.col("t"), *[F.col(c) for c in tiebreak]], bar_wire(wire_v), page_size)
+    """Bars -> one aggregates response per (ticker, calendar month UTC), as struct columns."""
+    pages = pack_pages(bars, "ticker", month_of(F.to_date(utc_ntz_from_millis("t"))), ["t", *tiebreak],
+                       bar_wire(wire_v))
     size = F.size("results")
     return pages.select(
         F.lit(True).alias("adjusted"), size.alias("count"), size.alias("queryCount"),
@@ -59,11 +70,11 @@ def bar_response_pages(bars: DataFrame, page_size: int = RESPONSE_PAGE_SIZE, wir
         "results", size.alias("resultsCount"), F.lit("OK").alias("status"), "ticker")
 
 
-def contract_response_pages(contracts: DataFrame, page_size: int = RESPONSE_PAGE_SIZE) -> DataFrame:
-    """Contracts -> one list response per (underlying, page); `next_url` links the next page."""
+def contract_response_pages(contracts: DataFrame) -> DataFrame:
+    """Contracts -> one list response per (underlying, expiration month)."""
     wire = F.struct(*[(F.date_format(n, "yyyy-MM-dd") if n == "expiration_date" else F.col(n)).alias(n)
                       for n in CONTRACT.fieldNames()])
-    pages = pack_pages(contracts, "underlying_ticker", [F.col("ticker")], wire, page_size)
+    pages = pack_pages(contracts, "underlying_ticker", month_of(F.col("expiration_date")), ["ticker"], wire)
     return pages.select(
         F.concat_ws("-", "underlying_ticker", F.col("page").cast("string")).alias("request_id"),
         F.lit(None).cast("string").alias("next_url"),
@@ -93,61 +104,116 @@ def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value",
     return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"), *keep)
 
 
+def _unreadable(status: Column) -> Column:
+    """Why a whole response is a dead letter; null for a good one."""
+    return (F.when(F.col(f"r.{CORRUPT}").isNotNull(), F.lit("malformed"))
+            .when(~F.coalesce(F.upper(status).isin(*GOOD_STATUS), F.lit(True)), F.lit("error_response")))
+
+
+def _bad_date(text: Column) -> Column:
+    return text.isNotNull() & F.try_to_date(text, "yyyy-MM-dd").isNull()
+
+
 def classify_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
-    """E1 for contract lists, one parse: a row per contract (`reason` null) plus one row per
-    unreadable response (`reason` = `malformed`, raw text in `record`, contract fields null)."""
+    """E1 for contract lists, one parse: a row per contract (`reason` null, or `bad_date` with the
+    contract's JSON in `record`) plus one row per unreadable or error response (`reason`
+    `malformed` or `error_response`, raw text in `record`, contract fields null)."""
     parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
-    corrupt = F.col(f"r.{CORRUPT}").isNotNull()
-    items = F.when(corrupt, F.array(F.lit(None).cast(CONTRACT_RESPONSE["results"].dataType.elementType))) \
+    why = _unreadable(F.col("r.status"))
+    items = F.when(why.isNotNull(), F.array(F.lit(None).cast(CONTRACT_RESPONSE["results"].dataType.elementType))) \
         .otherwise(F.col("r.results"))
-    raw = F.when(corrupt, F.col("_text"))
+    raw = F.when(why.isNotNull(), F.col("_text"))
     rows = parsed.select(F.inline(F.transform(items, lambda c: F.struct(
-        F.when(corrupt, F.lit("malformed")).alias("reason"), raw.alias("record"), c.alias("c")))))
-    return rows.select("reason", "record",
-                       *[(F.to_date(f"c.{n}") if n == "expiration_date" else F.col(f"c.{n}")).alias(n)
-                         for n in CONTRACT.fieldNames()])
+        why.alias("_why"), raw.alias("_raw"), c.alias("c")))))
+    reason = F.coalesce(F.col("_why"), F.when(F.col("c").isNull(), F.lit("null_contract")),
+                        F.when(_bad_date(F.col("c.expiration_date")), F.lit("bad_date")))
+    return rows.select(
+        reason.alias("reason"), F.coalesce("_raw", F.when(reason.isNotNull(), F.to_json("c"))).alias("record"),
+        *[(F.try_to_date(f"c.{n}", "yyyy-MM-dd") if n == "expiration_date" else F.col(f"c.{n}")).alias(n)
+          for n in CONTRACT.fieldNames()])
 
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
     """Contract-list responses -> contract rows (expiration parsed to date); see
-    `classify_contract_responses` for the unreadable ones."""
-    parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
-    rows = parsed.select(F.inline(F.when(F.col(f"r.{CORRUPT}").isNull(), F.col("r.results"))))
-    return rows.select(*[(F.to_date("expiration_date") if n == "expiration_date" else F.col(n)).alias(n)
-                         for n in CONTRACT.fieldNames()])
+    `classify_contract_responses` for the rest."""
+    return classify_contract_responses(texts, col).where(F.col("reason").isNull()).select(*CONTRACT.fieldNames())
 
 
 def _bar_problem(b: Column) -> Column:
-    v = b["v"]
+    """Why a bar is a dead letter; null for a good one. Ranges are tested before fractions, since no
+    fraction is left in a double beyond the bigint range."""
+    v, prices = b["v"], [b[n] for n in ("c", "h", "l", "o", "vw")]
+    missing, infinite = F.lit(False), F.lit(False)
+    for n in BAR_WIRE.fieldNames():
+        missing = missing | b[n].isNull()
+    for x in prices:
+        infinite = infinite | F.isnan(x) | (F.abs(x) == float("inf"))
     return (F.when(b.isNull(), F.lit("null_bar"))
-            .when(v.isNull() | b["t"].isNull(), F.lit("missing_field"))
-            .when(F.isnan(v) | (v != F.floor(v)), F.lit("fractional_volume"))
-            .when(F.abs(v) >= F.lit(_MAX_LONG), F.lit("volume_out_of_range")))
+            .when(missing, F.lit("missing_field"))
+            .when(infinite, F.lit("price_not_finite"))
+            .when(F.isnan(v) | (F.abs(v) >= F.lit(_MAX_LONG)), F.lit("volume_out_of_range"))
+            .when(v != F.floor(v), F.lit("fractional_volume")))
 
 
 def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
-    """E1 in one pass: every bar of every response, and every unparsable response, as rows
-    `ticker, reason, record, c, h, l, n, o, t, v, vw`. `reason` is null for a good bar;
-    dead letters keep the raw text (`malformed`) or the bar's JSON (rule broken).
+    """E1 in one pass: every bar of every response, and every unreadable or error response, as rows
+    `ticker, reason, record, c, h, l, n, o, t, v, vw`. `reason` is null for a good bar; dead
+    letters keep the raw text (`malformed`, `error_response`) or the bar's JSON (rule broken).
 
     An unparsable text has no readable envelope, so its ticker is unknown unless the landing
     kept the request key next to the body: pass that column as `request_key` and it is used
-    whenever the envelope ticker is missing.
+    whenever the envelope ticker is missing. A bar without either is a dead letter too.
     """
     parsed = parse_responses(texts, BAR_RESPONSE, col, keep=[request_key] if request_key else [])
-    corrupt = F.col(f"r.{CORRUPT}").isNotNull()
-    # an unparsable response becomes one placeholder element so it survives the explode
-    items = F.when(corrupt, F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
+    why = _unreadable(F.col("r.status"))
+    # an unreadable response becomes one placeholder element so it survives the explode
+    items = F.when(why.isNotNull(), F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
     ticker = F.coalesce(F.col("r.ticker"), F.col(request_key)) if request_key else F.col("r.ticker")
-    raw = F.when(corrupt, F.col("_text"))  # the raw text travels only with unparsable responses
-    elements = F.transform(items, lambda b: F.struct(ticker.alias("ticker"), corrupt.alias("_bad"),
+    raw = F.when(why.isNotNull(), F.col("_text"))  # the raw text travels only with unreadable responses
+    elements = F.transform(items, lambda b: F.struct(ticker.alias("ticker"), why.alias("_why"),
                                                      raw.alias("_raw"), b.alias("b")))
     rows = parsed.select(F.inline(elements))
-    reason = F.when(F.col("_bad"), F.lit("malformed")).otherwise(_bar_problem(F.col("b")))
-    record = F.when(F.col("_bad"), F.col("_raw")).when(reason.isNotNull(), F.to_json("b"))
+    reason = F.coalesce(F.col("_why"), _bar_problem(F.col("b")),
+                        F.when(F.col("ticker").isNull(), F.lit("missing_ticker")))
+    record = F.coalesce(F.col("_raw"), F.when(reason.isNotNull(), F.to_json("b")))
     return rows.select(
         "ticker", reason.alias("reason"), record.alias("record"),
-        *[(F.col("b.v").cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
+        *[(F.col("b.v").try_cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
+
+
+def bars_of(col, request_key: str | None = None) -> Column:
+    """D-U2 as a column: response text -> array<struct<bar>> of its good bars by the rules above, with
+    long names and agg_id; empty for a response without any."""
+    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
+    r = F.from_json(col, _with_corrupt(BAR_RESPONSE), opts)
+
+    def of(r: Column) -> Column:
+        ticker = F.coalesce(r["ticker"], F.col(request_key)) if request_key else r["ticker"]
+        fine = r[CORRUPT].isNull() & F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True)) & ticker.isNotNull()
+        good = F.filter(F.coalesce(r["results"], F.array().cast(BAR_RESPONSE["results"].dataType)),
+                        lambda b: fine & _bar_problem(b).isNull())
+        return F.transform(good, lambda b: F.struct(
+            *[(b[s].try_cast("bigint") if s == "v" else b[s]).alias(name) for s, name in BAR_SHORT_TO_LONG.items()],
+            bar_id(ticker, b["t"]).alias("agg_id")))
+
+    # the parsed text is bound once, by a lambda, instead of being parsed for every field
+    return F.flatten(F.transform(F.array(r), of))
+
+
+def contracts_of(col) -> Column:
+    """D-U1 as a column: response text -> array<struct<contract>> of its good contracts (expiration as
+    text); empty for a response without any."""
+    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
+    r = F.from_json(col, _with_corrupt(CONTRACT_RESPONSE), opts)
+    fields = ["ticker", "underlying_ticker", "contract_type", "exercise_style", "expiration_date", "strike_price"]
+
+    def of(r: Column) -> Column:
+        fine = r[CORRUPT].isNull() & F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True))
+        good = F.filter(F.coalesce(r["results"], F.array().cast(CONTRACT_RESPONSE["results"].dataType)),
+                        lambda c: fine & c.isNotNull() & ~_bad_date(c["expiration_date"]))
+        return F.transform(good, lambda c: F.struct(*[c[n].alias(n) for n in fields]))
+
+    return F.flatten(F.transform(F.array(r), of))
 
 
 def split_bar_responses(texts: DataFrame, col: str = "value",

@@ -88,48 +88,68 @@ def ticks(spark: SparkSession, sf_dir: str, ticker: str = "event_type") -> DataF
 
 
 def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One aggregates response per line item, some made faulty by fixed rules on the row:
+    """One aggregates response per line item, some made faulty by fixed rules on the row
+    (`BAR_REASON_SQL` is the same in SQL):
 
-    - line 7: text cut before its closing brace (malformed);
-    - line 6 with return flag R: trade count sent as the text "x" (wrong type -> malformed);
-    - line 5 with return flag N: volume sent as quantity + 0.5 (fractional volume);
-    - line 4 with return flag A: `results` null (no bars, not an error).
+    - line 7: text cut before its closing brace; line 6 with return flag R: trade count sent as the
+      text "x" (both malformed);
+    - line 5, flag N: volume sent as quantity + 0.5 (fractional);
+    - line 4, flag A: `results` null (no bars, not an error);
+    - line 3, flag R: volume 1e20; line 2, flag A: volume NaN (both out of range);
+    - line 3, flag A: no close (missing field);
+    - line 2, flag R: an error body without results.
 
     Columns: `value` (the landed body) and `request_ticker` (the key the request was made
     for, as a landing keeps it next to the body).
     """
     from .sources.responses import bar_wire
 
-    # the stand-in table is one file with one row group (one scan task); a real landing is
-    # many files, so spread the rows first, as such a landing would be read, and encode there
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = table(spark, sf_dir, "lineitem")
-    li = li.repartition(n, F.xxhash64("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"))
     c = F.col("l_extendedprice")
     o = c * (1 - F.col("l_discount"))
     h = c * (1 + F.col("l_tax"))
     low = o * (1 - F.col("l_tax"))
     ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
+    quantity = F.col("l_quantity").cast("double")
     base = li.select(
-        F.col("l_orderkey").cast("string").alias("ticker"), c.alias("c"), h.alias("h"), low.alias("l"),
+        F.col("l_orderkey").cast("string").alias("ticker"),
+        F.when(~((ln == 3) & (rf == "A")), c).alias("c"), h.alias("h"), low.alias("l"),
         ln.alias("n"), o.alias("o"), epoch_millis("l_shipdate").alias("t"),
-        F.when((ln == 5) & (rf == "N"), F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity")).alias("v"),
+        F.when((ln == 5) & (rf == "N"), quantity + 0.5).when((ln == 3) & (rf == "R"), F.lit(1e20))
+        .otherwise(quantity).alias("v"),
         ((h + low + c) / 3).alias("vw"), ln.alias("_ln"), rf.alias("_rf"))
-    results = F.when((F.col("_ln") == 4) & (F.col("_rf") == "A"), F.lit(None)).otherwise(F.array(bar_wire()))
+    ln, rf = F.col("_ln"), F.col("_rf")
+    error = (ln == 2) & (rf == "R")
+    results = F.when(~(error | (ln == 4) & (rf == "A")), F.array(bar_wire()))
     env = base.select(
         F.lit(True).alias("adjusted"), F.lit(1).alias("count"), F.lit(1).alias("queryCount"),
         F.concat_ws("-", "ticker", F.col("t").cast("string"), F.col("n").cast("string")).alias("request_id"),
-        results.alias("results"), F.lit(1).alias("resultsCount"), F.lit("OK").alias("status"), "ticker",
-        "_ln", "_rf")
+        results.alias("results"), F.lit(1).alias("resultsCount"),
+        F.when(error, "ERROR").otherwise("OK").alias("status"), "ticker", "_ln", "_rf")
     js = env.select(F.to_json(F.struct("adjusted", "count", "queryCount", "request_id", "results",
                                        "resultsCount", "status", "ticker")).alias("j"), "_ln", "_rf",
                     F.col("ticker").alias("request_ticker"))
-    value = (F.when(F.col("_ln") == 7, F.expr("substring(j, 1, length(j) - 1)"))
-             .when((F.col("_ln") == 6) & (F.col("_rf") == "R"), F.regexp_replace("j", '"n":6,', '"n":"x",'))
+    value = (F.when(ln == 7, F.expr("substring(j, 1, length(j) - 1)"))
+             .when((ln == 6) & (rf == "R"), F.regexp_replace("j", '"n":6,', '"n":"x",'))
+             .when((ln == 2) & (rf == "A"), F.regexp_replace("j", '"v":[0-9.E]+', '"v":NaN'))
              .otherwise(F.col("j")))
     return js.select(value.alias("value"), "request_ticker")
 
 
+def contract_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One contract-list response per order (`value`), some made faulty by the order key's last digit:
+    3 a date that does not exist, 7 an error body, 9 a text cut before its closing brace."""
+    k = F.pmod(F.col("ticker").cast("bigint"), F.lit(10))
+    rows = contracts(spark, sf_dir)
+    wire = F.struct(*[(F.when(k == 3, "2024-13-45").otherwise(F.date_format("expiration_date", "yyyy-MM-dd"))
+                       if c == "expiration_date" else F.col(c)).alias(c) for c in rows.columns])
+    body = F.to_json(F.struct(F.concat_ws("-", "underlying_ticker", "ticker").alias("request_id"),
+                              F.when(k == 7, "ERROR").otherwise("OK").alias("status"),
+                              F.when(k != 7, F.array(wire)).alias("results")))
+    out = rows.select(body.alias("j"), (k == 9).alias("cut"))
+    return out.select(F.expr("CASE WHEN cut THEN substring(j, 1, length(j) - 1) ELSE j END").alias("value"))
+
+
 # ---- DuckDB twins (same mapping, for oracle SQL) ----
 UNIVERSE_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS underlying_ticker FROM customer"
 
@@ -152,6 +172,17 @@ BARS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS ticker,
 FROM lineitem"""
 
 
+# what becomes of each line item in bar_texts_with_defects; 'none' holds no bar
+BAR_REASON_SQL = """CASE WHEN l_linenumber = 7 OR l_linenumber = 6 AND l_returnflag = 'R' THEN 'malformed'
+  WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'none'
+  WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN 'fractional_volume'
+  WHEN l_linenumber = 3 AND l_returnflag = 'R' OR l_linenumber = 2 AND l_returnflag = 'A' THEN 'volume_out_of_range'
+  WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN 'missing_field'
+  WHEN l_linenumber = 2 AND l_returnflag = 'R' THEN 'error_response' ELSE 'good' END"""
+CONTRACT_REASON_SQL = """CASE o_orderkey % 10 WHEN 3 THEN 'bad_date' WHEN 7 THEN 'error_response'
+  WHEN 9 THEN 'malformed' ELSE 'good' END"""
+
+
 def ticks_sql(ticker: str = "event_type") -> str:
     return f"""SELECT CAST({ticker} AS VARCHAR) AS ticker, ts, value AS price,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS size, event_id AS tick_id
