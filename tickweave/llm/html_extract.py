@@ -23,7 +23,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import land, ship_package
+from .common import land, ship_package, slices
 
 # Elements by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -162,7 +162,7 @@ def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame
 
     def work(batches):
         row = TaskContext.get().partitionId() << 33
-        for b in batches:
+        for b in slices(batches, 500):
             blocks, tokens = [], []
             for text in b["_html"].to_pylist():
                 found, counts, elements = parse(text or "")

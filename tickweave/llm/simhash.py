@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import land, ship_package
+from .common import land, ship_package, slices
 from .components import connected_components
 
 _LOWER = bytes(range(256)).lower()  # A-Z only
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: s
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def work(batches):
-        for b in batches:
+        for b in slices(batches, 1000):
             raw = b"".join(fingerprint(t or "", shingle) for t in b[len(keep)].to_pylist())
             fp = pa.array(np.frombuffer(raw, ">i8").astype(np.int64))
             yield pa.record_batch([*b.columns[:len(keep)], fp], [*keep, "fp"])

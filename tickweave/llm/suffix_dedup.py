@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import land, ship_package
+from .common import land, ship_package, slices
 
 LENGTH = 50
 GRAM = 16
 SHARD_BYTES = 1 << 21
-CHUNK = 1 << 21          # window starts that are worked on at a time
+CHUNK = 1 << 19          # window starts that are worked on at a time
 POSITION_BITS = 22       # of a packed (hash, position): a chunk with its last window fits
 NO_ID = (1 << 63) - 1    # a null id: after all others, and never smaller than another null
 
@@ -247,7 +247,7 @@ def _text_shards(docs: DataFrame, key: str, text: str, carry: list[str]) -> Data
                  pa.array([packer.compress(sink.getvalue().to_pybytes())], pa.binary())],
                 ["shard", "ids", "lengths", "text", "carried"])
 
-        for b in batches:
+        for b in slices(batches, 1000):
             ids = b["_id"].fill_null(NO_ID).to_numpy()
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b["_text"].to_pylist()]
             rest = b.select(carry) if carry else None
@@ -455,7 +455,8 @@ def _cut(shards: DataFrame, ranges: DataFrame, key: str, carried: list, as_text:
         for r in right.to_pylist():
             np.add.at(change, np.frombuffer(r["first"], "<i8"), 1)
             np.add.at(change, np.frombuffer(r["last"], "<i8"), -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        del change
         before = np.concatenate([[0], np.cumsum(gone)])
         rises = gone.copy()
         rises[1:] &= ~gone[:-1]

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import land, shared_dir, ship_package, shuffle_partitions
+from .common import land, shared_dir, ship_package, shuffle_partitions, slices
 from .tokens import bpe_json_path, worker_encoder
 
 NULL_ID = -(1 << 63)
@@ -53,9 +53,7 @@ def write_token_files(docs: DataFrame, end_id: int | None = 2, key: str = "doc_i
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         store, root = fs.FileSystem.from_uri(directory)
         outs, n_docs, n_ids = None, 0, 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches, 1000):
             if outs is None:
                 store.create_dir(root, recursive=True)
                 outs = [store.open_output_stream(f"{root}/{name}{e}") for e in (".ids", ".off", ".doc")]
