@@ -13,6 +13,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql.readwriter import DataFrameWriter  # noqa: E402
+
 from tickweave.plans import registry  # noqa: E402
 from tickweave.session import local_session  # noqa: E402
 
@@ -45,6 +47,17 @@ def outline(plan: str) -> list[str]:
     return out
 
 
+def record_writes(into: list) -> None:
+    """Keep the plan (before AQE) of every table that a query writes on its way."""
+    for name in ("save", "parquet", "json", "csv", "text"):
+        def write(self, *args, _own=getattr(DataFrameWriter, name), _name=name, **kw):
+            if not getattr(self, "_recorded", False):
+                self._recorded = True
+                into.append((_name, outline(self._df._jdf.queryExecution().executedPlan().toString())))
+            return _own(self, *args, **kw)
+        setattr(DataFrameWriter, name, write)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(shuffle_partitions=16)
@@ -55,11 +68,21 @@ def main() -> None:
           "At this size AQE turns most joins into broadcasts by measured size; on large inputs the "
           "same plans keep sort-merge joins (with skew splitting). Scan lines show pushed filters "
           "and the pruned read schema.\n")
+    writes: list = []
+    record_writes(writes)
     for name, fn in registry.QUERIES.items():
+        writes.clear()
         df = fn(spark, sf_dir)
+        before = list(writes)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        print(f"## {name}\n\n```")
+        print(f"## {name}\n")
+        for kind, lines in before:
+            if lines:
+                print(f"Written on the way ({kind}, plan before AQE):\n\n```")
+                print("\n".join(lines))
+                print("```\n")
+        print("```")
         print("\n".join(outline(plan)))
         print("```\n")
         spark.catalog.clearCache()
