@@ -153,11 +153,11 @@ def filter_nonempty_array(spark, sf):
     return W.with_results(docs, "aggs").select("ticker", "part", F.size("aggs").alias("n_aggs"))
 
 
-_PAGE_SQL = "CAST(strftime(make_timestamp(t * 1000), '%Y%m') AS INTEGER)"
+_PAGE_SQL = "CAST(strftime(make_timestamp(t * 1000), '%Y') AS INTEGER)"
 
 
 def _page():
-    """The month of a response page, from its request id."""
+    """The year of a response page, from its request id."""
     return F.substring_index("request_id", "-", -1).cast("int")
 
 
@@ -329,7 +329,7 @@ def agg_count(spark, sf):
 
 
 @register("agg_result_size", v("""
-SELECT ticker, count(DISTINCT date_trunc('month', make_timestamp(t * 1000))) AS n_responses, count(*) AS n_results
+SELECT ticker, count(DISTINCT date_trunc('year', make_timestamp(t * 1000))) AS n_responses, count(*) AS n_results
 FROM bars_v GROUP BY ticker""", bars=True))
 def agg_result_size(spark, sf):
     return Q.result_sizes(bar_response_pages(td.bars(spark, sf)))

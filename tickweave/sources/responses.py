@@ -40,7 +40,7 @@ def month_of(day: Column) -> Column:
 
 
 def pack_pages(df: DataFrame, key: str, page: Column, order: list[Column | str], element: Column) -> DataFrame:
-    """Group rows into one page per key and calendar month, elements in `order`.
+    """Group rows into one page per key and calendar period, elements in `order`.
 
     A page's size follows from the data's time and not from its volume, so a key with a long
     history is many groups; one shuffle, no ordinal. Output: key, page, results.
@@ -59,10 +59,12 @@ def bar_wire(v: Column | None = None) -> Column:
 
 
 def bar_response_pages(bars: DataFrame, wire_v: Column | None = None,
-                       tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw")) -> DataFrame:
-    """Bars -> one aggregates response per (ticker, calendar month UTC), as struct columns."""
-    pages = pack_pages(bars, "ticker", month_of(F.to_date(utc_ntz_from_millis("t"))), ["t", *tiebreak],
-                       bar_wire(wire_v))
+                       tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw"), period: str = "year") -> DataFrame:
+    """Bars -> one aggregates response per ticker and calendar `period` (UTC): "year" for day bars,
+    "month" for finer ones. As struct columns."""
+    day = F.to_date(utc_ntz_from_millis("t"))
+    page = {"year": F.coalesce(F.year(day), F.lit(0)), "month": month_of(day)}[period]
+    pages = pack_pages(bars, "ticker", page, ["t", *tiebreak], bar_wire(wire_v))
     size = F.size("results")
     return pages.select(
         F.lit(True).alias("adjusted"), size.alias("count"), size.alias("queryCount"),
