@@ -212,7 +212,7 @@ def pack(docs: DataFrame, window: int = 1024, targets: dict[str, float] | None =
         return columns + ([pa.array(list(map(bytes, parts)), pa.binary())] if with_ids else [])
 
     def pieces(batches):
-        for b in slices(batches, 2500):
+        for b in slices(batches, 5000):
             first = (b["base"].to_numpy() + b["before"].to_numpy()).tolist()
             source_, doc, n, ids = (b[c].to_pylist() for c in ("source", "doc_id", "n_tokens", "ids"))
             order = sorted(range(len(doc)), key=lambda i: (source_[i], first[i]))

@@ -31,7 +31,7 @@ END_OF_DOCUMENT = 0
 @query
 def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return packing.pack(docs, WINDOW, end_id=END_OF_DOCUMENT)
+    return packing.pack(docs, WINDOW, end_id=END_OF_DOCUMENT).drop("source")
 
 
 @query

@@ -66,10 +66,15 @@ class _Chunks(dict):
         import public_tokenizers
         import regex
         self.pieces, self.split = pieces, regex.compile(public_tokenizers.PATTERN).findall
+        self.tokenize, self.space = pieces.model.tokenize, pieces.alphabet[32]
 
     def __missing__(self, chunk: str) -> bytes | None:
         if chunk.isalpha():
-            ids = None if _ODD.search(chunk) else self.pieces.ids(" " + chunk)
+            if chunk.isascii():  # bytes and the model's characters are the same but for the space
+                by_id = self.pieces.id_bytes
+                ids = b"".join([by_id[t.id] for t in self.tokenize(self.space + chunk)])
+            else:
+                ids = None if _ODD.search(chunk) else self.pieces.ids(" " + chunk)
         else:
             word = chunk.rstrip(_MARKS)
             if word.isalpha():  # a word and marks are two pieces
