@@ -106,11 +106,12 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
 
 
 def _components(marked: DataFrame, distance: int, key: str) -> DataFrame:
-    """fp, root and label (the least fingerprint and key of its component) of all fingerprints."""
+    """fp, root and label (the least fingerprint and key of its component) of all fingerprints. Landed:
+    a join with two plain inputs is one that Spark splits where a fingerprint is frequent."""
     distinct = land(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
     pairs = links(distinct.select("fp"), distance)
-    return connected_components(distinct.select(F.col("fp").alias("node"), F.col("first").alias("label")),
-                                pairs).withColumnRenamed("node", "fp")
+    nodes = distinct.select(F.col("fp").alias("node"), F.col("first").alias("label"))
+    return land(connected_components(nodes, pairs).withColumnRenamed("node", "fp"), "components")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id",
@@ -122,7 +123,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: s
     get a row; a null key is reachable but never the smallest unless there is no other; an empty
     table gives an empty result; other columns are not read."""
     marked = land(fingerprints(docs, shingle, key, text), "fingerprints")
-    return (marked.join(_components(marked, distance, key), "fp", "left")
+    return (marked.join(_components(marked, distance, key), "fp")
             .select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.col("label").alias("component_id")))
 
