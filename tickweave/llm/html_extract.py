@@ -188,7 +188,8 @@ def templates(parsed: DataFrame, support: float, min_pages: int) -> DataFrame:
     vectors = seen.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("occurrences"),
         F.bit_xor(page).alias("signature"), F.bool_or("element").alias("element"))
-    sizes = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    # landed, so that the join takes it by its known size and does not deal the tokens by host
+    sizes = land(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "host-sizes")
     frequent = vectors.join(sizes, "host").where(
         (F.col("of") >= min_pages) & (F.col("pages") >= support * F.col("of")))
     classes = frequent.groupBy("host", "pages", "occurrences", "signature").agg(
