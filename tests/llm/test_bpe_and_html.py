@@ -101,6 +101,28 @@ def test_template_text_goes_on_hosts_with_enough_pages(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    rows = [(i, f"http://copies.org/{i}", PAGE.format(i=1)) for i in range(12)]
+    rows += [(20 + i, None, PAGE.format(i=2).replace("Side", f"Side<b>{i}</b>" * i)) for i in range(9)]
+    # half of the host is one page, with an element path that only this page has
+    rows += [(40 + i, f"http://half.org/{i}", PAGE.format(i=3).replace("<ul><li>one", "<ul class='x'><li>one"))
+             for i in range(8)]
+    rows += [(50 + i, f"http://half.org/o{i}", PAGE.format(i=50 + i)) for i in range(8)]
+    rows += [(60 + i, f"http://three.org/{i % 3}", PAGE.format(i=60 + i % 3)) for i in range(5)]
+    rows += [(70 + i, f"http://two.org/{i}", PAGE.format(i=70 + i)) for i in range(2)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(4)
+    by = {r.page_id: r.text.split("\n\n") for r in html_extract.extract(pages).collect()}
+    assert len(by) == len(rows)
+    text = lambda i: [f"Head {i}", f"First {i} bold, again", f"Second <{i}> é line", f"one {i}"]
+    shared = ["two", "Subscribe for more"]
+    assert all(by[i] == text(1) + shared for i in range(12))
+    assert all(by[20 + i] == text(2) + shared for i in range(9))
+    assert all([t for t in by[40 + i] if t not in shared] == text(3) for i in range(8))
+    assert all([t for t in by[50 + i] if t != "two"] == text(50 + i) for i in range(8))
+    assert all(by[60 + i] == text(60 + i % 3) for i in range(5))  # three distinct pages have a template
+    assert all(by[70 + i] == text(70 + i) + shared for i in range(2))
+
+
 def test_extraction_query_against_the_article_element(spark):
     pages = spark.read.parquet(f"{SF_SMOKE.replace('0.001', '0.01')}/pages.parquet").collect()
     want = {}

@@ -3,12 +3,15 @@
 Pages of one host share a template. A page is cut into tokens: its elements (each by its path of
 tags and classes) and its text blocks (each by path and text). Tokens of a host that occur
 equally often on each of its pages have one occurrence vector and form an equivalence class. A
-class is valid if it is frequent (on at least `support` of the host's pages) and holds an
-element, so that its texts are nested in template markup; valid classes together are the
+class is valid if it is frequent (on at least `support` of the host's pages and on at least
+`min_pages` of them) and holds an element, so that its texts are nested in template markup; valid classes together are the
 template, and their texts (share lines, notices, fixed headings) are boilerplate. The remaining
 slots inside the page's content element, without elements whose role is not content, are the
 main text.
 
+Pages are counted as distinct pages of a host: those with the same content texts are copies, of
+which one votes, so that a repeated article is no template. The template goes from all rows.
+
 A vector is never built: its signature is a count, a sum and an exclusive-or of hashes over the
 pages, which Spark adds up per map task, so a host with a third of all pages ships one row per
 token and task. Pages are parsed once and landed as blocks."""
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 
 import pyarrow as pa
 import xxhash
@@ -54,13 +58,13 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 _KEEPS_OPEN = set("article aside blockquote body button div dl footer form header html main nav ol section "
                   "table tbody thead tfoot ul".split())
 
-OWN = ["host", "page_no", "blocks", "tokens"]  # with an underscore beside the pages' own columns
-PARSED = ("_host string, _page_no bigint, _blocks array<struct<token:bigint,text:string>>, "
+OWN = ["host", "page_no", "copy", "variant", "blocks", "tokens"]  # with an underscore beside the pages' own columns
+PARSED = ("_host string, _page_no bigint, _copy bigint, _variant bigint, _blocks array<struct<token:bigint,text:string>>, "
           "_tokens array<struct<token:bigint,n:int,element:boolean>>")
 
 
-def _signed(path: str) -> int:
-    h = xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass"))
+def _signed(path: str | bytes) -> int:
+    h = xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass") if isinstance(path, str) else path)
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -163,15 +167,19 @@ def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame
     def work(batches):
         row = TaskContext.get().partitionId() << 33
         for b in slices(batches, 500):
-            blocks, tokens = [], []
+            blocks, tokens, copies, variants = [], [], [], []
             for text in b["_html"].to_pylist():
                 found, counts, elements = parse(text or "")
                 blocks.append([{"token": t, "text": x} for t, x in found])
                 mine = {t for t, _ in found}
                 tokens.append([{"token": t, "n": n, "element": t in elements}
                                for t, n in counts.items() if t in elements or t in mine])
+                # equal for equal content texts, and for equal tokens
+                copies.append(_signed("\0".join([x for _, x in found])))
+                variants.append(_signed(array("q", [v for t in tokens[-1] for v in (t["token"], t["n"])]).tobytes()))
             yield pa.record_batch([*b.columns[:len(keep)], b["_host"],
                                     pa.array(range(row, row + b.num_rows), pa.int64()),
+                                    pa.array(copies, pa.int64()), pa.array(variants, pa.int64()),
                                     pa.array(blocks, block_type), pa.array(tokens, token_type)],
                                    [*keep, *("_" + c for c in OWN)])
             row += b.num_rows
@@ -180,18 +188,23 @@ def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame
 
 
 def templates(parsed: DataFrame, support: float, min_pages: int) -> DataFrame:
-    """Per host the text tokens of its valid classes: host, template (array of tokens). Hosts of
-    fewer than `min_pages` pages have too short vectors and no template."""
+    """Per host the text tokens of its valid classes: host, template (array of tokens). Tokens on
+    fewer than `min_pages` distinct pages have too short vectors and are no template."""
     page = F.xxhash64("page_no", "n")
-    seen = (parsed.select("host", "page_no", F.explode("tokens").alias("t"))
+    # one page of each group of copies votes, whatever the order of rows. Landed, so that the join
+    # takes it by its known size; the numbers are unique, so no host and no page is hot there
+    voters = land(parsed.groupBy("host", "copy").agg(F.min(F.struct("variant", "page_no")).alias("v"))
+                  .select("host", F.col("v.page_no").alias("page_no")), "voters")
+    seen = (parsed.join(voters.select("page_no"), "page_no", "left_semi")
+            .select("host", "page_no", F.explode("tokens").alias("t"))
             .select("host", "page_no", "t.token", "t.n", "t.element"))
     vectors = seen.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("occurrences"),
         F.bit_xor(page).alias("signature"), F.bool_or("element").alias("element"))
     # landed, so that the join takes it by its known size and does not deal the tokens by host
-    sizes = land(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "host-sizes")
+    sizes = land(voters.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "host-sizes")
     frequent = vectors.join(sizes, "host").where(
-        (F.col("of") >= min_pages) & (F.col("pages") >= support * F.col("of")))
+        (F.col("pages") >= min_pages) & (F.col("pages") >= support * F.col("of")))
     classes = frequent.groupBy("host", "pages", "occurrences", "signature").agg(
         F.collect_list(F.when(~F.col("element"), F.col("token"))).alias("texts"),
         F.bool_or("element").alias("valid"))
@@ -200,13 +213,14 @@ def templates(parsed: DataFrame, support: float, min_pages: int) -> DataFrame:
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None, url: str = "url", page: str = "html",
-            support: float = 0.5, min_pages: int = 8) -> DataFrame:
+            support: float = 0.5, min_pages: int = 3) -> DataFrame:
     """The columns `keep` of `pages` (all but the page by default) with text and n_chars (replaced
     if there): the blocks of the main text in page order, joined by an empty line, each with its
     white space turned into single spaces and its character references decoded.
 
     A null or empty page has an empty text; a null url belongs to the host of the empty name;
-    repeated pages are extracted each; an empty table stays empty."""
+    repeated pages are extracted each and alike, and count once towards the template of their
+    host; an empty table stays empty."""
     ship_package(pages.sparkSession)
     keep = [c for c in (keep or [c for c in pages.columns if c != page]) if c not in ("text", "n_chars")]
     parsed = land(_parsed(pages, keep, url, page), "pages")
