@@ -50,6 +50,43 @@ def test_fit_recovers_planted_accuracies():
     assert not math.isnan(quality.fit([], 4).prior)
 
 
+def test_clean_groups_stay_with_little_or_no_junk():
+    good, junk = (1,) * 6 + (0,), (-1, -1, -1, 1, 1, 1, 0)
+    kept = lambda m, p: m.odds(p) >= 0
+    for hot in [(1, 1, 1, 1, 0, 0, 0), (0, 1, 1, 1, 1, 1, 0), (1, 1, 1, 1, 1, -1, 0), (1, 1, 1, 1, 1, 1, -1)]:
+        for n_hot in (33_000, 10_000, 1_000):
+            for n_junk in (0, 50, 500, 5_000):
+                counts = {good: 100_000 - n_hot - n_junk, hot: n_hot, junk: n_junk}
+                m = quality.fit(sorted((p, n) for p, n in counts.items() if n), 7)
+                assert kept(m, good) and kept(m, hot) and (not n_junk or not kept(m, junk)), (hot, n_hot, n_junk)
+    two = {good: 76_000, (0, 1, 1, 1, 1, 1, 0): 10_000, (1, 0, 1, 1, 1, 1, 0): 14_000}
+    m = quality.fit(sorted(two.items()), 7)
+    assert all(kept(m, p) for p in two) and kept(m, (0,) * 7)
+
+
+def test_table_without_junk_keeps_a_hot_clean_group(spark):
+    word = lambda i, n: "".join(chr(97 + i // 26 ** k % 26) for k in range(n))
+    plain = " ".join(f"the {word(97 * i, 6)} of {word(89 * i + 5, 7)}" for i in range(60))
+    # short words and numbers: two rules abstain, none votes bad
+    other = " ".join(f"the {word(i, 3)} of {1000 + i}" for i in range(60))
+    rows = [(i, plain) for i in range(2000)] + [(9000 + i, other) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    votes = F.array(*[quality.vote(r) for r in quality.default_rules()])
+    got = quality.quality(docs).withColumn("votes", votes).collect()
+    assert {tuple(r.votes) for r in got} == {(1, 1, 1, 1, 1, 1, 0), (1, 0, 1, 1, 0, 1, 0)}
+    assert len(got) == len(rows) and all(r.kept and r.posterior >= 0.5 for r in got)
+
+
+def test_posterior_column_is_that_of_the_model(spark):
+    rng = [(a, b, c) for a in (1, -1, 0) for b in (1, -1, 0) for c in (1, -1, 0)]
+    m = quality.fit([(p, 1 + 40 * p.count(1) + 90 * (p == (-1, -1, 0))) for p in rng], 3)
+    rows = spark.createDataFrame(rng, "a int, b int, c int").withColumn(
+        "p", m.posterior([F.col("a"), F.col("b"), F.col("c")])).collect()
+    for r in rows:
+        assert abs(r.p - 1 / (1 + math.exp(-m.odds((r.a, r.b, r.c))))) < 1e-9
+        assert r.p >= 0.5 or -1 in (r.a, r.b, r.c)
+
+
 def test_kept_documents_match_held_out_labels(spark):
     sf = SF_SMOKE.replace("0.001", "0.1")
     kept = queries.QUERIES["op4_quality_rules"](spark, sf).where(~F.col("base_failed")).select("doc_id", "kept")

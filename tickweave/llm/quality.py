@@ -2,7 +2,11 @@
 
 Every rule votes good, votes bad or abstains. A two-class model holds, for each rule and class,
 the chance of each of its three answers; expectation-maximisation estimates these and the share
-of good documents from the votes alone. A document is kept by its posterior probability.
+of good documents from the votes alone. The classes are anchored, since votes alone do not say which
+minority is the bad one, or whether there is one: to each class the estimate adds pseudo-documents
+that vote as rules are meant to, a share of the corpus, so that copies do not outweigh them; a good
+vote never speaks for bad nor a bad one for good; and without a bad vote abstentions do not speak for
+bad. A document is kept by its posterior probability.
 
 All of it is DataFrame functions. The corpus enters the estimate through the counts of vote
 patterns: at most 3 ** rules rows, whatever the number of documents, so the iterations run over
@@ -33,6 +37,10 @@ _FUNCTION_FORMS = sorted({form for w in FUNCTION_WORDS
 
 GOOD, BAD, ABSTAIN = 1, -1, 0
 
+# The pseudo-documents of a class as a share of the corpus, and their answers.
+ANCHOR_SHARE = 0.01
+ANCHOR = {GOOD: (0.85, 0.2), BAD: (0.05, 0.6), ABSTAIN: (0.1, 0.2)}  # given good, given bad
+
 
 def features(text: Column | str = "text") -> dict[str, Column]:
     """The first set of feature columns, from the text alone."""
@@ -127,29 +135,46 @@ class Model:
         return out
 
     def log_odds(self, answer: int, rule: int) -> float:
+        """What an answer adds to the log odds of good, with a vote's sign where it votes."""
         good, bad = self.chance[rule][answer]
-        return math.log(good) - math.log(bad)
+        z = math.log(good) - math.log(bad)
+        return max(z, 0.0) if answer == GOOD else min(z, 0.0) if answer == BAD else z
+
+    def odds(self, votes: tuple[int, ...]) -> float:
+        """The log odds of good of a pattern; at least even, and raised by each good vote, where
+        no rule votes bad."""
+        least = -math.inf if BAD in votes else 0.0
+        return max(math.log(self.prior) - math.log(1 - self.prior), least) + sum(
+            max(self.log_odds(a, j), least) if a == ABSTAIN else self.log_odds(a, j)
+            for j, a in enumerate(votes))
 
     def posterior(self, votes: list[Column]) -> Column:
-        z = F.lit(math.log(self.prior) - math.log(1 - self.prior))
+        none_bad = ~F.greatest(*[(v == BAD).cast("int") for v in votes]).cast("boolean") \
+            if len(votes) > 1 else votes[0] != BAD
+        prior = math.log(self.prior) - math.log(1 - self.prior)
+
+        def floored(z: float) -> Column:
+            return F.when(none_bad, max(z, 0.0)).otherwise(z) if z < 0 else F.lit(z)
+
+        z = floored(prior)
         for j, v in enumerate(votes):
             z = z + F.when(v == GOOD, self.log_odds(GOOD, j)) \
-                .when(v == BAD, self.log_odds(BAD, j)).otherwise(self.log_odds(ABSTAIN, j))
+                .when(v == BAD, self.log_odds(BAD, j)).otherwise(floored(self.log_odds(ABSTAIN, j)))
         return 1.0 / (1.0 + F.exp(-z))
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, iterations: int = 200,
         tolerance: float = 1e-9) -> Model:
-    """Expectation-maximisation over (votes, count) pairs, from the majority of votes. One
-    pseudo-document per answer keeps every chance above zero. Without documents the model
-    keeps everything."""
+    """Expectation-maximisation over (votes, count) pairs, from the majority of votes. The
+    pseudo-documents of ANCHOR, and one per answer, keep every chance above zero. Without
+    documents the model keeps everything."""
     total = sum(n for _, n in patterns)
     if not total:
         return Model(0.999, [{GOOD: (0.5, 0.5), BAD: (0.5, 0.5), ABSTAIN: (0.5, 0.5)}] * k)
     # the start: a good vote counts 1, a bad one 2, since most rules answer good by default
     post = [1 / (1 + math.exp(-(sum(1 if v == GOOD else -2 if v == BAD else 0 for v in p))))
             for p, _ in patterns]
-    before = None
+    before, extra = None, ANCHOR_SHARE * total
     for _ in range(iterations):
         good = sum(q * n for q, (_, n) in zip(post, patterns, strict=True))
         prior = (good + 1) / (total + 2)
@@ -159,11 +184,11 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, iterations: int = 2
             for a in (GOOD, BAD, ABSTAIN):
                 g = sum(q * n for q, (p, n) in zip(post, patterns, strict=True) if p[j] == a)
                 b = sum((1 - q) * n for q, (p, n) in zip(post, patterns, strict=True) if p[j] == a)
-                table[a] = ((g + 1) / (good + 3), (b + 1) / (total - good + 3))
+                table[a] = ((g + extra * ANCHOR[a][0] + 1) / (good + extra + 3),
+                            (b + extra * ANCHOR[a][1] + 1) / (total - good + extra + 3))
             chance.append(table)
         model = Model(prior, chance)
-        odds = [math.log(prior) - math.log(1 - prior)
-                + sum(model.log_odds(a, j) for j, a in enumerate(p)) for p, _ in patterns]
+        odds = [model.odds(p) for p, _ in patterns]
         post = [1 / (1 + math.exp(-max(-500.0, min(500.0, z)))) for z in odds]
         likelihood = sum(n * max(z, 0) + n * math.log1p(math.exp(-abs(z)))
                          for z, (_, n) in zip(odds, patterns, strict=True)) / total
