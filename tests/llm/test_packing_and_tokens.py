@@ -30,6 +30,23 @@ def test_chunked_encoding_is_that_of_the_whole_text():
         assert enc.encode(text) == enc.whole(text), repr(text)
 
 
+def test_added_tokens_are_those_of_a_fresh_library(spark):
+    from tokenizers import Tokenizer
+    fresh = Tokenizer.from_file(bpe_json_path())
+    rng = random.Random(5)
+    parts = ["a", " ", "the", "<|endoftext|>", "<|endoftext|", "<|", "\n", "é", "it's", "word,", "<|ENDOFTEXT|>"]
+    texts = ["hello <|endoftext|>world", "<|endoftext|>", "a<|endoftext|> <|endoftext|>b c"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(2000)]
+    enc = worker_encoder(bpe_json_path())
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [enc.ids(t).tolist() for t in texts] == want and 50256 in want[0]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    crc = {i: (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(want)}
+    back = token_files.read_token_files(token_files.write_token_files(docs)).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in back} == crc
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {i: n for i, (n, _) in crc.items()}
+
+
 @pytest.mark.parametrize("targets", [False, True])
 def test_schedule_is_monotone_and_complete(targets):
     rng = np.random.default_rng(4)

@@ -5,7 +5,8 @@ other than white space, and merges never cross pieces. So a text can be cut at i
 each distinct chunk split into pieces and merged once per Python worker, by the library's BPE
 model. A chunk that begins or ends with white space, holds adjacent white space, or holds
 characters outside the ranges below (where definitions of white space and letters vary between
-Unicode versions) sends its text to the library whole. Both ways give the ids of the whole
+Unicode versions) sends its text to the library whole, and so does the content of an added token
+(`<|endoftext|>`), which the library reads as that token wherever it stands. Both ways give the ids of the whole
 text; tests hold them against each other."""
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ class ChunkEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.chunks = _Chunks(_Pieces(self.tok, self.dtype))
@@ -108,7 +109,7 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         head, *rest = text.split(" ")
-        if _ODD.search(head):
+        if _ODD.search(head) or any([a in text for a in self.added]):
             return self.whole(text) if text else b""
         get = self.chunks.__getitem__
         try:
