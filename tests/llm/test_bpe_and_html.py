@@ -87,6 +87,32 @@ def test_roles_and_blocks(spark):
     assert html_extract.parse("<" * 5000)[0] != [] and html_extract.parse("")[0] == []
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<div id="content" class="no-sidebar">', "</div>"), ('<main class="has-sidebar">', "</main>"),
+    ('<div class="with_widgets without-comments">', "</div>"), ('<div class="post comments-open">', "</div>"),
+    ('<article class="post comments-open">', "</article>"), ('<main id="widget">', "</main>"),
+    ('<div class="sidebar-layout"><article>', "</article></div>"), ('<article class="related">', "</article>"),
+    ('<div class="sidebar"><main><div>', "</div></main></div>"), ('<div class="widgets">', "</div>"),
+    ('<div class="sidebar"><article class="social">', "</article></div>"),
+    ('<main><h1></h1><div class="widget"><article>', "</article></div></main>")])
+def test_names_alone_drop_no_article(before, after):
+    page = "<body><nav>Home</nav>" + before + '<p>One<p>Two<div class="share-links">Share</div>' + after + "<footer>f"
+    got = [t for _, t in html_extract.parse(page)[0]]
+    # where a name drops all there is, what it drops is taken as it stands
+    assert got in (["One", "Two"], ["One", "Two", "Share"])
+
+
+def test_named_parts_still_go():
+    texts = lambda page: [t for _, t in html_extract.parse(page)[0]]
+    assert texts('<article><p>a<div class="related"><article class="card">b</article></div></article>') == ["a"]
+    assert texts('<p>a<ol id="comments"><li><article class="comment-body">b</article></ol>') == ["a"]
+    assert texts('<main><p>a</main><div class="sidebar menu-open">b</div>') == ["a"]
+    assert texts('<p>a<div class="no-sidebar">b</div><div class="has-ads sidebar">c</div>') == ["a", "b"]
+    assert texts('<main><p>a</main><aside><article>b</article></aside><div hidden><main>c</main></div>') == ["a"]
+    # an article with one name is content, but takes no other's place
+    assert texts('<main><p>a<article class="comment">b</article></main>') == ["a", "b"]
+
+
 def test_template_text_goes_on_hosts_with_enough_pages(spark):
     rows = [(i, f"http://h.org/{i}", PAGE.format(i=i), "own") for i in range(12)]
     rows += [(100, "http://small.org/", PAGE.format(i=100), "own"), (101, None, None, "own"), (102, "", "", "own"),

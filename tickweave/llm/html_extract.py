@@ -44,6 +44,8 @@ NOT_CONTENT_NAMES = set(
     "navbar navigation newsletter notice notices notification pagination pager popup promo promoted "
     "related replies respond share sharing sidebar signup skyscraper social sponsor sponsored "
     "subscribe subscription toolbar topbar widget widgets".split())
+# names that state what a page has or lacks, by their first or last word: no-sidebar, comments-open
+STATES_FIRST, STATES_LAST = set("has no with without".split()), set("open closed enabled disabled".split())
 NOT_CONTENT_WHOLE = set("header site-header page-header site_header page_header top-header bottom".split())
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|canvas|object|audio|video|xmp|noembed|noframes"
 
@@ -68,11 +70,24 @@ def _signed(path: str | bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _roles(tag: str, attrs: str) -> tuple[str, bool]:
-    """The element's name in paths, and whether its role is not content."""
+def _named(value: str) -> bool:
+    """Whether a class or id value has a name that is not content."""
+    if NOT_CONTENT_NAMES.isdisjoint(_NAME.split(value)):
+        return not NOT_CONTENT_WHOLE.isdisjoint(value.split())
+    for name in value.split():
+        words = [w for w in _NAME.split(name) if w]
+        states = len(words) > 1 and (words[0] in STATES_FIRST or words[-1] in STATES_LAST)
+        if name in NOT_CONTENT_WHOLE or not states and not NOT_CONTENT_NAMES.isdisjoint(words):
+            return True
+    return False
+
+
+def _roles(tag: str, attrs: str) -> tuple[str, int]:
+    """The element's name in paths, and whether it is not content: 2 by its role, 1 by its class or
+    id alone, else 0."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return tag, tag in NOT_CONTENT
-    out, name = tag in NOT_CONTENT, tag
+        return tag, 2 * (tag in NOT_CONTENT)
+    out, named, name = tag in NOT_CONTENT, False, tag
     for kind, a, b, c in _ATTR.findall(attrs):
         kind, value = kind.lower(), (a or b or c).strip().lower()
         if kind == "role":
@@ -80,25 +95,35 @@ def _roles(tag: str, attrs: str) -> tuple[str, bool]:
         elif kind == "hidden" or kind == "aria-hidden":
             out |= kind == "hidden" or value == "true"
         else:
-            out |= tag not in ("body", "html") and (
-                not NOT_CONTENT_NAMES.isdisjoint(_NAME.split(value))
-                or not NOT_CONTENT_WHOLE.isdisjoint(value.split()))
+            named |= tag not in ("body", "html") and _named(value)
             if kind == "class":
                 name = f"{tag}.{value}"
-    return name, out
+    return name, 2 if out else int(named)
 
 
 def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
     """Content blocks (token, text) in page order, all tokens with their counts, and which of them
     are elements. The content element is every <article> that is no part of something else, else
-    every <main>, else the page."""
-    stack = [("", "", False, 0)]  # tag, path, not content, inside (1 main, 2 article)
+    every <main>, else the page.
+
+    A name alone drops no <article> or <main>: one that is named, or held by a named element, but not
+    both, is content beside the rest, unless it is a part of an <article> (or a <main> of a <main>).
+    If nothing else is content, what names alone drop is."""
+    # tag, path, not content (1 by name, 2 by role), inside (1 main, 2 article, 10 more where named)
+    stack = [("", "", 0, 0)]
     blocks: list[tuple[int, str, int]] = []
     counts: dict[int, int] = {}
     elements: set[int] = set()
     parts: list[str] = []
+    spare: list[tuple[int, str, int]] = []  # what names alone drop
+    spare_parts: list[str] = []
 
     def flush():
+        if spare_parts:
+            text = " ".join(html.unescape("".join(spare_parts)).split())
+            spare_parts.clear()
+            if text:
+                spare.append((_signed(f"{stack[-1][1]}\0{text}"), text, 0))
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
@@ -110,8 +135,8 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
 
     at = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not stack[-1][2]:
-            parts.append(page[at:m.start()])
+        if m.start() > at and stack[-1][2] < 2:
+            (spare_parts if stack[-1][2] else parts).append(page[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
@@ -122,6 +147,7 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
             flush()
         elif tag == "br":
             parts.append(" ")
+            spare_parts.append(" ")
         if m["end"] or m["end2"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -146,14 +172,21 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
         token = _signed(path)
         counts[token] = counts.get(token, 0) + 1
         elements.add(token)
-        if tag == "article" or tag == "main":
-            inside = max(inside, 2 if tag == "article" else 1)
-        stack.append((tag, path, outside or out, inside))
-    if at < len(page) and not stack[-1][2]:
-        parts.append(page[at:])
+        level = 2 if tag == "article" else 1 if tag == "main" else 0
+        if level > inside % 10:
+            if outside + out == 1:  # by one name alone
+                outside, out, inside = 0, 0, 10
+            inside = inside // 10 * 10 + level
+        stack.append((tag, path, max(outside, out), inside))
+    if at < len(page) and stack[-1][2] < 2:
+        (spare_parts if stack[-1][2] else parts).append(page[at:])
     flush()
-    best = max((b[2] for b in blocks), default=0)
-    return [(t, text) for t, text, inside in blocks if inside == best], counts, elements
+    if not blocks:
+        for token, _, _ in spare:
+            counts[token] = counts.get(token, 0) + 1
+        blocks = spare
+    best = {kind: max((b[2] for b in blocks if b[2] // 10 == kind), default=0) for kind in (0, 1)}
+    return [(t, text) for t, text, inside in blocks if inside == best[inside // 10]], counts, elements
 
 
 def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame:
