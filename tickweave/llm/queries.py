@@ -1,4 +1,4 @@
-"""The registered queries op1 .. op10: each applies its operator with production parameters to
+"""The registered queries op1 .. op13: each applies its operator with production parameters to
 its whole table and derives the digest columns of its result."""
 
 from __future__ import annotations
@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import (bpe, e8_lattice, html_extract, packing, sharding, simhash, suffix_dedup, token_files,
-               url_filters)
+from . import (bpe, conversations, e8_lattice, html_extract, packing, sharding, simhash, suffix_dedup,
+               token_files, url_filters)
 from .common import table
 
 QUERIES: dict = {}
@@ -129,3 +129,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.audit(turns, conversations.damage(turns))
