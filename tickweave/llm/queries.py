@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
-from . import (bpe, conversations, e8_lattice, html_extract, packing, sharding, simhash, suffix_dedup,
-               token_files, url_filters)
+from . import (bpe, conversations, e8_lattice, html_extract, packing, sharding, simhash, spelling,
+               suffix_dedup, token_files, url_filters)
 from .common import table
 
 QUERIES: dict = {}
@@ -135,3 +135,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversations.audit(turns, conversations.damage(turns))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
