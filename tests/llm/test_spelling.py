@@ -69,10 +69,9 @@ def test_query_on_given_table(spark):
     assert got == brute(counted(docs)) and len(got) > 100
 
 
-@pytest.mark.parametrize("chunk, classes", [(1024, 6), (3, 6), (5, 1), (2, 3)])
-def test_variants_chains_and_ties_in_chunks_of_any_size(spark, monkeypatch, chunk, classes):
+@pytest.mark.parametrize("chunk", [1024, 3, 1])
+def test_variants_chains_and_ties_in_chunks_of_any_size(spark, monkeypatch, chunk):
     monkeypatch.setattr(spelling, "CHUNK", chunk)
-    monkeypatch.setattr(spelling, "CLASSES", classes)
     rng = random.Random(chunk)
     letters = "abcétzÿ"
     words = {"".join(rng.choice(letters) for _ in range(rng.randint(7, 9))): rng.choice([2, 3, 30, 300, 2500])

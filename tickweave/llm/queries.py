@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality as quality_rules
 from . import (bpe, conversations, e8_lattice, html_extract, packing, sharding, simhash, spelling,
-               suffix_dedup, token_files, url_filters)
+               substring_dedup, suffix_dedup, token_files, url_filters)
 from .common import table
 
 QUERIES: dict = {}
@@ -141,3 +141,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
