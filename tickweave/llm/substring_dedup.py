@@ -468,7 +468,8 @@ def _units(texts: DataFrame) -> DataFrame:
     apart = classed.where((F.col("doc") == F.col("first.doc")) & F.col("several"))
     windows = land(_with_text(texts, apart, "runs", ["start", "windows"]).select("rid", "doc", "text", "runs")
                    .mapInArrow(_window_hashes, "rid bigint, doc bigint, start bigint, w1 bigint, w2 bigint"), "windows")
-    belongs = windows.groupBy("w1", "w2").agg(first, F.max("doc").alias("hi")).where("hi > first.doc")
+    # landed, so that the join has an exchange of its own, which Spark splits where a window is hot
+    belongs = land(windows.groupBy("w1", "w2").agg(first, F.max("doc").alias("hi")).where("hi > first.doc"), "first-windows")
     single = windows.join(belongs, ["w1", "w2"]).withColumn("windows", F.lit(1).cast("long"))
     columns = ["rid", "doc", "start", "windows", "first"]
     return classed.where("hi > first.doc").select(*columns).unionByName(single.select(*columns))
