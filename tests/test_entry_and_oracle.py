@@ -13,7 +13,7 @@ from tickweave.plans import registry
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-ROWS_ONLY = {"hash_row_murmur"}
+ROWS_ONLY = set()
 registry.load_all()
 
 

@@ -207,13 +207,6 @@ def hash_md5(spark, sf):
     return td.bars(spark, sf).select("ticker", "t", H.md5_of_text("t").alias("agg_id"))
 
 
-@register("hash_row_murmur")
-def hash_row_murmur(spark, sf):
-    b = td.bars(spark, sf)
-    # record-bean column order: properties alphabetically
-    return b.withColumn("hash_id", H.murmur_fingerprint("c", "h", "l", "n", "o", "t", "ticker", "v", "vw"))
-
-
 def _u(n: int) -> str:
     return f"CAST({n} AS UBIGINT)"
 
@@ -225,39 +218,77 @@ def _rotl(x: str, r: int) -> str:
     return f"(({x}) * {_u(1 << r)} % {_M32} + ({x}) // {_u(1 << (32 - r))})"
 
 
-def _murmur_sql(steps: list[tuple[str, str]]) -> str:
-    """Murmur3 (32 bit, seed 42) over (expression, 'int' | 'long') columns of bars_v, step by step in
+def _mixed_word(w: str) -> str:
+    """A 32-bit word as Murmur3 mixes it into the state."""
+    return f"({_rotl(f'({w} * {_u(3432918353)} % {_M32})', 15)} * {_u(461845907)} % {_M32})"
+
+
+def _text_words(col: str) -> str:
+    """UTF-8 bytes as the hash takes them: words of four, then each byte left over, signed."""
+    x, size = f"hex({col})", f"(length(hex({col})) // 2)"
+    four = " || ".join(f"substr({x}, CAST(8 * i + {k} AS BIGINT), 2)" for k in (7, 5, 3, 1))
+    last = f"CAST('0x' || substr({x}, CAST(2 * i + 1 AS BIGINT), 2) AS UBIGINT)"
+    return f"""list_concat(list_transform(range({size} // 4), lambda i: CAST('0x' || {four} AS UBIGINT)),
+      list_transform(range({size} // 4 * 4, {size}), lambda i: {last} + CASE WHEN {last} > 127 THEN {_u((1 << 32) - 256)} ELSE {_u(0)} END))"""
+
+
+def _murmur_sql(steps: list[tuple[str, str]], columns: str) -> str:
+    """Murmur3 (32 bit, seed 42) over (column, 'int' | 'long' | 'double' | 'text') of bars_v, step by step in
     CTEs of unsigned arithmetic; each column's hash is the seed of the next."""
-    ctes, last, k = ["m0 AS (SELECT ticker, n, t, v, CAST(42 AS UBIGINT) AS h FROM bars_v)"], "m0", 0
+    ctes, last, k = ["m0 AS (SELECT *, CAST(42 AS UBIGINT) AS state FROM bars_v)"], "m0", 0
 
-    def step(h: str):
+    def step(value: str):
         nonlocal last, k
         k += 1
-        ctes.append(f"m{k} AS (SELECT * REPLACE (CAST({h} AS UBIGINT) AS h) FROM {last})")
+        ctes.append(f"m{k} AS (SELECT * REPLACE (CAST({value} AS UBIGINT) AS state) FROM {last})")
         last = f"m{k}"
 
     for value, kind in steps:
-        wide = f"CAST((CAST({value} AS HUGEINT) + 18446744073709551616) % 18446744073709551616 AS UBIGINT)"
-        words = [f"({wide} % {_M32})"] + ([f"({wide} // {_M32})"] if kind == "long" else [])
-        for w in words:
-            k1 = f"({_rotl(f'({w} * {_u(3432918353)} % {_M32})', 15)} * {_u(461845907)} % {_M32})"
-            step(f"xor(h, {k1})")
-            step(_rotl("h", 13))
-            step(f"(h * {_u(5)} + {_u(3864292196)}) % {_M32}")
-        step(f"xor(h, {_u(4 * len(words))})")
+        if kind == "text":
+            added = f"list_transform({_text_words(value)}, lambda w: {_mixed_word('w')})"
+            step(f"list_reduce(list_prepend(state, {added}), lambda a, w: "
+                 f"({_rotl('xor(a, w)', 13)} * {_u(5)} + {_u(3864292196)}) % {_M32})")
+            step(f"xor(state, length(hex({value})) // 2)")
+        else:
+            wide = f"CAST(CAST(CASE WHEN {value} = 0 THEN 0.0 ELSE {value} END AS DOUBLE)::BIT AS UBIGINT)" if kind == "double" \
+                else f"CAST((CAST({value} AS HUGEINT) + 18446744073709551616) % 18446744073709551616 AS UBIGINT)"
+            words = [f"({wide} % {_M32})"] + ([] if kind == "int" else [f"({wide} // {_M32})"])
+            for w in words:
+                step(f"xor(state, {_mixed_word(w)})")
+                step(_rotl("state", 13))
+                step(f"(state * {_u(5)} + {_u(3864292196)}) % {_M32}")
+            step(f"xor(state, {_u(4 * len(words))})")
         for shift, factor in ((16, 2246822507), (13, 3266489909), (16, None)):
-            step(f"xor(h, h // {_u(1 << shift)})" + (f" * {_u(factor)} % {_M32}" if factor else ""))
-    return ", " + ",\n".join(ctes) + f"\nSELECT ticker, n, t, v, " \
-        f"printf('%X', CASE WHEN h < 2147483648 THEN CAST(h AS BIGINT) ELSE CAST(h AS BIGINT) - 4294967296 END) AS hash_id FROM {last}"
+            step(f"xor(state, state // {_u(1 << shift)})" + (f" * {_u(factor)} % {_M32}" if factor else ""))
+    return ", " + ",\n".join(ctes) + f"\nSELECT {columns}, " \
+        f"printf('%X', CASE WHEN state < 2147483648 THEN CAST(state AS BIGINT) ELSE CAST(state AS BIGINT) - 4294967296 END) AS hash_id FROM {last}"
+
 
+# record-bean column order: properties alphabetically
+_ROW_HASH = [("c", "double"), ("h", "double"), ("l", "double"), ("n", "int"), ("o", "double"), ("t", "long"),
+             ("ticker", "text"), ("v", "long"), ("vw", "double")]
 
-@register("hash_int_murmur", v(_murmur_sql([("n", "int"), ("t", "long"), ("v", "long")]), bars=True))
+
+@register("hash_row_murmur", v(_murmur_sql(_ROW_HASH, ", ".join(BAR.fieldNames())), bars=True))
+def hash_row_murmur(spark, sf):
+    return td.bars(spark, sf).withColumn("hash_id", H.murmur_fingerprint(*[c for c, _ in _ROW_HASH]))
+
+
+@register("hash_int_murmur", v(_murmur_sql([("n", "int"), ("t", "long"), ("v", "long")], "ticker, n, t, v"), bars=True))
 def hash_int_murmur(spark, sf):
-    """F2 over the integral columns, which SQL arithmetic can check."""
+    """F2 over the integral columns."""
     b = td.bars(spark, sf).select("ticker", "n", "t", "v")
     return b.withColumn("hash_id", H.murmur_fingerprint("n", "t", "v"))
 
 
+@register("hash_text_murmur", v(_murmur_sql([("contract_type", "text"), ("ticker", "text"), ("strike_price", "double")], "ticker")
+                                .replace("bars_v", "contracts_v"), contracts=True))
+def hash_text_murmur(spark, sf):
+    """F2 over texts of many lengths and a double."""
+    c = td.contracts(spark, sf)
+    return c.select("ticker", H.murmur_fingerprint("contract_type", "ticker", "strike_price").alias("hash_id"))
+
+
 _F2B_COLS = ["ticker", "underlying_ticker", "contract_type", "exercise_style", "expiration_date", "cfi", "correction"]
 
 
