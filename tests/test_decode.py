@@ -150,3 +150,91 @@ def test_bad_dates_and_error_bodies_of_contract_lists(spark):
     rows = classify_contract_responses(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
     assert sorted((r.reason or "", r.ticker or "") for r in rows) == [
         ("", "O:3"), ("", "O:4"), ("bad_date", "O:1"), ("bad_date", "O:2"), ("error_response", "")]
+
+
+def _bars(*bars):
+    """A body with the clean bar, changed by each of `bars` (None: null instead of a bar)."""
+    return json.dumps({"ticker": "O:A", "status": "OK", "count": "many", "results": [
+        None if b is None else CLEAN["results"][0] | b for b in bars]})
+
+
+def test_a_bad_bar_takes_no_other_of_its_response(spark):
+    from tickweave.sources.responses import bar_outcomes, bars_of, classify_bar_responses, rejects_of
+    from pyspark.sql import functions as F
+    body = _bars({}, {"v": "abc"}, None, {"n": 3_000_000_000}, {"t": 2 ** 63 - 1}, {"t": -62135596800001}, {"t": 2 ** 63},
+                 {"c": None}, {"v": 0.5}, {"n": {"x": 1}}, {"extra": [1]}, {"t": 253402300799999})
+    texts = spark.createDataFrame([(body,)], "value string")
+    rows = classify_bar_responses(texts).collect()
+    assert [r.reason for r in rows] == [None, "malformed", "null_bar", "malformed", "time_out_of_range", "time_out_of_range",
+                                        "malformed", "missing_field", "fractional_volume", "malformed", None, None]
+    assert all(r.ticker == "O:A" for r in rows)
+    assert json.loads(rows[1].record)["v"] == "abc" and rows[3].record.startswith("{") and rows[0].origin is None
+    assert len({r.origin for r in rows if r.reason}) == 9
+    got = texts.select(F.size(bars_of("value")).alias("good"), rejects_of(bar_outcomes("value")).alias("bad")).first()
+    assert got.good == 3 and [b.reason for b in got.bad] == [r.reason for r in rows if r.reason]
+
+
+def test_times_that_pass_can_be_placed_in_a_calendar(spark):
+    from tickweave.operators.joins import contract_documents
+    from tickweave.sources.responses import decode_bar_responses
+    body = _bars({"t": 2 ** 63 - 1}, {"t": -62135596800000}, {"t": 253402300799999}, {"t": 0})
+    bars = decode_bar_responses(spark.createDataFrame([(body,)], "value string"))
+    contracts = spark.createDataFrame([("A", "O:A", None, None, None)], "underlying_ticker string, ticker string, "
+                                      "contract_type string, expiration_date date, strike_price double")
+    for span, parts in (("day", [1, 1970, 9999]), ("hour", [101, 197001, 999912]), ("minute", [10101, 19700101, 99991231])):
+        assert sorted(r.part for r in contract_documents(contracts, bars, 1, span).collect()) == parts
+
+
+def test_a_bad_contract_takes_no_other_of_its_list(spark):
+    from pyspark.sql import functions as F
+
+    from tickweave.sources.responses import classify_contract_responses, contract_outcomes, contracts_of, rejects_of
+    body = {"results": [{"ticker": "O:1", "expiration_date": "2024-09-20"}, {"ticker": "O:2", "strike_price": "x"}, None,
+                        {"ticker": 5, "correction": 3_000_000_000}, {"expiration_date": "2024-09-20"}, [1]]}
+    texts = spark.createDataFrame([(json.dumps(body), "AAPL"), (json.dumps({"results": {"ticker": "O:9"}}), "MSFT")],
+                                  "value string, asked string")
+    rows = classify_contract_responses(texts, request_key="asked").collect()
+    assert [(r.reason, r.ticker) for r in rows[:5]] == [(None, "O:1"), ("malformed", "O:2"), ("null_contract", None),
+                                                        ("malformed", "5"), (None, None)]
+    assert [r.reason for r in rows[5:]] == ["malformed", "malformed"]
+    assert [r.underlying_ticker for r in rows] == [None, "AAPL", "AAPL", "AAPL", None, "AAPL", "MSFT"]
+    got = texts.select(F.size(contracts_of("value")).alias("good"), F.size(rejects_of(contract_outcomes("value"))).alias("bad"))
+    assert [tuple(r) for r in got.collect()] == [(2, 4), (0, 1)]
+
+
+def test_envelopes_do_not_depend_on_their_bars(spark):
+    from tickweave.sources.responses import decode_envelopes
+    texts = spark.createDataFrame([(_bars({"v": "abc"}, {}),), (_with(resultsCount="x"),), ("{",), (None,)], "value string")
+    rows = decode_envelopes(texts).collect()
+    assert [(r.ticker, r.status, r.resultsCount, len(r.results)) for r in rows] == [("O:A", "OK", None, 2), ("O:A", "OK", None, 1)]
+
+
+def test_flat_map_records_against_a_plain_loop(spark):
+    from tickweave.operators.generators import flat_map_records
+
+    def plain(row):
+        for part in row["text"].split():
+            if part == "!":
+                raise ValueError(part)
+            yield {"at": row["at"], "n": float(part) if "." in part else part if part.isalpha() else int(part)}
+            if part == "7":
+                yield {"at": row["at"], "odd": 1}
+
+    rows = [(k, t) for k, t in enumerate(["1 2 3", "", None, "4 x 5", "6 ! 7", "7 8", "1.5 2.0", "99999999999", "9 " * 50])] * 3
+    df = spark.createDataFrame(rows, "at bigint, text string").repartition(3)
+    got = flat_map_records(df, plain, "at bigint, n int", "text").collect()
+    good, failed, bad = [], 0, 0
+    for at, text in rows:
+        try:
+            for r in plain({"at": at, "text": text}):
+                if set(r) == {"at", "n"} and type(r["n"]) is int and abs(r["n"]) < 2 ** 31:
+                    good.append((at, r["n"]))
+                else:
+                    bad += 1
+        except Exception:  # noqa: BLE001
+            failed += 1
+    assert sorted((r.at, r.n) for r in got if r.reason is None) == sorted(good)
+    assert sum(r.reason == "failed" for r in got) == failed == 6
+    assert sum(r.reason == "bad_record" for r in got) == bad == 15
+    assert {r.record for r in got if r.reason == "failed"} == {None, "6 ! 7"}
+    assert flat_map_records(df.limit(0), plain, "at bigint, n int", "text").count() == 0

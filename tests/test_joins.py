@@ -74,3 +74,22 @@ def test_skew_safe_left_join_equals_left_join(spark):
     want = {tuple(r) for r in left.join(right, "k", "left").select("k", "x", "y").collect()}
     got = {tuple(r) for r in J.skew_safe_left_join(left, right, "k").select("k", "x", "y").collect()}
     assert got == want and len(got) == 4
+
+
+def test_documents_in_segments_of_a_hot_part(spark):
+    from collections import defaultdict
+
+    from tickweave.operators.joins import segmented_documents
+    minute = 60_000
+    bars = [("hot", k % 700 * minute, k % 3, 1.0) for k in range(2100)] + [("cold", k * 86_400_000, 1, 1.0) for k in range(3)]
+    df = spark.createDataFrame(bars, "ticker string, t bigint, n int, c double").repartition(7)
+    contracts = spark.createDataFrame([("A", t, None, None, None) for t in ("hot", "cold", "none")], "underlying_ticker string, "
+                                      "ticker string, contract_type string, expiration_date date, strike_price double")
+    got = defaultdict(list)
+    for r in segmented_documents(contracts, df, 1, "minute", tiebreak=["n", "c"], rows=64).collect():
+        got[r.ticker].append((r.part, r.segment, [a.timestamp for a in r.aggs]))
+    assert got["none"] == [(None, None, [])]
+    assert sorted(got["cold"]) == [(19700101 + k, 0, [k * 86_400_000]) for k in range(3)]
+    hot = sorted(got["hot"])
+    assert [len(x[2]) for x in hot] == [64] * 32 + [52] and [x[1] for x in hot] == list(range(33))
+    assert [t for x in hot for t in x[2]] == sorted(t for _, t, *_ in bars[:2100])

@@ -58,3 +58,11 @@ def with_results(df: DataFrame, col: str = "results") -> DataFrame:
 def null_results_to_empty(df: DataFrame, col: str = "results") -> DataFrame:
     """Null arrays become empty arrays of the same type."""
     return df.withColumn(col, empty_if_null(col, df.schema[col].dataType))
+
+
+def tag_missing(df: DataFrame, required: dict[str, str], name: str = "dropped") -> DataFrame:
+    """W1 with a record of what it drops: a column `name` with the reason of the first column of
+    `required` (column -> reason) that is null, itself null for a row to keep. Kept and dropped rows come
+    from one pass: land the result, then take `name IS NULL` and `IS NOT NULL` of it."""
+    why = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(reason)) for c, reason in required.items()])
+    return df.withColumn(name, why)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ship_package
 
+FLUSH = 4096  # records handed on at a time
+
 
 def explode_records(df: DataFrame, array_col: str, keep: list[str] = (), alias: str = "r",
                     fields: list[str] | None = None) -> DataFrame:
@@ -24,18 +27,60 @@ def explode_records(df: DataFrame, array_col: str, keep: list[str] = (), alias:
     return out
 
 
-def flat_map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                    schema: T.StructType | str) -> DataFrame:
-    """Typed flatMap, one input row -> 0..N output records of another schema.
+def flat_map_records(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema: T.StructType | str,
+                     source: str) -> DataFrame:
+    """Typed flatMap. `fn` takes a row of `df` as a dict and yields 0..n records as dicts.
 
-    `fn` maps an Arrow batch (as pandas) to the records it yields; Spark partitions the
-    input and streams batches through it, so nothing is gathered in one place.
-    """
+    The result has the fields of `schema` and `reason`, `record`. A row from which `fn` raises, and a
+    record with a value that does not fit its field (or a field that `schema` does not have), is a dead
+    letter: `reason` `failed` or `bad_record`, the row's `source` column or the record in `record`, no
+    fields; what `fn` yielded before it raised is kept. Absent fields are null. For bodies that no
+    built-in function expresses: each Arrow batch streams through, and nothing is gathered."""
     ship_package(df.sparkSession)
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    full = pa.schema([*arrow, pa.field("reason", pa.string()), pa.field("record", pa.string())])
+
+    whole = [f.name for f in arrow if pa.types.is_integer(f.type)]
+
+    def known(record: dict) -> bool:
+        """No field that the schema does not have, and no fraction for an integer, which Arrow would cut."""
+        return record.keys() <= set(arrow.names) and all(type(record.get(n)) in (int, type(None)) for n in whole)
+
+    def fits(record: dict) -> bool:
+        if not known(record):
+            return False
+        try:
+            pa.RecordBatch.from_pylist([record], schema=arrow)
+            return True
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return False
+
+    def batch_of(records: list[dict], dead: list[dict]) -> pa.RecordBatch:
+        try:  # all at once; one by one only where something does not fit
+            if not all(map(known, records)):
+                raise ValueError
+            return pa.RecordBatch.from_pylist(records + dead, schema=full)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            good = [r for r in records if fits(r)]
+            bad = [{"reason": "bad_record", "record": repr(r)} for r in records if not fits(r)]
+            return pa.RecordBatch.from_pylist(good + bad + dead, schema=full)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            records: list[dict] = []
+            dead: list[dict] = []
+            for row in b.to_pylist():
+                try:
+                    for record in fn(row):
+                        records.append(record)
+                except Exception:  # noqa: BLE001 - whatever a body does wrong is its own dead letter
+                    dead.append({"reason": "failed", "record": None if row[source] is None else str(row[source])})
+                if len(records) + len(dead) >= FLUSH:
+                    yield batch_of(records, dead)
+                    records, dead = [], []
+            if records or dead:
+                yield batch_of(records, dead)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = fn(pdf)
-            if len(out):
-                yield out
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, T.StructType([*fields.fields, T.StructField("reason", T.StringType()),
+                                            T.StructField("record", T.StringType())]))

@@ -2,16 +2,17 @@
 
 No join here hints a strategy: the planner takes a broadcast from measured sizes under the
 session's threshold, and sort-merge with AQE splitting skewed partitions (a hot ticker on the
-big side) beyond it. Nothing runs a job.
+big side) beyond it. Nothing but `segmented_documents` runs a job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bar_id
 from ..functions.timefns import utc_ntz_from_millis
+from .ranking import ordinal_within
 
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -42,27 +43,54 @@ def contract_bars(contracts: DataFrame, bars: DataFrame) -> DataFrame:
     return contracts.join(bars, "ticker", "inner")
 
 
+def document_part(timespan: str) -> Column:
+    """The calendar period (UTC, of `t`) that one document holds: a day (yyyymmdd) of minute bars, a month
+    (yyyymm) of hour bars, else a year."""
+    at = utc_ntz_from_millis("t")
+    if timespan not in ("minute", "hour"):
+        return F.year(at)
+    month = F.year(at) * 100 + F.month(at)
+    return month * 100 + F.day(at) if timespan == "minute" else month
+
+
 def contract_documents(contracts: DataFrame, bars: DataFrame, multiplier: int = 1, timespan: str = "day",
                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw")) -> DataFrame:
     """Nested documents, contract fields + `aggs: array<struct<timestamp, agg_id>>` in time order.
 
-    A contract has a document per calendar year (UTC) of its bars, the year as `part`; so the shape
-    depends on the data's time, not on its volume, and a long history is many groups. Contracts
-    with no bars keep one document with an empty array and a null part.
+    A contract has a document per calendar `part` of its bars, whose length follows the bars'
+    timespan, so a document's size depends on the data's time and not on its volume, and a long
+    history is many groups. Contracts with no bars keep one document with an empty array and a null
+    part. Where one ticker may repeat its times without bound, see `segmented_documents`.
     """
-    part = F.year(utc_ntz_from_millis("t"))
     element = F.struct("t", *tiebreak, bar_id("ticker", "t", multiplier, timespan).alias("agg_id"))
-    docs = (bars.select("ticker", part.alias("part"), element.alias("_e"))
-            .groupBy("ticker", "part")
-            .agg(F.array_sort(F.collect_list("_e")).alias("_es"))
-            .select("ticker", "part",
-                    F.transform("_es", lambda e: F.struct(e["t"].alias("timestamp"),
-                                                          e["agg_id"].alias("agg_id"))).alias("aggs")))
-    narrow = contracts.select("underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price")
-    cols = ["underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price", "part", "aggs"]
-    # a ticker has a document per year at most, so this left join has no hot key on its right side
+    docs = (bars.select("ticker", document_part(timespan).alias("part"), element.alias("_e"))
+            .groupBy("ticker", "part").agg(F.array_sort(F.collect_list("_e")).alias("_es")))
+    return _with_documents(contracts, docs, ["part"])
+
+
+def segmented_documents(contracts: DataFrame, bars: DataFrame, multiplier: int = 1, timespan: str = "day",
+                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw"), rows: int = 10_000) -> DataFrame:
+    """J3 for parts of any size: documents of at most `rows` elements, `segment` 0, 1, .. of a part, each a
+    contiguous stretch of it in time order. The numbering is `ordinal_within`'s: ranges cut a hot part
+    across tasks, so no group holds more than `rows` bars. Writes the numbered bars when called."""
+    keyed = bars.withColumns({"part": document_part(timespan), "_id": bar_id("ticker", "t", multiplier, timespan)})
+    numbered = ordinal_within(keyed.select("ticker", "part", "t", *tiebreak, "_id"), ["ticker", "part"],
+                              ["t", *tiebreak], "_n")
+    docs = numbered.select("ticker", "part", F.floor(F.col("_n") / rows).cast("int").alias("segment"),
+                           F.struct("_n", "t", F.col("_id").alias("agg_id")).alias("_e")) \
+        .groupBy("ticker", "part", "segment").agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+    return _with_documents(contracts, docs, ["part", "segment"])
+
+
+def _with_documents(contracts: DataFrame, docs: DataFrame, place: list[str]) -> DataFrame:
+    """Contracts with their documents (ticker, `place`, _es: elements in order)."""
+    docs = docs.select("ticker", *place, F.transform("_es", lambda e: F.struct(
+        e["t"].alias("timestamp"), e["agg_id"].alias("agg_id"))).alias("aggs"))
+    fields = ["underlying_ticker", "ticker", "contract_type", "expiration_date", "strike_price"]
+    # one row per document, not per bar: a join that is small beside the grouping above
     empty = F.array().cast(docs.schema["aggs"].dataType)
-    return narrow.join(docs, "ticker", "left").withColumn("aggs", F.coalesce("aggs", empty)).select(*cols)
+    return contracts.select(*fields).join(docs, "ticker", "left") \
+        .withColumn("aggs", F.coalesce("aggs", empty)).select(*fields, *place, "aggs")
 
 
 def not_yet_loaded(candidates: DataFrame, landed: DataFrame, key: str = "ticker") -> DataFrame:
@@ -70,13 +98,18 @@ def not_yet_loaded(candidates: DataFrame, landed: DataFrame, key: str = "ticker"
     return candidates.join(landed.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
-def idempotent_append(batch: DataFrame, stored: DataFrame, id_col: str = "row_id") -> DataFrame:
+def idempotent_append(batch: DataFrame, stored: DataFrame, id_col: str = "row_id",
+                      buckets: int | None = None) -> DataFrame:
     """Rows of `batch` whose id is not stored yet, duplicates inside the batch removed.
 
     Appending the result and running again with the same batch appends nothing. Rows without
-    an id cannot be told apart, so none is appended here: see `without_id`.
+    an id cannot be told apart, so none is appended here: see `without_id`. With `buckets`, the number
+    that `stored` is bucketed in by id (`sinks.runs.Run.stored_ids`), the batch is dealt like it and
+    only the batch moves.
     """
     known = batch.where(F.col(id_col).isNotNull())
+    if buckets:
+        known = known.repartition(buckets, id_col)
     return known.dropDuplicates([id_col]).join(stored.select(id_col), id_col, "left_anti")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import testdata as td
 from ..operators.bars import bars_from_ticks, rollup_bars
+from ..operators.joins import segmented_documents
 from .registry import register
 
 _BAR_COLS = ["ticker", "c", "h", "l", "n", "o", "t", "v"]
@@ -93,3 +94,32 @@ FROM day_bars GROUP BY ticker, epoch_us(date_trunc('week', make_timestamp(t * 10
 def bars_rollup_week(spark, sf_dir):
     day = bars_from_ticks(td.ticks(spark, sf_dir, "event_type"), 1, "day")
     return _rounded(rollup_bars(day, 1, "week"))
+
+
+# minute bars of users, of whom one ticker stands for a third
+_MINUTE_TICKER = "CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS {}) END"
+_DOCUMENT_ROWS = 20
+
+
+@register("join_minute_documents", f"""
+WITH bars AS (SELECT DISTINCT {_MINUTE_TICKER.format("VARCHAR")} AS ticker,
+    epoch_us(date_trunc('minute', ts)) // 1000 AS t FROM events),
+parts AS (SELECT *, CAST(strftime(make_timestamp(t * 1000), '%Y%m%d') AS INTEGER) AS part FROM bars),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY ticker, part ORDER BY t) - 1) // {_DOCUMENT_ROWS} AS segment FROM parts)
+SELECT ticker AS underlying_ticker, ticker, part, CAST(segment AS INTEGER) AS segment, CAST(count(*) AS INTEGER) AS n_aggs,
+  min(t) AS first_ts, max(t) AS last_ts, sha256(ticker || '|' || CAST(max(t) AS VARCHAR) || '|1|minute') AS last_id
+FROM placed GROUP BY ticker, part, segment""")
+def join_minute_documents(spark, sf_dir):
+    """J3 over minute bars: a part is a day, and a hot ticker's day is several documents."""
+    ticks = td.ticks(spark, sf_dir, "user_id").withColumn("ticker", F.expr(
+        "CASE WHEN CAST(ticker AS BIGINT) % 3 = 0 THEN 'hot' ELSE ticker END"))
+    bars = bars_from_ticks(ticks, 1, "minute")
+    null = F.lit(None)
+    contracts = ticks.select("ticker").distinct().select(
+        F.col("ticker").alias("underlying_ticker"), "ticker", null.cast("string").alias("contract_type"),
+        null.cast("date").alias("expiration_date"), null.cast("double").alias("strike_price"))
+    docs = segmented_documents(contracts, bars, 1, "minute", rows=_DOCUMENT_ROWS)
+    last = F.get("aggs", F.size("aggs") - 1)
+    return docs.select("underlying_ticker", "ticker", "part", "segment", F.size("aggs").alias("n_aggs"),
+                       F.get("aggs", 0)["timestamp"].alias("first_ts"), last["timestamp"].alias("last_ts"),
+                       last["agg_id"].alias("last_id"))

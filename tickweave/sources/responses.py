@@ -1,17 +1,21 @@
 """Landed API responses: encode tables into response pages (for landing) and decode landed
 JSON text back into rows (S5, S6), routing bad records to a dead-letter table (E1).
 
-Decoding is lenient on unknown keys, treats missing/null `results` as empty, and copies the
-envelope `ticker` onto each bar. Every wire field of a bar is required; volume is read as double,
-must be within the bigint range and integral, and is stored as bigint; anything else is a dead
-letter, never a silent null. No cast on a decoded value can fail: one bad record never stops the
-others. A response whose status is not a good one is a dead letter as a whole.
-
-Decoded rows are produced by a generator (`inline`/`explode`) whose input already folds in the
-corrupt-record check. Later predicates on decoded fields (a join's inferred `ticker IS NOT
-NULL`, a range on `t`) then refer to generator output and stay above it. Otherwise the
-optimizer would push them below the projection and run `from_json` a second time inside a
-filter, possibly in the scan stage.
+A body is parsed in two steps: its envelope, in which each element of `results` stays the JSON text
+it is, and then each element on its own. So a record of a wrong type, one that is null or one whose
+value does not fit is a dead letter by itself, and the others of its response are rows. Only a
+body that is no JSON object, whose `results` is no array, or whose status is not a good one is a dead
+letter as a whole.
+
+Decoding is lenient on unknown keys and on envelope fields that no row needs, treats missing/null
+`results` as empty, and copies the envelope `ticker` onto each bar. Every wire field of a bar is
+required; volume is read as double, must be within the bigint range and integral, and is stored as
+bigint; times must lie in the years 1 to 9999. No conversion of a decoded value can fail.
+
+Outcomes are one array per body, bound once by lambdas, and rows come out of a generator over it.
+Later predicates on decoded fields (a join's inferred `ticker IS NOT NULL`, a range on `t`) refer
+to generator output and stay above it. Otherwise the optimizer would push them below the projection
+and run `from_json` a second time inside a filter, possibly in the scan stage.
 """
 
 from __future__ import annotations
@@ -23,10 +27,20 @@ from pyspark.sql import types as T
 from ..functions.arrays import element_count
 from ..functions.hashing import bar_id
 from ..functions.timefns import utc_ntz_from_millis
-from ..schemas import BAR_RESPONSE, BAR_SHORT_TO_LONG, BAR_WIRE, CONTRACT, CONTRACT_RESPONSE
+from ..schemas import BAR_RESPONSE, BAR_SHORT_TO_LONG, BAR_WIRE, CONTRACT, CONTRACT_RESPONSE, CONTRACT_WIRE
 
 CORRUPT = "_corrupt_record"
 _MAX_LONG = 2.0 ** 63
+MIN_TIME, MAX_TIME = -62_135_596_800_000, 253_402_300_799_999  # epoch ms of the years 1 to 9999
+
+
+def _envelope(schema: T.StructType) -> T.StructType:
+    """The envelope of a response: its fields as text, each element of `results` as its JSON text."""
+    return T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if f.name == "results" else T.StringType())
+                         for f in schema.fields])
+
+
+BAR_ENVELOPE, CONTRACT_ENVELOPE = _envelope(BAR_RESPONSE), _envelope(CONTRACT_RESPONSE)
 # ---- fixed values: envelope statuses of an answer that holds its data ----
 GOOD_STATUS = ("OK", "DELAYED")
 # ---- end of fixed values ----
@@ -94,45 +108,70 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def parse_responses(texts: DataFrame, schema: T.StructType, col: str = "value",
-                    keep: list[str] = ()) -> DataFrame:
-    """Parse each text with `schema`; unparsable or wrong-typed texts keep `_corrupt_record`.
+def _parsed(text: Column, schema: T.StructType) -> Column:
+    return F.from_json(text, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
 
-    A null text parses to a null record and yields no rows downstream. (No `IS NOT NULL`
-    filter here: the optimizer would push it below a projection and inline an expensive
-    text-building expression into the filter.)
-    """
-    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    return texts.select(F.from_json(col, _with_corrupt(schema), opts).alias("r"), F.col(col).alias("_text"), *keep)
+
+def _bound(value: Column, of) -> Column:
+    """`of(value)`, with `value` evaluated once however often `of` names it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
-def _unreadable(status: Column) -> Column:
+def _unreadable(r: Column) -> Column:
     """Why a whole response is a dead letter; null for a good one."""
-    return (F.when(F.col(f"r.{CORRUPT}").isNotNull(), F.lit("malformed"))
-            .when(~F.coalesce(F.upper(status).isin(*GOOD_STATUS), F.lit(True)), F.lit("error_response")))
+    return (F.when(r[CORRUPT].isNotNull(), F.lit("malformed"))
+            .when(~F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True)), F.lit("error_response")))
+
+
+def _outcomes(text: Column, envelope: T.StructType, element: T.StructType, of) -> Column:
+    """A struct `of(r, e, record, origin, why)` for every element of the response `text`, or one for the
+    response if it is a dead letter as a whole: the envelope, the element (null there), the text and the
+    origin (MD5 of the body and place in it) that a dead letter keeps, and why it is one as far as its
+    JSON says. Empty for a null text."""
+    def each(r: Column) -> Column:
+        why = _unreadable(r)
+        items = F.when(why.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(r["results"])
+
+        def judged(item: Column, i: Column) -> Column:
+            return _bound(_parsed(item, element), lambda e: of(
+                r, e, F.when(why.isNotNull(), text).otherwise(item), F.concat_ws(":", r["body"], i),
+                F.coalesce(why, F.when(item.isNull(), F.lit("null_record")), F.when(e[CORRUPT].isNotNull(), F.lit("malformed")))))
+        return F.transform(items, judged)
+    names = [*envelope.fieldNames(), CORRUPT]
+    return _bound(_parsed(text, envelope), lambda r: _bound(
+        F.struct(*[r[n].alias(n) for n in names], F.md5(text).alias("body")), each))
+
+
+def _text(col) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
 def _bad_date(text: Column) -> Column:
     return text.isNotNull() & F.try_to_date(text, "yyyy-MM-dd").isNull()
 
 
-def classify_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
-    """E1 for contract lists, one parse: a row per contract (`reason` null, or `bad_date` with the
-    contract's JSON in `record`) plus one row per unreadable or error response (`reason`
-    `malformed` or `error_response`, raw text in `record`, contract fields null)."""
-    parsed = parse_responses(texts, CONTRACT_RESPONSE, col)
-    why = _unreadable(F.col("r.status"))
-    items = F.when(why.isNotNull(), F.array(F.lit(None).cast(CONTRACT_RESPONSE["results"].dataType.elementType))) \
-        .otherwise(F.col("r.results"))
-    raw = F.when(why.isNotNull(), F.col("_text"))
-    rows = parsed.select(F.inline(F.transform(items, lambda c: F.struct(
-        why.alias("_why"), raw.alias("_raw"), c.alias("c")))))
-    reason = F.coalesce(F.col("_why"), F.when(F.col("c").isNull(), F.lit("null_contract")),
-                        F.when(_bad_date(F.col("c.expiration_date")), F.lit("bad_date")))
-    return rows.select(
-        reason.alias("reason"), F.coalesce("_raw", F.when(reason.isNotNull(), F.to_json("c"))).alias("record"),
-        *[(F.try_to_date(f"c.{n}", "yyyy-MM-dd") if n == "expiration_date" else F.col(f"c.{n}")).alias(n)
-          for n in CONTRACT.fieldNames()])
+def contract_outcomes(col, request_key: str | None = None) -> Column:
+    """Response text -> array<struct<reason, record, origin, contract fields>>, an entry for each contract of the
+    list (`reason` null, or `null_contract`, `malformed` for a wrong type, `bad_date`) or one for an
+    unreadable or error response (`malformed`, `error_response`). `origin` is the body's MD5 and the place
+    in it. Dead letters keep their JSON in `record` and are of the underlying they name, else of the one that the list was requested for (`request_key`)."""
+    def of(r: Column, c: Column, record: Column, origin: Column, why: Column) -> Column:
+        reason = F.coalesce(F.when(why == "null_record", F.lit("null_contract")).otherwise(why),
+                            F.when(_bad_date(c["expiration_date"]), F.lit("bad_date")))
+        asked = F.when(reason.isNotNull(), F.col(request_key)) if request_key else F.lit(None)
+        fields = {n: c[n] for n in CONTRACT.fieldNames()}
+        fields["expiration_date"] = F.try_to_date(c["expiration_date"], "yyyy-MM-dd")
+        fields["underlying_ticker"] = F.coalesce(c["underlying_ticker"], asked)
+        bad = reason.isNotNull()
+        return F.struct(reason.alias("reason"), F.when(bad, record).alias("record"), origin.alias("origin"),
+                        *[v.alias(n) for n, v in fields.items()])
+    return _outcomes(_text(col), CONTRACT_ENVELOPE, CONTRACT_WIRE, of)
+
+
+def classify_contract_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
+    """E1 for contract lists, one parse: the rows of `contract_outcomes`. A contract without a ticker or an
+    underlying is decoded (all its fields are optional); `filters.tag_missing` tells where a flow drops it."""
+    return texts.select(F.inline(contract_outcomes(col, request_key)))
 
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
@@ -150,90 +189,85 @@ def _bar_problem(b: Column) -> Column:
         missing = missing | b[n].isNull()
     for x in prices:
         infinite = infinite | F.isnan(x) | (F.abs(x) == float("inf"))
-    return (F.when(b.isNull(), F.lit("null_bar"))
-            .when(missing, F.lit("missing_field"))
+    return (F.when(missing, F.lit("missing_field"))
             .when(infinite, F.lit("price_not_finite"))
+            .when(~b["t"].between(MIN_TIME, MAX_TIME), F.lit("time_out_of_range"))
             .when(F.isnan(v) | (F.abs(v) >= F.lit(_MAX_LONG)), F.lit("volume_out_of_range"))
             .when(v != F.floor(v), F.lit("fractional_volume")))
 
 
-def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
-    """E1 in one pass: every bar of every response, and every unreadable or error response, as rows
-    `ticker, reason, record, c, h, l, n, o, t, v, vw`. `reason` is null for a good bar; dead
-    letters keep the raw text (`malformed`, `error_response`) or the bar's JSON (rule broken).
+def bar_outcomes(col, request_key: str | None = None) -> Column:
+    """Response text -> array<struct<ticker, reason, record, origin, c, h, l, n, o, t, v, vw>>, an entry for each
+    bar or one for an unreadable or error response. `reason` is null for a good bar; dead letters keep
+    the JSON of what is wrong: the body (`malformed`, `error_response`) or the bar (`malformed` for a
+    wrong type or an integer that does not fit, `null_bar`, or the rule it breaks), and `origin` tells
+    equal ones of a body, or of two bodies, apart.
 
-    An unparsable text has no readable envelope, so its ticker is unknown unless the landing
-    kept the request key next to the body: pass that column as `request_key` and it is used
-    whenever the envelope ticker is missing. A bar without either is a dead letter too.
+    An unparsable body has no readable envelope, so its ticker is unknown unless the landing kept the
+    request key next to it: pass that column as `request_key` and it is used whenever the envelope
+    ticker is missing. A bar without either is a dead letter too.
     """
-    parsed = parse_responses(texts, BAR_RESPONSE, col, keep=[request_key] if request_key else [])
-    why = _unreadable(F.col("r.status"))
-    # an unreadable response becomes one placeholder element so it survives the explode
-    items = F.when(why.isNotNull(), F.array(F.lit(None).cast(BAR_WIRE))).otherwise(F.col("r.results"))
-    ticker = F.coalesce(F.col("r.ticker"), F.col(request_key)) if request_key else F.col("r.ticker")
-    raw = F.when(why.isNotNull(), F.col("_text"))  # the raw text travels only with unreadable responses
-    elements = F.transform(items, lambda b: F.struct(ticker.alias("ticker"), why.alias("_why"),
-                                                     raw.alias("_raw"), b.alias("b")))
-    rows = parsed.select(F.inline(elements))
-    reason = F.coalesce(F.col("_why"), _bar_problem(F.col("b")),
-                        F.when(F.col("ticker").isNull(), F.lit("missing_ticker")))
-    record = F.coalesce(F.col("_raw"), F.when(reason.isNotNull(), F.to_json("b")))
-    return rows.select(
-        "ticker", reason.alias("reason"), record.alias("record"),
-        *[(F.col("b.v").try_cast("bigint") if n == "v" else F.col(f"b.{n}")).alias(n) for n in BAR_WIRE.fieldNames()])
+    def of(r: Column, b: Column, record: Column, origin: Column, why: Column) -> Column:
+        ticker = F.coalesce(r["ticker"], F.col(request_key)) if request_key else r["ticker"]
+        reason = F.coalesce(F.when(why == "null_record", F.lit("null_bar")).otherwise(why), _bar_problem(b),
+                            F.when(ticker.isNull(), F.lit("missing_ticker")))
+        bad = reason.isNotNull()
+        return F.struct(ticker.alias("ticker"), reason.alias("reason"), F.when(bad, record).alias("record"),
+                        F.when(bad, origin).alias("origin"), *[(b["v"].try_cast("bigint") if n == "v" else b[n]).alias(n) for n in BAR_WIRE.fieldNames()])
+    return _outcomes(_text(col), BAR_ENVELOPE, BAR_WIRE, of)
 
 
-def bars_of(col, request_key: str | None = None) -> Column:
-    """D-U2 as a column: response text -> array<struct<bar>> of its good bars by the rules above, with
-    long names and agg_id; empty for a response without any."""
-    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    r = F.from_json(col, _with_corrupt(BAR_RESPONSE), opts)
+def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
+    """E1 in one pass: the entries of `bar_outcomes` as rows."""
+    return texts.select(F.inline(bar_outcomes(col, request_key)))
 
-    def of(r: Column) -> Column:
-        ticker = F.coalesce(r["ticker"], F.col(request_key)) if request_key else r["ticker"]
-        fine = r[CORRUPT].isNull() & F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True)) & ticker.isNotNull()
-        good = F.filter(F.coalesce(r["results"], F.array().cast(BAR_RESPONSE["results"].dataType)),
-                        lambda b: fine & _bar_problem(b).isNull())
-        return F.transform(good, lambda b: F.struct(
-            *[(b[s].try_cast("bigint") if s == "v" else b[s]).alias(name) for s, name in BAR_SHORT_TO_LONG.items()],
-            bar_id(ticker, b["t"]).alias("agg_id")))
 
-    # the parsed text is bound once, by a lambda, instead of being parsed for every field
-    return F.flatten(F.transform(F.array(r), of))
+def _good(outcomes: Column) -> Column:
+    return F.filter(F.coalesce(outcomes, F.array()), lambda o: o["reason"].isNull())
+
+
+def bars_of(col, request_key: str | None = None) -> Column:
+    """D-U2 as a column: response text -> array<struct<bar>> of its good bars by the rules above, with
+    long names and agg_id; empty for a response without any. `rejects_of(bar_outcomes(..))` has the rest."""
+    return F.transform(_good(bar_outcomes(col, request_key)), lambda b: F.struct(
+        *[b[s].alias(name) for s, name in BAR_SHORT_TO_LONG.items()], bar_id(b["ticker"], b["t"]).alias("agg_id")))
 
 
 def contracts_of(col) -> Column:
     """D-U1 as a column: response text -> array<struct<contract>> of its good contracts (expiration as
-    text); empty for a response without any."""
-    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    r = F.from_json(col, _with_corrupt(CONTRACT_RESPONSE), opts)
+    text); empty for a response without any. `rejects_of(contract_outcomes(..))` has the rest."""
     fields = ["ticker", "underlying_ticker", "contract_type", "exercise_style", "expiration_date", "strike_price"]
+    return F.transform(_good(contract_outcomes(col)), lambda c: F.struct(
+        *[(F.date_format(c[n], "yyyy-MM-dd") if n == "expiration_date" else c[n]).alias(n) for n in fields]))
+
+
+def rejects_of(outcomes: Column) -> Column:
+    """Outcomes -> array<struct<reason, record>> of what the D-U columns leave out."""
+    bad = F.filter(F.coalesce(outcomes, F.array()), lambda o: o["reason"].isNotNull())
+    return F.transform(bad, lambda o: F.struct(o["reason"].alias("reason"), o["record"].alias("record")))
 
-    def of(r: Column) -> Column:
-        fine = r[CORRUPT].isNull() & F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True))
-        good = F.filter(F.coalesce(r["results"], F.array().cast(CONTRACT_RESPONSE["results"].dataType)),
-                        lambda c: fine & c.isNotNull() & ~_bad_date(c["expiration_date"]))
-        return F.transform(good, lambda c: F.struct(*[c[n].alias(n) for n in fields]))
 
-    return F.flatten(F.transform(F.array(r), of))
+def decode_envelopes(texts: DataFrame, col: str = "value") -> DataFrame:
+    """The readable envelopes of bar responses: status, ticker, resultsCount (null unless an integer),
+    results (JSON texts)."""
+    rows = texts.select(F.inline(F.transform(F.array(_parsed(F.col(col), BAR_ENVELOPE)), lambda r: F.struct(
+        (r[CORRUPT].isNull() & F.col(col).isNotNull()).alias("readable"), r["status"].alias("status"), r["ticker"].alias("ticker"),
+        r["resultsCount"].try_cast("int").alias("resultsCount"), r["results"].alias("results")))))
+    return rows.where("readable").drop("readable")
 
 
 def split_bar_responses(texts: DataFrame, col: str = "value",
                         request_key: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """E1 + S6: landed bar-response texts -> (good bars, dead letters, parsed envelopes).
+    """E1 + S6: landed bar-response texts -> (good bars, dead letters, readable envelopes).
 
-    Dead letters: `ticker, reason, record` -- whole responses that do not parse (reason
-    `malformed`, raw text kept) and single bars that break a rule (reason per rule, bar JSON
-    kept). Good bars carry the envelope ticker and bigint volume. Each output is lazy; when
-    both good and bad rows are written, persist `classify_bar_responses` once (as the
-    streaming landing does) so the texts are parsed a single time.
+    Good bars carry the envelope ticker and bigint volume; dead letters are `ticker, reason, record`.
+    Each output is lazy; when both good and bad rows are written, persist `classify_bar_responses` once
+    (as the streaming landing does) so the texts are parsed a single time.
     """
     classified = classify_bar_responses(texts, col, request_key)
     good = classified.where(F.col("reason").isNull()).select("ticker", *BAR_WIRE.fieldNames())
     bad = classified.where(F.col("reason").isNotNull()).select("ticker", "reason", "record")
-    parsed = parse_responses(texts, BAR_RESPONSE, col)
-    envelopes = parsed.select(F.inline(F.when(F.col(f"r.{CORRUPT}").isNull(), F.array(F.col("r"))))).drop(CORRUPT)
-    return good, bad, envelopes
+    return good, bad, decode_envelopes(texts, col)
 
 
 def decode_bar_responses(texts: DataFrame, col: str = "value") -> DataFrame:

@@ -88,66 +88,96 @@ def ticks(spark: SparkSession, sf_dir: str, ticker: str = "event_type") -> DataF
 
 
 def bar_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One aggregates response per line item, some made faulty by fixed rules on the row
-    (`BAR_REASON_SQL` is the same in SQL):
+    """Aggregates responses over all line items, some faulty by fixed rules on the row
+    (`BAR_REASON_SQL` is the same in SQL). A response of its own has
 
-    - line 7: text cut before its closing brace; line 6 with return flag R: trade count sent as the
-      text "x" (both malformed);
-    - line 5, flag N: volume sent as quantity + 0.5 (fractional);
-    - line 4, flag A: `results` null (no bars, not an error);
-    - line 3, flag R: volume 1e20; line 2, flag A: volume NaN (both out of range);
-    - line 3, flag A: no close (missing field);
-    - line 2, flag R: an error body without results.
+    - line 7: text cut before its closing brace (malformed);
+    - line 2, flag R: an error body without results; line 4, flag A: `results` null (no bars, no error).
+
+    All others of an order and year are the bars of one response, good and bad side by side:
+
+    - line 6: trade count sent as the text "x" (flag R) or as 3000000000 (flag N; both malformed), or a
+      time of 2^63 - 1 ms (flag A, out of range);
+    - line 5: volume sent as quantity + 0.5 (flag N, fractional), or null instead of a bar (flag A);
+    - line 3: volume 1e20 (flag R, out of range), or no close (flag A, missing field);
+    - line 2, flag A: volume NaN (out of range).
 
     Columns: `value` (the landed body) and `request_ticker` (the key the request was made
     for, as a landing keeps it next to the body).
     """
     from .sources.responses import bar_wire
 
-    li = table(spark, sf_dir, "lineitem")
+    bars = table(spark, sf_dir, "lineitem")
+    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
     c = F.col("l_extendedprice")
     o = c * (1 - F.col("l_discount"))
     h = c * (1 + F.col("l_tax"))
     low = o * (1 - F.col("l_tax"))
-    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
     quantity = F.col("l_quantity").cast("double")
-    base = li.select(
-        F.col("l_orderkey").cast("string").alias("ticker"),
+    rows = bars.select(
+        F.col("l_orderkey").cast("string").alias("ticker"), F.year("l_shipdate").alias("year"),
         F.when(~((ln == 3) & (rf == "A")), c).alias("c"), h.alias("h"), low.alias("l"),
         ln.alias("n"), o.alias("o"), epoch_millis("l_shipdate").alias("t"),
         F.when((ln == 5) & (rf == "N"), quantity + 0.5).when((ln == 3) & (rf == "R"), F.lit(1e20))
         .otherwise(quantity).alias("v"),
         ((h + low + c) / 3).alias("vw"), ln.alias("_ln"), rf.alias("_rf"))
     ln, rf = F.col("_ln"), F.col("_rf")
-    error = (ln == 2) & (rf == "R")
-    results = F.when(~(error | (ln == 4) & (rf == "A")), F.array(bar_wire()))
-    env = base.select(
-        F.lit(True).alias("adjusted"), F.lit(1).alias("count"), F.lit(1).alias("queryCount"),
-        F.concat_ws("-", "ticker", F.col("t").cast("string"), F.col("n").cast("string")).alias("request_id"),
-        results.alias("results"), F.lit(1).alias("resultsCount"),
-        F.when(error, "ERROR").otherwise("OK").alias("status"), "ticker", "_ln", "_rf")
-    js = env.select(F.to_json(F.struct("adjusted", "count", "queryCount", "request_id", "results",
-                                       "resultsCount", "status", "ticker")).alias("j"), "_ln", "_rf",
-                    F.col("ticker").alias("request_ticker"))
-    value = (F.when(ln == 7, F.expr("substring(j, 1, length(j) - 1)"))
-             .when((ln == 6) & (rf == "R"), F.regexp_replace("j", '"n":6,', '"n":"x",'))
-             .when((ln == 2) & (rf == "A"), F.regexp_replace("j", '"v":[0-9.E]+', '"v":NaN'))
-             .otherwise(F.col("j")))
-    return js.select(value.alias("value"), "request_ticker")
+    bar = F.to_json(bar_wire())
+    bar = (F.when((ln == 6) & (rf == "R"), F.regexp_replace(bar, '"n":6', '"n":"x"'))
+           .when((ln == 6) & (rf == "N"), F.regexp_replace(bar, '"n":6', '"n":3000000000'))
+           .when((ln == 6) & (rf == "A"), F.regexp_replace(bar, '"t":-?[0-9]+', '"t":9223372036854775807'))
+           .when((ln == 5) & (rf == "A"), F.lit("null"))
+           .when((ln == 2) & (rf == "A"), F.regexp_replace(bar, '"v":[0-9.E]+', '"v":NaN'))
+           .otherwise(bar))
+    rows = rows.select("ticker", "year", "t", "_ln", "_rf", bar.alias("bar"))
+    error, none = (ln == 2) & (rf == "R"), (ln == 4) & (rf == "A")
+    alone = (ln == 7) | error | none
+
+    def body(results, n, status, asked):
+        return F.concat(F.lit('{"adjusted":true,"count":'), n, F.lit(',"queryCount":'), n, F.lit(',"request_id":"'),
+                        F.col("ticker"), F.lit('-'), asked, F.lit('","results":'), results,
+                        F.lit(',"resultsCount":'), n, F.lit(',"status":"'), status, F.lit('","ticker":"'), F.col("ticker"),
+                        F.lit('"'))
+
+    single = rows.where(alone).select(F.concat(
+        body(F.when(error | none, F.lit("null")).otherwise(F.concat(F.lit("["), "bar", F.lit("]"))), F.lit("1"),
+             F.when(error, "ERROR").otherwise("OK"), F.concat_ws("-", "t", "_ln")), F.when(ln == 7, "").otherwise("}")).alias("value"),
+        F.col("ticker").alias("request_ticker"))
+    many = rows.where(~alone).groupBy("ticker", "year").agg(F.array_sort(F.collect_list("bar")).alias("bars")).select(
+        F.concat(body(F.concat(F.lit("["), F.array_join("bars", ","), F.lit("]")), F.size("bars").cast("string"),
+                      F.lit("OK"), F.col("year")), F.lit("}")).alias("value"), F.col("ticker").alias("request_ticker"))
+    return single.union(many)
 
 
 def contract_texts_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One contract-list response per order (`value`), some made faulty by the order key's last digit:
-    3 a date that does not exist, 7 an error body, 9 a text cut before its closing brace."""
-    k = F.pmod(F.col("ticker").cast("bigint"), F.lit(10))
+    """Contract-list responses over all orders, some faulty by the order key's last digit. A response of
+    its own has 7 (an error body) and 9 (a text cut before its closing brace). All others of a customer
+    and month are the contracts of one list: 2 a strike sent as the text "x", 3 a date that does not exist,
+    1 no ticker and 5 no underlying (both decode). Columns: `value` and `request_underlying`."""
+    k = F.col("_k")
     rows = contracts(spark, sf_dir)
-    wire = F.struct(*[(F.when(k == 3, "2024-13-45").otherwise(F.date_format("expiration_date", "yyyy-MM-dd"))
-                       if c == "expiration_date" else F.col(c)).alias(c) for c in rows.columns])
-    body = F.to_json(F.struct(F.concat_ws("-", "underlying_ticker", "ticker").alias("request_id"),
-                              F.when(k == 7, "ERROR").otherwise("OK").alias("status"),
-                              F.when(k != 7, F.array(wire)).alias("results")))
-    out = rows.select(body.alias("j"), (k == 9).alias("cut"))
-    return out.select(F.expr("CASE WHEN cut THEN substring(j, 1, length(j) - 1) ELSE j END").alias("value"))
+    fields = rows.columns
+    rows = rows.withColumns({"_k": F.pmod(F.col("ticker").cast("bigint"), F.lit(10)), "_asked": F.col("underlying_ticker"),
+                             "_month": F.date_format("expiration_date", "yyyyMM")})
+    sent = {"expiration_date": F.when(k == 3, "2024-13-45").otherwise(F.date_format("expiration_date", "yyyy-MM-dd")),
+            "strike_price": F.when(k == 2, "x").otherwise(F.col("strike_price").cast("string")),
+            "ticker": F.when(k != 1, F.col("ticker")), "underlying_ticker": F.when(k != 5, F.col("underlying_ticker"))}
+    wire = F.to_json(F.struct(*[sent.get(c, F.col(c)).alias(c) for c in fields]))
+    wire = F.when(k == 2, wire).otherwise(F.regexp_replace(wire, '"strike_price":"([^"]*)"', '"strike_price":$1'))
+    rows = rows.select("_k", "_asked", "_month", F.col("ticker").alias("_order"), wire.alias("wire"))
+
+    def body(results, status, asked):
+        return F.concat(F.lit('{"request_id":"'), F.col("_asked"), F.lit('-'), asked, F.lit('","status":"'), status,
+                        F.lit('","results":'), results)
+
+    single = rows.where(k.isin(7, 9)).select(
+        F.concat(body(F.when(k == 7, "null").otherwise(F.concat(F.lit("["), "wire", F.lit("]"))),
+                      F.when(k == 7, "ERROR").otherwise("OK"), F.col("_order")), F.when(k == 9, "").otherwise("}")).alias("value"),
+        F.col("_asked").alias("request_underlying"))
+    many = rows.where(~k.isin(7, 9)).groupBy("_asked", "_month").agg(F.array_sort(F.collect_list("wire")).alias("w")).select(
+        F.concat(body(F.concat(F.lit("["), F.array_join("w", ","), F.lit("]")), F.lit("OK"), F.col("_month")), F.lit("}")).alias("value"),
+        F.col("_asked").alias("request_underlying"))
+    return single.union(many)
 
 
 # ---- DuckDB twins (same mapping, for oracle SQL) ----
@@ -173,14 +203,19 @@ FROM lineitem"""
 
 
 # what becomes of each line item in bar_texts_with_defects; 'none' holds no bar
-BAR_REASON_SQL = """CASE WHEN l_linenumber = 7 OR l_linenumber = 6 AND l_returnflag = 'R' THEN 'malformed'
+BAR_REASON_SQL = """CASE WHEN l_linenumber = 7 OR l_linenumber = 6 AND l_returnflag IN ('R', 'N') THEN 'malformed'
+  WHEN l_linenumber = 6 AND l_returnflag = 'A' THEN 'time_out_of_range'
   WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'none'
   WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN 'fractional_volume'
+  WHEN l_linenumber = 5 AND l_returnflag = 'A' THEN 'null_bar'
   WHEN l_linenumber = 3 AND l_returnflag = 'R' OR l_linenumber = 2 AND l_returnflag = 'A' THEN 'volume_out_of_range'
   WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN 'missing_field'
   WHEN l_linenumber = 2 AND l_returnflag = 'R' THEN 'error_response' ELSE 'good' END"""
 CONTRACT_REASON_SQL = """CASE o_orderkey % 10 WHEN 3 THEN 'bad_date' WHEN 7 THEN 'error_response'
-  WHEN 9 THEN 'malformed' ELSE 'good' END"""
+  WHEN 9 THEN 'malformed' WHEN 2 THEN 'malformed' ELSE 'good' END"""
+# the same in a flow that needs a contract's ticker and underlying
+LISTED_REASON_SQL = f"""CASE o_orderkey % 10 WHEN 1 THEN 'missing_ticker' WHEN 5 THEN 'missing_underlying'
+  ELSE {CONTRACT_REASON_SQL} END"""
 
 
 def ticks_sql(ticker: str = "event_type") -> str:
