@@ -1,14 +1,19 @@
 """The whole flow on a few rows: filters, caps, and runs that are repeated or come later."""
 
+import functools
 import json
 
 import pytest
 
-from tickweave.plans.populate import STAGES, TABLES, populate
+from tickweave.plans import populate as flow
+from tickweave.plans.populate import STAGES, TABLES
 from tickweave.session import shared_dir
 from tickweave.sinks import runs
 
 
+populate = functools.partial(flow.populate, id_buckets=4)
+
+
 def _bar(t, **kw):
     return {"c": 1.0, "h": 1.0, "l": 1.0, "n": 1, "o": 1.0, "t": t, "v": 1, "vw": 1.0} | kw
 
@@ -136,7 +141,7 @@ def test_dropped_contracts_are_reported(spark):
              ({"status": "ERROR"}, "MSFT")]
     spark.createDataFrame([(json.dumps(b), k) for b, k in lists], "value string, asked string").write.json(f"{root}/lists")
     paths = populate(spark, inputs[0], f"{root}/lists", inputs[2], shared_dir(spark, "t_populate_out"), run_id="a",
-                     as_of="2024-02-01", contract_request_key="asked", id_buckets=4)
+                     as_of="2024-02-01", contract_request_key="asked")
     dead = spark.read.parquet(paths.dead_letters_path).where("kind = 'contracts'").collect()
     assert sorted((r.underlying_ticker, r.ticker or "", r.reason) for r in dead) == [
         ("AAPL", "", "missing_ticker"), ("AAPL", "O:7", "malformed"), ("AAPL", "O:9", "missing_underlying"),

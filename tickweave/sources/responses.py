@@ -1,8 +1,9 @@
 """Landed API responses: encode tables into response pages (for landing) and decode landed
 JSON text back into rows (S5, S6), routing bad records to a dead-letter table (E1).
 
-A body is parsed in two steps: its envelope, in which each element of `results` stays the JSON text
-it is, and then each element on its own. So a record of a wrong type, one that is null or one whose
+A body is parsed with its whole schema. One in which anything has another type is parsed again, in two
+steps: its envelope, in which each element of `results` stays the JSON text it is, and then each
+element on its own. So a record of a wrong type, one that is null or one whose
 value does not fit is a dead letter by itself, and the others of its response are rows. Only a
 body that is no JSON object, whose `results` is no array, or whose status is not a good one is a dead
 letter as a whole.
@@ -12,10 +13,11 @@ Decoding is lenient on unknown keys and on envelope fields that no row needs, tr
 required; volume is read as double, must be within the bigint range and integral, and is stored as
 bigint; times must lie in the years 1 to 9999. No conversion of a decoded value can fail.
 
-Outcomes are one array per body, bound once by lambdas, and rows come out of a generator over it.
-Later predicates on decoded fields (a join's inferred `ticker IS NOT NULL`, a range on `t`) refer
+Rows come out of generators: they bind what is parsed and make a row of each element, and the rules
+are plain columns above them (generated code). Later predicates on decoded fields (a join's inferred `ticker IS NOT NULL`, a range on `t`) refer
 to generator output and stay above it. Otherwise the optimizer would push them below the projection
-and run `from_json` a second time inside a filter, possibly in the scan stage.
+and run `from_json` a second time inside a filter, possibly in the scan stage. `bar_outcomes` and
+`contract_outcomes` are the same rules as one array column per body, bound by lambdas.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def _envelope(schema: T.StructType) -> T.StructType:
                          for f in schema.fields])
 
 
-BAR_ENVELOPE, CONTRACT_ENVELOPE = _envelope(BAR_RESPONSE), _envelope(CONTRACT_RESPONSE)
+BAR_ENVELOPE = _envelope(BAR_RESPONSE)
 # ---- fixed values: envelope statuses of an answer that holds its data ----
 GOOD_STATUS = ("OK", "DELAYED")
 # ---- end of fixed values ----
@@ -123,23 +125,60 @@ def _unreadable(r: Column) -> Column:
             .when(~F.coalesce(F.upper(r["status"]).isin(*GOOD_STATUS), F.lit(True)), F.lit("error_response")))
 
 
-def _outcomes(text: Column, envelope: T.StructType, element: T.StructType, of) -> Column:
+def _outcomes(text: Column, response: T.StructType, element: T.StructType, of) -> Column:
     """A struct `of(r, e, record, origin, why)` for every element of the response `text`, or one for the
     response if it is a dead letter as a whole: the envelope, the element (null there), the text and the
     origin (MD5 of the body and place in it) that a dead letter keeps, and why it is one as far as its
     JSON says. Empty for a null text."""
-    def each(r: Column) -> Column:
+    envelope = _envelope(response)
+    whole = F.lit(None).cast(element)
+
+    def origin(i: Column) -> Column:
+        return F.concat_ws(":", F.md5(text), i)
+
+    def plain(r: Column) -> Column:
         why = _unreadable(r)
-        items = F.when(why.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(r["results"])
+        return F.transform(F.when(why.isNotNull(), F.array(whole)).otherwise(r["results"]), lambda e, i: of(
+            r, e, F.when(why.isNotNull(), text).otherwise(F.to_json(e)), origin(i),
+            F.coalesce(why, F.when(e.isNull(), F.lit("null_record")))))
 
-        def judged(item: Column, i: Column) -> Column:
-            return _bound(_parsed(item, element), lambda e: of(
-                r, e, F.when(why.isNotNull(), text).otherwise(item), F.concat_ws(":", r["body"], i),
-                F.coalesce(why, F.when(item.isNull(), F.lit("null_record")), F.when(e[CORRUPT].isNotNull(), F.lit("malformed")))))
-        return F.transform(items, judged)
-    names = [*envelope.fieldNames(), CORRUPT]
-    return _bound(_parsed(text, envelope), lambda r: _bound(
-        F.struct(*[r[n].alias(n) for n in names], F.md5(text).alias("body")), each))
+    def by_element(r: Column) -> Column:
+        why = _unreadable(r)
+        items = F.when(why.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(r["results"])
+        return F.transform(items, lambda item, i: _bound(_parsed(item, element), lambda e: of(
+            r, e, F.when(why.isNotNull(), text).otherwise(item), origin(i),
+            F.coalesce(why, F.when(item.isNull(), F.lit("null_record")), F.when(e[CORRUPT].isNotNull(), F.lit("malformed"))))))
+
+    return _bound(_parsed(text, response), lambda r: F.when(r[CORRUPT].isNull(), plain(r))
+                  .otherwise(_bound(_parsed(text, envelope), by_element)))
+
+
+def _outcome_rows(texts: DataFrame, col: str, request_key: str | None, response: T.StructType,
+                  element: T.StructType, of) -> DataFrame:
+    """What `_outcomes` gives, as rows; `of` returns the columns."""
+    asked = F.col(request_key) if request_key else F.lit(None).cast("string")
+    envelope = _envelope(response)
+    bodies = texts.select(asked.alias("_asked"), F.inline(F.array(F.struct(F.col(col).alias("_text"))))) \
+        .select("*", F.inline(F.array(F.struct(F.md5("_text").alias("_body"), _parsed(F.col("_text"), response).alias("_t")))))
+    odd = F.col(f"_t.{CORRUPT}").isNotNull()
+    bodies = bodies.select("*", F.inline(F.array(F.struct(_parsed(F.when(odd, F.col("_text")), envelope).alias("_o")))))
+    names = [n for n in ("status", "ticker") if n in envelope.fieldNames()]
+    r = F.struct(*[F.when(odd, F.col(f"_o.{n}")).otherwise(F.col(f"_t.{n}")).alias(n) for n in names],
+                 F.col(f"_o.{CORRUPT}").alias(CORRUPT))
+    why = _unreadable(r)
+    none, text = F.lit(None).cast(element).alias("e"), F.lit(None).cast("string").alias("item")
+    items = F.when(why.isNotNull(), F.array(F.struct(text, none))) \
+        .when(odd, F.transform("_o.results", lambda item: F.struct(item.alias("item"), none))) \
+        .otherwise(F.transform("_t.results", lambda e: F.struct(text, e.alias("e"))))
+    elements = bodies.select("_asked", "_body", r.alias("_r"), why.alias("_why"),
+                             F.when(why.isNotNull(), F.col("_text")).alias("_raw"), F.posexplode(items).alias("_i", "_x"))
+    parsed = elements.select("*", F.inline(F.array(F.struct(_parsed(F.col("_x.item"), element).alias("_p")))))
+    item, e = F.col("_x.item"), F.col("_x.e")
+    why = F.coalesce(F.col("_why"), F.when(item.isNull() & e.isNull(), F.lit("null_record")),
+                     F.when(F.col(f"_p.{CORRUPT}").isNotNull(), F.lit("malformed")))
+    both = F.struct(*[F.coalesce(e[n], F.col("_p")[n]).alias(n) for n in element.fieldNames()])
+    return parsed.select(*of(F.col("_r"), both, F.coalesce("_raw", item, F.to_json(e)), F.concat_ws(":", "_body", "_i"),
+                             why, F.col("_asked")))
 
 
 def _text(col) -> Column:
@@ -150,28 +189,34 @@ def _bad_date(text: Column) -> Column:
     return text.isNotNull() & F.try_to_date(text, "yyyy-MM-dd").isNull()
 
 
+def _contract_outcome(r: Column, c: Column, record: Column, origin: Column, why: Column, asked: Column) -> list[Column]:
+    reason = F.coalesce(F.when(why == "null_record", F.lit("null_contract")).otherwise(why),
+                        F.when(_bad_date(c["expiration_date"]), F.lit("bad_date")))
+    fields = {n: c[n] for n in CONTRACT.fieldNames()}
+    fields["expiration_date"] = F.try_to_date(c["expiration_date"], "yyyy-MM-dd")
+    fields["underlying_ticker"] = F.coalesce(c["underlying_ticker"], F.when(reason.isNotNull(), asked))
+    return [reason.alias("reason"), F.when(reason.isNotNull(), record).alias("record"), origin.alias("origin"),
+            *[v.alias(n) for n, v in fields.items()]]
+
+
 def contract_outcomes(col, request_key: str | None = None) -> Column:
-    """Response text -> array<struct<reason, record, origin, contract fields>>, an entry for each contract of the
-    list (`reason` null, or `null_contract`, `malformed` for a wrong type, `bad_date`) or one for an
+    """Response text -> array<struct<reason, record, origin, contract fields>>, an entry for each contract of
+    the list (`reason` null, or `null_contract`, `malformed` for a wrong type, `bad_date`) or one for an
     unreadable or error response (`malformed`, `error_response`). `origin` is the body's MD5 and the place
-    in it. Dead letters keep their JSON in `record` and are of the underlying they name, else of the one that the list was requested for (`request_key`)."""
-    def of(r: Column, c: Column, record: Column, origin: Column, why: Column) -> Column:
-        reason = F.coalesce(F.when(why == "null_record", F.lit("null_contract")).otherwise(why),
-                            F.when(_bad_date(c["expiration_date"]), F.lit("bad_date")))
-        asked = F.when(reason.isNotNull(), F.col(request_key)) if request_key else F.lit(None)
-        fields = {n: c[n] for n in CONTRACT.fieldNames()}
-        fields["expiration_date"] = F.try_to_date(c["expiration_date"], "yyyy-MM-dd")
-        fields["underlying_ticker"] = F.coalesce(c["underlying_ticker"], asked)
-        bad = reason.isNotNull()
-        return F.struct(reason.alias("reason"), F.when(bad, record).alias("record"), origin.alias("origin"),
-                        *[v.alias(n) for n, v in fields.items()])
-    return _outcomes(_text(col), CONTRACT_ENVELOPE, CONTRACT_WIRE, of)
-
-
-def classify_contract_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
-    """E1 for contract lists, one parse: the rows of `contract_outcomes`. A contract without a ticker or an
-    underlying is decoded (all its fields are optional); `filters.tag_missing` tells where a flow drops it."""
-    return texts.select(F.inline(contract_outcomes(col, request_key)))
+    in it. Dead letters keep their JSON in `record` and are of the underlying they name, else of the one
+    that the list was requested for (`request_key`)."""
+    asked = F.col(request_key) if request_key else F.lit(None).cast("string")
+    return _outcomes(_text(col), CONTRACT_RESPONSE, CONTRACT_WIRE, lambda *a: F.struct(*_contract_outcome(*a, asked)))
+
+
+def classify_contract_responses(texts: DataFrame, col: str = "value", request_key: str | None = None,
+                                keep_request: str | None = None) -> DataFrame:
+    """E1 for contract lists, one parse: what `contract_outcomes` gives, as rows, with the request's key
+    in a column `keep_request` if one is named. A contract without a ticker or an underlying is decoded
+    (all its fields are optional); `filters.tag_missing` tells where a flow drops it."""
+    def of(*a):
+        return [*_contract_outcome(*a), *([a[-1].alias(keep_request)] if keep_request else [])]
+    return _outcome_rows(texts, col, request_key, CONTRACT_RESPONSE, CONTRACT_WIRE, of)
 
 
 def decode_contract_responses(texts: DataFrame, col: str = "value") -> DataFrame:
@@ -196,6 +241,16 @@ def _bar_problem(b: Column) -> Column:
             .when(v != F.floor(v), F.lit("fractional_volume")))
 
 
+def _bar_outcome(r: Column, b: Column, record: Column, origin: Column, why: Column, asked: Column) -> list[Column]:
+    ticker = F.coalesce(r["ticker"], asked)
+    reason = F.coalesce(F.when(why == "null_record", F.lit("null_bar")).otherwise(why), _bar_problem(b),
+                        F.when(ticker.isNull(), F.lit("missing_ticker")))
+    bad = reason.isNotNull()
+    return [ticker.alias("ticker"), reason.alias("reason"), F.when(bad, record).alias("record"),
+            F.when(bad, origin).alias("origin"),
+            *[(b["v"].try_cast("bigint") if n == "v" else b[n]).alias(n) for n in BAR_WIRE.fieldNames()]]
+
+
 def bar_outcomes(col, request_key: str | None = None) -> Column:
     """Response text -> array<struct<ticker, reason, record, origin, c, h, l, n, o, t, v, vw>>, an entry for each
     bar or one for an unreadable or error response. `reason` is null for a good bar; dead letters keep
@@ -207,19 +262,13 @@ def bar_outcomes(col, request_key: str | None = None) -> Column:
     request key next to it: pass that column as `request_key` and it is used whenever the envelope
     ticker is missing. A bar without either is a dead letter too.
     """
-    def of(r: Column, b: Column, record: Column, origin: Column, why: Column) -> Column:
-        ticker = F.coalesce(r["ticker"], F.col(request_key)) if request_key else r["ticker"]
-        reason = F.coalesce(F.when(why == "null_record", F.lit("null_bar")).otherwise(why), _bar_problem(b),
-                            F.when(ticker.isNull(), F.lit("missing_ticker")))
-        bad = reason.isNotNull()
-        return F.struct(ticker.alias("ticker"), reason.alias("reason"), F.when(bad, record).alias("record"),
-                        F.when(bad, origin).alias("origin"), *[(b["v"].try_cast("bigint") if n == "v" else b[n]).alias(n) for n in BAR_WIRE.fieldNames()])
-    return _outcomes(_text(col), BAR_ENVELOPE, BAR_WIRE, of)
+    asked = F.col(request_key) if request_key else F.lit(None).cast("string")
+    return _outcomes(_text(col), BAR_RESPONSE, BAR_WIRE, lambda *a: F.struct(*_bar_outcome(*a, asked)))
 
 
 def classify_bar_responses(texts: DataFrame, col: str = "value", request_key: str | None = None) -> DataFrame:
-    """E1 in one pass: the entries of `bar_outcomes` as rows."""
-    return texts.select(F.inline(bar_outcomes(col, request_key)))
+    """E1 in one pass: what `bar_outcomes` gives, as rows."""
+    return _outcome_rows(texts, col, request_key, BAR_RESPONSE, BAR_WIRE, _bar_outcome)
 
 
 def _good(outcomes: Column) -> Column:
