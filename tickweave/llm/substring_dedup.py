@@ -461,14 +461,14 @@ def _units(texts: DataFrame) -> DataFrame:
     shared = runs.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
     runs = land(runs.join(shared.select("anchor"), "anchor", "left_semi"), "shared-runs")
     first = F.min(F.struct("doc", "rid", "start")).alias("first")
-    classes = runs.groupBy("anchor", "span").agg(first, F.max("doc").alias("hi"))
-    several = classes.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("several"))
+    # aggregates are landed before they are joined: a join whose exchange is its own is split where a key is hot
+    classes = land(runs.groupBy("anchor", "span").agg(first, F.max("doc").alias("hi")), "classes")
+    several = land(classes.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("several")), "anchors")
     classed = land(runs.join(classes.join(several, "anchor"), ["anchor", "span"])
                    .select("rid", "doc", "start", "windows", "first", "hi", "several"), "classed-runs")
     apart = classed.where((F.col("doc") == F.col("first.doc")) & F.col("several"))
     windows = land(_with_text(texts, apart, "runs", ["start", "windows"]).select("rid", "doc", "text", "runs")
                    .mapInArrow(_window_hashes, "rid bigint, doc bigint, start bigint, w1 bigint, w2 bigint"), "windows")
-    # landed, so that the join has an exchange of its own, which Spark splits where a window is hot
     belongs = land(windows.groupBy("w1", "w2").agg(first, F.max("doc").alias("hi")).where("hi > first.doc"), "first-windows")
     single = windows.join(belongs, ["w1", "w2"]).withColumn("windows", F.lit(1).cast("long"))
     columns = ["rid", "doc", "start", "windows", "first"]
