@@ -109,8 +109,27 @@ def test_named_parts_still_go():
     assert texts('<main><p>a</main><div class="sidebar menu-open">b</div>') == ["a"]
     assert texts('<p>a<div class="no-sidebar">b</div><div class="has-ads sidebar">c</div>') == ["a", "b"]
     assert texts('<main><p>a</main><aside><article>b</article></aside><div hidden><main>c</main></div>') == ["a"]
-    # an article with one name is content, but takes no other's place
-    assert texts('<main><p>a<article class="comment">b</article></main>') == ["a", "b"]
+    # beside an article or main with content, a named one adds nothing; without, it is content itself
+    assert texts('<main><p>a<article class="comment">b</article></main>') == ["a"]
+    assert texts('<main><h1></h1><article class="comment">b</article></main>') == ["b"]
+
+
+def test_comments_teasers_and_sidebars_beside_an_article():
+    texts = lambda page: [t for _, t in html_extract.parse(page)[0]]
+    story = "<main><h1>T</h1><article><p>Main story.</article></main>"
+    for other in ('<section id="comments"><article>Nice post!</article></section>', '<div class="sidebar"><article>x</article></div>',
+                  '<div class="related"><article class="card">Teaser</article></div>', '<article class="comment">Hm</article>'):
+        assert texts(story + other) == texts(other + story) == ["Main story."]
+        assert texts(f"<main><p>a{other}</main>") == ["a"]
+
+
+def test_sections_of_an_article_stay_whatever_one_word_of_their_name():
+    texts = lambda page: [t for _, t in html_extract.parse(page)[0]]
+    for name in ("share-price", "related-work", "widget_theory", "menu-engineering", "social-history", "login-protocol"):
+        assert texts(f'<article><p>a<section id="{name}"><p>b</section></article>') == ["a", "b"]
+        assert texts(f'<main><p>a<div class="x {name}"><p>b</div></main>') == ["a", "b"]
+    for name in ("related-posts", "share-links", "comment-list", "newsletter-signup", "sidebar", "ad-box", "social share"):
+        assert texts(f'<article><p>a<div class="{name}"><p>b</div></article>') == ["a"]
 
 
 def test_template_text_goes_on_hosts_with_enough_pages(spark):

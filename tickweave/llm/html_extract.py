@@ -46,6 +46,11 @@ NOT_CONTENT_NAMES = set(
     "subscribe subscription toolbar topbar widget widgets".split())
 # names that state what a page has or lacks, by their first or last word: no-sidebar, comments-open
 STATES_FIRST, STATES_LAST = set("has no with without".split()), set("open closed enabled disabled".split())
+# words that say what a part is made of; beside one of these, and not beside a subject, a name above
+# names a part of the page also within an article: share-links, but not share-price
+PART_WORDS = set("area areas bar block blocks body box button buttons col column container content entry form group "
+                 "head header heading icon icons inner item items link links list listing module outer panel post posts "
+                 "article articles row section stories text thread title wrap wrapper".split())
 NOT_CONTENT_WHOLE = set("header site-header page-header site_header page_header top-header bottom".split())
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|canvas|object|audio|video|xmp|noembed|noframes"
 
@@ -70,19 +75,21 @@ def _signed(path: str | bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _named(value: str) -> bool:
-    """Whether a class or id value has a name that is not content."""
+def _named(value: str, inside: bool) -> bool:
+    """Whether a class or id value has a name that is not content: by any of its words, or, `inside` an
+    article or main, by a name whose words all name parts of a page."""
     if NOT_CONTENT_NAMES.isdisjoint(_NAME.split(value)):
         return not NOT_CONTENT_WHOLE.isdisjoint(value.split())
     for name in value.split():
         words = [w for w in _NAME.split(name) if w]
         states = len(words) > 1 and (words[0] in STATES_FIRST or words[-1] in STATES_LAST)
-        if name in NOT_CONTENT_WHOLE or not states and not NOT_CONTENT_NAMES.isdisjoint(words):
+        part = not inside or all(w in NOT_CONTENT_NAMES or w in PART_WORDS for w in words)
+        if name in NOT_CONTENT_WHOLE or part and not states and not NOT_CONTENT_NAMES.isdisjoint(words):
             return True
     return False
 
 
-def _roles(tag: str, attrs: str) -> tuple[str, int]:
+def _roles(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
     """The element's name in paths, and whether it is not content: 2 by its role, 1 by its class or
     id alone, else 0."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
@@ -95,7 +102,7 @@ def _roles(tag: str, attrs: str) -> tuple[str, int]:
         elif kind == "hidden" or kind == "aria-hidden":
             out |= kind == "hidden" or value == "true"
         else:
-            named |= tag not in ("body", "html") and _named(value)
+            named |= tag not in ("body", "html") and _named(value, inside)
             if kind == "class":
                 name = f"{tag}.{value}"
     return name, 2 if out else int(named)
@@ -106,9 +113,10 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
     are elements. The content element is every <article> that is no part of something else, else
     every <main>, else the page.
 
-    A name alone drops no <article> or <main>: one that is named, or held by a named element, but not
-    both, is content beside the rest, unless it is a part of an <article> (or a <main> of a <main>).
-    If nothing else is content, what names alone drop is."""
+    Where an <article> or <main> without a name has content, one with a name (reader comments, teasers,
+    sidebar items) adds nothing. Where none has, a name alone drops no <article> or <main>: one that is
+    named, or held by a named element, but not both, is content beside the rest, unless it is a part of
+    an <article> (or a <main> of a <main>). If nothing else is content, what names alone drop is."""
     # tag, path, not content (1 by name, 2 by role), inside (1 main, 2 article, 10 more where named)
     stack = [("", "", 0, 0)]
     blocks: list[tuple[int, str, int]] = []
@@ -166,8 +174,8 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
                 break
             if stack[k][0] in _KEEPS_OPEN:
                 break
-        name, out = _roles(tag, m["attrs"] or m["attrs2"] or "")
         _, path, outside, inside = stack[-1]
+        name, out = _roles(tag, m["attrs"] or m["attrs2"] or "", inside % 10 > 0)
         path = f"{path}/{name}"
         token = _signed(path)
         counts[token] = counts.get(token, 0) + 1
@@ -186,7 +194,9 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
             counts[token] = counts.get(token, 0) + 1
         blocks = spare
     best = {kind: max((b[2] for b in blocks if b[2] // 10 == kind), default=0) for kind in (0, 1)}
-    return [(t, text) for t, text, inside in blocks if inside == best[inside // 10]], counts, elements
+    kinds = (0,) if best[0] else (0, 1)
+    return [(t, text) for t, text, inside in blocks
+            if inside // 10 in kinds and inside == best[inside // 10]], counts, elements
 
 
 def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame:
