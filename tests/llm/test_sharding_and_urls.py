@@ -103,3 +103,26 @@ def test_url_query_equals_its_sql(spark):
 def test_url_plan_has_no_python(spark):
     plan = queries.QUERIES["op3_url_filters"](spark, SF_SMOKE)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_rules_without_a_path_fit_whole_labels_only(spark):
+    rules = [("example.org", "", "block"), ("com", "", "block"), ("b.com", None, "allow"), ("net", "/x", "block")]
+    urls = {"http://example2.org/x": None, "http://example.org": "example.org", "http://a.example.org/x": "example.org",
+            "http://zoo.com/p": "com", "http://zoo.com": "com", "http://a.b.com/": "b.com", "http://bcom/": None,
+            "http://c.net/xy": "net/x", "http://c.net": None, "http://com/": "com", "http://com.evil/": None}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = url_filters.judge(pages, spark.createDataFrame(rules, url_filters.RULE_SCHEMA), partitions=3).collect()
+    assert {r.url: r.rule for r in got} == urls
+
+
+def test_hosts_of_one_key_are_split_among_the_runs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    landed = {}
+    land = url_filters.land
+    monkeypatch.setattr(url_filters, "land", lambda df, label: landed.setdefault(label, land(df, label)))
+    pages = spark.range(40_000).select(F.col("id").alias("page_id"), F.format_string("http://h%d.com/", "id").alias("url"))
+    rules = spark.createDataFrame([("com", "/", "block"), ("h7.com", "/", "allow")], url_filters.RULE_SCHEMA)
+    got = url_filters.judge(pages, rules, partitions=16).groupBy("rule", "verdict").count().collect()
+    assert {(r["rule"], r["verdict"]): r["count"] for r in got} == {("com/", "block"): 39_999, ("h7.com/", "allow"): 1}
+    sizes = [r["count"] for r in landed["url-runs"].groupBy("run").count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / 16

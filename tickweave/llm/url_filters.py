@@ -1,11 +1,13 @@
 """URL rules by a sort-merge range join.
 
 A rule (host, path prefix) fits its host and all subdomains. With the host's labels reversed,
-`org.example` + path is a canonical key, and a rule covers the interval of keys that start with
-its own. A url probes once for each suffix of its host. Probes and the two ends of every
+`org.example` + `/` + path is a canonical key (no host holds a `/`, so that the key of a rule without
+a path is that of its host alone), and a rule covers the interval of keys that start with its own.
+A url probes once for each suffix of its host. Probes and the two ends of every
 interval are sorted together by ranges of the key; the sweep over a sorted run carries the
-stack of rules that are open there, and a probe reads the top of the stack. Runs that begin
-inside an interval get the stack left open by the runs before.
+stack of rules that are open there, and a probe reads the top of the stack. Ranges go by key and then by host, since all hosts of
+one domain share a key where their paths are the same, as home pages do. Runs that begin inside
+an interval get the stack left open by the runs before.
 
 Only DataFrame functions are used. Urls are reduced to distinct (host, path) before they are
 exploded, so a url that repeats in a third of all rows is one probe."""
@@ -40,7 +42,7 @@ def _reversed_host(labels):
 
 
 def _key(reversed_host, path):
-    return F.concat(reversed_host, path).cast("binary")
+    return F.concat(reversed_host, F.lit("/"), path).cast("binary")
 
 
 def _rule_events(rules: DataFrame) -> DataFrame:
@@ -92,7 +94,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
                 F.lit(None).cast(STACK).alias("stack"), "host", "path")
     events = _rule_events(rules).withColumns(
         {"host": F.lit(None).cast("string"), "path": F.lit(None).cast("string")})
-    dealt = (probes.unionByName(events).repartitionByRange(n, "key", "kind")
+    dealt = (probes.unionByName(events).repartitionByRange(n, "key", "kind", "host")
              .withColumn("run", F.spark_partition_id()))
     runs = land(dealt, "url-runs")  # both readings below must see the same ranges
 
