@@ -72,3 +72,11 @@ def test_nothing_stays_cached(spark):
     spark.catalog.clearCache()
     ordinal_within(_skewed(spark, 300), ["k"], ["x", "id"], "o").count()
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_bars_in_time_order_per_ticker(spark):
+    from tickweave.operators.ranking import sort_bars
+    rows = [("B", 2, 1), ("A", 3, 1), ("A", 1, 2), ("A", 1, 1), ("B", 1, 1)]
+    df = spark.createDataFrame(rows, "ticker string, t bigint, n int").repartition(4)
+    assert [tuple(r) for r in sort_bars(df, tiebreak=["n"]).collect()] == sorted(rows)
+    assert [(r.ticker, r.t) for r in sort_bars(df, descending=True).collect()] == [("A", 3), ("A", 1), ("A", 1), ("B", 2), ("B", 1)]

@@ -77,9 +77,10 @@ def bar_wire(v: Column | None = None) -> Column:
 def bar_response_pages(bars: DataFrame, wire_v: Column | None = None,
                        tiebreak: list[str] = ("n", "c", "o", "h", "l", "v", "vw"), period: str = "year") -> DataFrame:
     """Bars -> one aggregates response per ticker and calendar `period` (UTC): "year" for day bars,
-    "month" for finer ones. As struct columns."""
+    "month" for hour bars, "day" for minute bars. As struct columns."""
     day = F.to_date(utc_ntz_from_millis("t"))
-    page = {"year": F.coalesce(F.year(day), F.lit(0)), "month": month_of(day)}[period]
+    page = {"year": F.coalesce(F.year(day), F.lit(0)), "month": month_of(day),
+            "day": F.coalesce(month_of(day) * 100 + F.day(day), F.lit(0))}[period]
     pages = pack_pages(bars, "ticker", page, ["t", *tiebreak], bar_wire(wire_v))
     size = F.size("results")
     return pages.select(
