@@ -40,6 +40,39 @@ def test_growth_moves_rows_into_the_new_shard_only(spark):
     assert abs(share - 1 / 9) < 0.02
 
 
+def descended(key, nodes):
+    """The weighted descent in plain Python: the least of -ln(u) / weight at every level."""
+    import math
+
+    import xxhash
+
+    def weight(node):
+        return node[2] if isinstance(node[1], int) else sum(weight(n) for n in node[1])
+
+    def draw(node):
+        bits = xxhash.xxh64_intdigest(node[0].encode(), xxhash.xxh64_intdigest(key.encode(), 42)) >> 12
+        return -math.log((bits + 1) / 2 ** 52) / weight(node)
+
+    while True:
+        node = min((n for n in nodes if weight(n) > 0), key=draw)
+        if isinstance(node[1], int):
+            return node[1]
+        nodes = node[1]
+
+
+def test_shards_against_a_plain_descent(spark):
+    uneven = sharding.Tree((("a", (("r", (("s0", 0, 1.0), ("s1", 1, 5.0))), ("q", (("s2", 2, 0.0), ("s3", 3, 2.0))))),
+                            ("b", (("r", (("s4", 4, 0.5),)),))))
+    keys = [str(i) for i in range(3000)] + ["é", "", "long " * 50]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for tree in (sharding.Tree.of(8), sharding.Tree.of(9), uneven):
+        got = {r.k: r.s for r in df.select("k", sharding.shard_of(F.col("k"), tree).alias("s")).collect()}
+        assert got == {k: descended(k, tree.regions) for k in keys}
+    rows = queries.QUERIES["op2_hash_tree_sharding"](spark, SF_SMOKE).collect()
+    small, large = sharding.Tree.of(8).regions, sharding.Tree.of(9).regions
+    assert all((r.shard, r.grown_shard) == (descended(str(r.doc_id), small), descended(str(r.doc_id), large)) for r in rows)
+
+
 def test_a_changed_weight_moves_rows_between_its_path_and_the_rest(spark):
     def tree(weight):
         (name, racks), *rest = sharding.Tree.of(8).regions
