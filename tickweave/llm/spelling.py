@@ -220,7 +220,8 @@ def near_words(counted: DataFrame) -> DataFrame:
     other = chunks.select(F.col("block").alias("partner"), F.col("chunk").alias("other"),
                           F.col("words").alias("others"), F.col("ns").alias("other_ns"))
     names = chunks.select("block", "chunk")
-    meet = names.join(partner, "block").join(names.toDF("partner", "other"), "partner") \
+    # Spark takes `partner` to be as small as `sizes`, of which it has many rows for each: no broadcast
+    meet = names.join(partner.hint("merge"), "block").join(names.toDF("partner", "other"), "partner") \
         .where((F.col("block") != F.col("partner")) | (F.col("chunk") <= F.col("other"))) \
         .withColumn("same", (F.col("block") == F.col("partner")) & (F.col("chunk") == F.col("other")))
     pairs = meet.join(chunks, ["block", "chunk"]).join(other, ["partner", "other"]) \
