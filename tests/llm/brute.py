@@ -70,3 +70,33 @@ def repeats_removed(docs: list[tuple[int, bytes]], length: int = 50) -> list[tup
         spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(t) else 0
         out.append((i, bytes(b for b, g in zip(t, gone) if not g), int(gone.sum()), spans))
     return out
+
+
+def without_template(pages: list[tuple[str, tuple]], support: float = 0.5, min_pages: int = 3) -> list[str]:
+    """The main text of each page (host, what `html_extract.parse` finds), by whole occurrence vectors."""
+    out = [""] * len(pages)
+    for host in {h for h, _ in pages}:
+        mine = [i for i, (h, _) in enumerate(pages) if h == host]
+        votes: dict[str, tuple] = {}
+        for i in mine:
+            blocks, counts, sections, _ = pages[i][1]
+            shown = {t for t, _ in blocks}
+            seen = {t: n for t, n in counts.items() if t not in sections or t in shown}
+            votes.setdefault("\0".join(x for _, x in blocks), (seen, sections))
+        voters = list(votes.values())
+        section = {t: s for seen, sections in voters for t, s in sections.items() if t in seen}
+        classes: dict[tuple, set] = {}
+        for t in {t for seen, _ in voters for t in seen}:
+            classes.setdefault(tuple(seen.get(t, 0) for seen, _ in voters), set()).add(t)
+        template = set()
+        for vector, tokens in classes.items():
+            on = sum(n > 0 for n in vector)
+            if on >= min_pages and on >= support * len(voters) and any(t not in section for t in tokens):
+                template |= {t for t in tokens if t in section}
+        open_sections = {s for t, s in section.items() if t not in template}
+        for i in mine:
+            blocks, _, _, inside = pages[i][1]
+            whole = "\n\n".join(x for _, x in blocks)
+            rest = "\n\n".join(x for t, x in blocks if t not in template or section[t] in open_sections)
+            out[i] = whole if inside and 2 * len(rest) <= len(whole) else rest
+    return out

@@ -4,10 +4,14 @@ Pages of one host share a template. A page is cut into tokens: its elements (eac
 tags and classes) and its text blocks (each by path and text). Tokens of a host that occur
 equally often on each of its pages have one occurrence vector and form an equivalence class. A
 class is valid if it is frequent (on at least `support` of the host's pages and on at least
-`min_pages` of them) and holds an element, so that its texts are nested in template markup; valid classes together are the
-template, and their texts (share lines, notices, fixed headings) are boilerplate. The remaining
-slots inside the page's content element, without elements whose role is not content, are the
-main text.
+`min_pages` of them) and holds an element, so that its texts are nested in template markup. Valid
+classes nest: the section (div, article, body and the like) that holds a text of a valid class is
+fixed if all its texts on the host are of valid classes, and has a slot if any is not. The texts of
+fixed sections (share lines, notices, fixed headings) are boilerplate. A text that recurs in a section
+with a slot stays, as does a list, table or quotation that recurs in one: what versions of an article
+share is part of it. The slots inside the page's content element, without elements whose role is not
+content, are the main text. A template frames an <article> or <main> and never makes up most of it: on a
+page where it would take half of such an element's text or more, nothing goes.
 
 Pages are counted as distinct pages of a host: those with the same content texts are copies, of
 which one votes, so that a repeated article is no template. The template goes from all rows.
@@ -65,9 +69,11 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 _KEEPS_OPEN = set("article aside blockquote body button div dl footer form header html main nav ol section "
                   "table tbody thead tfoot ul".split())
 
-OWN = ["host", "page_no", "copy", "variant", "blocks", "tokens"]  # with an underscore beside the pages' own columns
-PARSED = ("_host string, _page_no bigint, _copy bigint, _variant bigint, _blocks array<struct<token:bigint,text:string>>, "
-          "_tokens array<struct<token:bigint,n:int,element:boolean>>")
+SECTION = set("article body div html main section".split())  # elements that hold a template's texts
+
+OWN = ["host", "page_no", "copy", "variant", "inside", "blocks", "tokens"]  # with an underscore beside the pages' own columns
+PARSED = ("_host string, _page_no bigint, _copy bigint, _variant bigint, _inside boolean, "
+          "_blocks array<struct<token:bigint,text:string>>, _tokens array<struct<token:bigint,n:int,section:bigint>>")
 
 
 def _signed(path: str | bytes) -> int:
@@ -108,9 +114,9 @@ def _roles(tag: str, attrs: str, inside: bool) -> tuple[str, int]:
     return name, 2 if out else int(named)
 
 
-def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
-    """Content blocks (token, text) in page order, all tokens with their counts, and which of them
-    are elements. The content element is every <article> that is no part of something else, else
+def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], dict[int, int], bool]:
+    """Content blocks (token, text) in page order, all tokens with their counts, the section that holds
+    each token that is a text, and whether the blocks are of an <article> or <main>. The content element is every <article> that is no part of something else, else
     every <main>, else the page.
 
     Where an <article> or <main> without a name has content, one with a name (reader comments, teasers,
@@ -121,25 +127,30 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
     stack = [("", "", 0, 0)]
     blocks: list[tuple[int, str, int]] = []
     counts: dict[int, int] = {}
-    elements: set[int] = set()
+    sections: dict[int, int] = {}
     parts: list[str] = []
     spare: list[tuple[int, str, int]] = []  # what names alone drop
     spare_parts: list[str] = []
 
+    def text_token(text):
+        token = _signed(f"{stack[-1][1]}\0{text}")
+        if token not in sections:
+            sections[token] = _signed(next((s[1] for s in reversed(stack) if s[0] in SECTION), ""))
+        return token
+
     def flush():
         if spare_parts:
             text = " ".join(html.unescape("".join(spare_parts)).split())
             spare_parts.clear()
             if text:
-                spare.append((_signed(f"{stack[-1][1]}\0{text}"), text, 0))
+                spare.append((text_token(text), text, 0))
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                _, path, _, inside = stack[-1]
-                token = _signed(f"{path}\0{text}")
+                token = text_token(text)
                 counts[token] = counts.get(token, 0) + 1
-                blocks.append((token, text, inside))
+                blocks.append((token, text, stack[-1][3]))
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -179,7 +190,6 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
         path = f"{path}/{name}"
         token = _signed(path)
         counts[token] = counts.get(token, 0) + 1
-        elements.add(token)
         level = 2 if tag == "article" else 1 if tag == "main" else 0
         if level > inside % 10:
             if outside + out == 1:  # by one name alone
@@ -196,7 +206,7 @@ def parse(page: str) -> tuple[list[tuple[int, str]], dict[int, int], set[int]]:
     best = {kind: max((b[2] for b in blocks if b[2] // 10 == kind), default=0) for kind in (0, 1)}
     kinds = (0,) if best[0] else (0, 1)
     return [(t, text) for t, text, inside in blocks
-            if inside // 10 in kinds and inside == best[inside // 10]], counts, elements
+            if inside // 10 in kinds and inside == best[inside // 10]], counts, sections, max(best[k] for k in kinds) % 10 > 0
 
 
 def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame:
@@ -205,24 +215,26 @@ def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame
         "abcdefghijklmnopqrstuvwxyz"), F.lit("")).alias("_host"), F.col(page).cast("string").alias("_html"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(keep)])
     block_type = pa.list_(pa.struct([("token", pa.int64()), ("text", pa.string())]))
-    token_type = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int32()), ("element", pa.bool_())]))
+    token_type = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int32()), ("section", pa.int64())]))
 
     def work(batches):
         row = TaskContext.get().partitionId() << 33
         for b in slices(batches, 500):
-            blocks, tokens, copies, variants = [], [], [], []
+            blocks, tokens, copies, variants, insides = [], [], [], [], []
             for text in b["_html"].to_pylist():
-                found, counts, elements = parse(text or "")
+                found, counts, sections, inside = parse(text or "")
+                insides.append(inside)
                 blocks.append([{"token": t, "text": x} for t, x in found])
                 mine = {t for t, _ in found}
-                tokens.append([{"token": t, "n": n, "element": t in elements}
-                               for t, n in counts.items() if t in elements or t in mine])
+                tokens.append([{"token": t, "n": n, "section": sections.get(t)}
+                               for t, n in counts.items() if t not in sections or t in mine])
                 # equal for equal content texts, and for equal tokens
                 copies.append(_signed("\0".join([x for _, x in found])))
                 variants.append(_signed(array("q", [v for t in tokens[-1] for v in (t["token"], t["n"])]).tobytes()))
             yield pa.record_batch([*b.columns[:len(keep)], b["_host"],
                                     pa.array(range(row, row + b.num_rows), pa.int64()),
                                     pa.array(copies, pa.int64()), pa.array(variants, pa.int64()),
+                                    pa.array(insides, pa.bool_()),
                                     pa.array(blocks, block_type), pa.array(tokens, token_type)],
                                    [*keep, *("_" + c for c in OWN)])
             row += b.num_rows
@@ -231,8 +243,8 @@ def _parsed(pages: DataFrame, keep: list[str], url: str, page: str) -> DataFrame
 
 
 def templates(parsed: DataFrame, support: float, min_pages: int) -> DataFrame:
-    """Per host the text tokens of its valid classes: host, template (array of tokens). Tokens on
-    fewer than `min_pages` distinct pages have too short vectors and are no template."""
+    """Per host the texts of its fixed sections: host, template (array of tokens). Tokens on fewer
+    than `min_pages` distinct pages have too short vectors and are no template."""
     page = F.xxhash64("page_no", "n")
     # one page of each group of copies votes, whatever the order of rows. Landed, so that the join
     # takes it by its known size; the numbers are unique, so no host and no page is hot there
@@ -240,19 +252,24 @@ def templates(parsed: DataFrame, support: float, min_pages: int) -> DataFrame:
                   .select("host", F.col("v.page_no").alias("page_no")), "voters")
     seen = (parsed.join(voters.select("page_no"), "page_no", "left_semi")
             .select("host", "page_no", F.explode("tokens").alias("t"))
-            .select("host", "page_no", "t.token", "t.n", "t.element"))
+            .select("host", "page_no", "t.token", "t.n", "t.section"))
     vectors = seen.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("occurrences"),
-        F.bit_xor(page).alias("signature"), F.bool_or("element").alias("element"))
+        F.bit_xor(page).alias("signature"), F.max("section").alias("section"))
     # landed, so that the join takes it by its known size and does not deal the tokens by host
     sizes = land(voters.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "host-sizes")
-    frequent = vectors.join(sizes, "host").where(
-        (F.col("pages") >= min_pages) & (F.col("pages") >= support * F.col("of")))
-    classes = frequent.groupBy("host", "pages", "occurrences", "signature").agg(
-        F.collect_list(F.when(~F.col("element"), F.col("token"))).alias("texts"),
-        F.bool_or("element").alias("valid"))
-    return (classes.where(F.col("valid") & (F.size("texts") > 0))
-            .groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("template")))
+    frequent = (F.col("pages") >= min_pages) & (F.col("pages") >= support * F.col("of"))
+    vectors = land(vectors.join(sizes, "host").select(
+        "host", "token", "section", F.when(frequent, F.struct("pages", "occurrences", "signature")).alias("vector")),
+        "vectors")
+    classes = vectors.where("vector is not null").groupBy("host", "vector").agg(
+        F.collect_list(F.when(F.col("section").isNotNull(), F.struct("token", "section"))).alias("texts"),
+        F.bool_or(F.col("section").isNull()).alias("valid"))
+    texts = land(classes.select("host", "valid", F.inline("texts")), "class-texts")
+    slots = (vectors.where("vector is null and section is not null").select("host", "section")
+             .union(texts.where("not valid").select("host", "section")).distinct())
+    return (texts.where("valid").join(slots, ["host", "section"], "left_anti")
+            .groupBy("host").agg(F.collect_list("token").alias("template")))
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None, url: str = "url", page: str = "html",
@@ -274,6 +291,11 @@ def extract(pages: DataFrame, keep: list[str] | None = None, url: str = "url", p
     joined = parsed.drop("_tokens").join(template, F.col("_host") == F.col("_of"), "left")
     slots = F.when(F.col("template").isNull(), F.col("_blocks")).otherwise(
         F.filter("_blocks", lambda b: ~F.array_contains(F.col("template"), b["token"])))
-    text = F.array_join(F.transform(slots, lambda b: b["text"]), "\n\n")
-    return (joined.withColumn("text", F.coalesce(text, F.lit("")))
+
+    def text(blocks):
+        return F.coalesce(F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n"), F.lit(""))
+
+    whole, rest = text(F.col("_blocks")), text(slots)
+    mostly = F.col("_inside") & (2 * F.length(rest) <= F.length(whole))
+    return (joined.withColumn("text", F.when(mostly, whole).otherwise(rest))
             .withColumn("n_chars", F.length("text").cast("long")).select(*keep, "text", "n_chars"))
