@@ -168,6 +168,33 @@ def test_e8_recall_and_links_against_all_pairs(spark):
     assert sum(got[i].component_id == want[i] for i in want) >= 0.98 * len(want)
 
 
+def test_e8_dense_group_without_pairs(spark, monkeypatch):
+    """1,500 vectors at mutual cosines around 0.93, too far apart for balls."""
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    x = np.concatenate([centre + 0.275 * rng.standard_normal((1500, 64)), rng.standard_normal((300, 64))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = unit @ unit.T >= 0.9
+    true = s.sum(1) - 1
+    assert true[:1500].mean() > 1000
+    landed = {}
+    plain = e8_lattice.land
+
+    def counted(df, label, **options):
+        out = plain(df, label, **options)
+        landed[label] = max(landed.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(e8_lattice, "land", counted)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in e8_lattice.near_duplicates(df).collect()}
+    assert all(got[i].n_links <= n for i, n in enumerate(true))
+    assert sum(r.n_links for r in got.values()) >= 0.99 * true.sum()
+    assert max(landed.values()) < 20 * len(x)
+    want = brute.components(list(range(len(x))), lambda i, j: s[i, j])
+    assert all(got[i].component_id == c for i, c in want.items())
+
+
 def test_e8_awkward_rows(spark):
     one = [1.0, 2.0, 0.0, 0.0]
     nan, inf = float("nan"), float("inf")

@@ -8,9 +8,11 @@ entered in its cell of every table and asks for that cell and the nearest neighb
 Dense groups are not compared pair by pair. Equal vectors are one entry. A vector within half
 the linking angle of a cell's first vector joins that centre's ball: two members of a ball are
 linked whatever their positions (angles add up at most), so the ball's size gives those links.
-Only pairs of different balls whose centres are near enough to allow a link are compared, in
-blocks of at most BLOCK members by one matrix product each; a block pair yields counts, never
-pairs. Links counted this way are true; those between vectors that share no cell and no ball are
+Small balls that ask for a crowded cell, as those of a looser dense group do, go into packs of about
+BLOCK members. Candidates are pairs of packs (a ball that asks for none is one by itself) that meet in a
+cell, so a dense group gives one for each pair of blocks. They are compared in blocks by one matrix
+product each; a block pair yields a count and the least ball reached for each member, never pairs, and
+a pair of vectors is in one block pair only. Links counted this way are true; those between vectors that share no cell and no ball are
 missed, and the tests measure how many."""
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import land, ship_package
 from .components import connected_components
 
-BLOCK = 256
+BLOCK = 512
+CROWD = 4      # small balls in a cell, from which on they go into packs
+SMALL = 64     # most members of a ball that goes into a pack with others
 SCALE = 1.75   # edge of the lattice, in units of a coordinate's spread
 GROUPS = 2     # lattices in a cell: more for more vectors
 TABLES = 12
@@ -167,34 +171,71 @@ def _balls(vectors: DataFrame, angle: float) -> DataFrame:
         .select("vid", F.coalesce("ball", "vid").alias("ball"))
 
 
+def _packs(sizes: DataFrame, vectors: DataFrame) -> DataFrame:
+    """ball, pack: small balls whose centres crowd cells are dealt to packs of about BLOCK members by the
+    most crowded cell that their centre asks for; any other ball is its own pack. A pack is named by its least ball."""
+    centres = land(vectors.join(sizes.where(F.col("members") <= SMALL).select("ball", "members"),
+                                F.col("vid") == F.col("ball")).select("ball", "members", "own", "asks"), "centres")
+    crowded = land(centres.select(F.explode("own").alias("cell")).groupBy("cell")
+                   .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD), "crowded-cells")
+    dealt = land(centres.select("ball", "members", F.explode("asks").alias("cell")).join(crowded, "cell")
+                 .groupBy("ball", "members").agg(F.max(F.struct("n", "cell")).alias("c"))
+                 .select("ball", "members", "c.cell"), "crowds")
+    chunks = dealt.groupBy("cell").agg(F.ceil(F.sum("members") / BLOCK).alias("chunks"))
+    dealt = land(dealt.join(chunks, "cell").select(
+        "ball", "cell", F.pmod(F.xxhash64("ball"), "chunks").alias("chunk")), "dealt")
+    named = dealt.groupBy("cell", "chunk").agg(F.min("ball").alias("pack"))
+    packed = dealt.join(named, ["cell", "chunk"]).select("ball", "pack")
+    return sizes.select("ball").join(packed, "ball", "left") \
+        .select("ball", F.coalesce("pack", "ball").alias("pack"))
+
+
+def _reached(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least ball that each row and column of a link matrix reaches over its links."""
+    far = np.iinfo(np.int64).max
+    while True:
+        to_a = np.minimum(a, np.where(linked, b[None, :], far).min(1))
+        to_b = np.minimum(b, np.where(linked, to_a[:, None], far).min(0))
+        if (to_a == a).all() and (to_b == b).all():
+            return a, b
+        a, b = to_a, to_b
+
+
 def _block_links(near: DataFrame, blocks: DataFrame, cosine: float) -> DataFrame:
-    """vid, n, a, b: how many vectors of the other ball each vector is linked with, per block pair of
-    the ball pairs (a, b)."""
-    side = lambda s: blocks.select(F.col("ball").alias(s), *(
-        F.col(c).alias(f"{c}_{s}") for c in ("vids", "mults", "xs")))
-    met = near.join(side("a"), "a").join(side("b"), "b")
+    """vid, n, a, b: for each block pair of the pack pairs (a, b), with how many vectors of other balls
+    each vector is linked there, its ball, and the least ball it reaches over these links."""
+    side = lambda s: blocks.select(F.col("pack").alias(s), *(
+        F.col(c).alias(f"{c}_{s}") for c in ("block", "vids", "balls", "mults", "xs")))
+    met = near.join(side("a"), "a").join(side("b"), "b").where("a <> b or block_a <= block_b") \
+        .withColumn("same", F.expr("a = b and block_a = block_b"))
 
     def work(batches):
         for p in batches:
             out = ([], [], [], [])
             for r in range(p.num_rows):
-                va, vb = (p[f"vids_{s}"][r].values.to_numpy() for s in "ab")
-                ma, mb = (p[f"mults_{s}"][r].values.to_numpy() for s in "ab")
                 xa, xb = (_rows(p[f"xs_{s}"][r].values) for s in "ab")
                 if xa.shape[1] != xb.shape[1]:
                     continue
-                linked = xa @ xb.T >= cosine
-                for v, n in ((va, linked @ mb), (vb, ma @ linked)):
+                ba, bb = (p[f"balls_{s}"][r].values.to_numpy() for s in "ab")
+                linked = (xa @ xb.T >= cosine) & (ba[:, None] != bb[None, :])
+                if not linked.any():
+                    continue
+                va, vb = (p[f"vids_{s}"][r].values.to_numpy() for s in "ab")
+                ma, mb = (p[f"mults_{s}"][r].values.to_numpy() for s in "ab")
+                ra, rb = _reached(linked, ba, bb)
+                sides = [(va, linked @ mb, ba, ra)]
+                if not p["same"][r].as_py():
+                    sides.append((vb, ma @ linked, bb, rb))
+                for v, n, own, least in sides:
                     some = np.flatnonzero(n)
-                    out[0].append(v[some])
-                    out[1].append(n[some])
-                    out[2].append(np.full(len(some), p["a"][r].as_py()))
-                    out[3].append(np.full(len(some), p["b"][r].as_py()))
+                    for column, values in zip(out, (v, n, own, least), strict=True):
+                        column.append(values[some])
             if out[0]:
                 yield pa.record_batch([pa.array(np.concatenate(c).astype(np.int64)) for c in out],
                                       ["vid", "n", "a", "b"])
 
-    return met.mapInArrow(work, "vid bigint, n bigint, a bigint, b bigint")
+    columns = [f"{c}_{s}" for s in "ab" for c in ("vids", "balls", "mults", "xs")]
+    return met.select(*columns, "same").mapInArrow(work, "vid bigint, n bigint, a bigint, b bigint")
 
 
 def near_duplicates(rows: DataFrame, cosine: float = 0.9, key: str = "vec_id",
@@ -229,18 +270,30 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, key: str = "vec_id",
     sizes = full.groupBy("ball").agg(F.count(F.lit(1)).alias("members"), F.sum("mult").alias("total"),
                                      F.min("label").alias("label"))
     sizes = land(sizes, "ball-sizes")
-    blocks = land(full.join(sizes.select("ball", "members"), "ball")
+    packs = land(_packs(sizes, vectors), "packs")
+    of_pack = land(packs.join(sizes, "ball").groupBy("pack").agg(
+        F.count(F.lit(1)).alias("balls"), F.sum("members").alias("members")), "pack-sizes")
+    full = full.join(packs, "ball")
+    blocks = land(full.join(of_pack.select("pack", "members"), "pack")
                   .withColumn("block", F.pmod(F.xxhash64("vid"), F.ceil(F.col("members") / BLOCK)))
-                  .groupBy("ball", "block").agg(F.collect_list(F.struct("vid", "mult", "x")).alias("m"))
-                  .select("ball", F.col("m.vid").alias("vids"), F.col("m.mult").alias("mults"),
+                  .groupBy("pack", "block", F.size("x").alias("_dim"))
+                  .agg(F.collect_list(F.struct("vid", "ball", "mult", "x")).alias("m"))
+                  .select("pack", F.struct("block", "_dim").alias("block"), F.col("m.vid").alias("vids"),
+                          F.col("m.ball").alias("balls"), F.col("m.mult").alias("mults"),
                           F.col("m.x").alias("xs")), "blocks")
 
-    entered = full.select("ball", F.explode("own").alias("cell")).distinct()
-    asked = full.select(F.col("ball").alias("asker"), F.explode("asks").alias("cell")).distinct()
-    met = asked.join(entered, "cell").where("asker <> ball") \
-        .select(F.least("asker", "ball").alias("a"), F.greatest("asker", "ball").alias("b")).distinct()
-    # two members can be linked only if their centres are at most two linking angles apart
-    near = land(_close(met, vectors, "a", "b", math.cos(2 * angle) - 1e-12), "near-balls")
+    entered = full.select("pack", F.explode("own").alias("cell")).distinct()
+    asked = full.select(F.col("pack").alias("asker"), F.explode("asks").alias("cell")).distinct()
+    met = asked.join(entered, "cell").where("asker <> pack") \
+        .select(F.least("asker", "pack").alias("a"), F.greatest("asker", "pack").alias("b")).distinct()
+    many = of_pack.where("balls > 1").select("pack")
+    met = met.join(many.select(F.col("pack").alias("a"), F.lit(True).alias("many_a")), "a", "left") \
+        .join(many.select(F.col("pack").alias("b"), F.lit(True).alias("many_b")), "b", "left")
+    met = land(met.select("a", "b", F.coalesce("many_a", "many_b", F.lit(False)).alias("many")), "met-packs")
+    # members of two balls can be linked only if the centres are at most two linking angles apart
+    near = land(_close(met.where("not many").select("a", "b"), vectors, "a", "b", math.cos(2 * angle) - 1e-12)
+                .union(met.where("many").select("a", "b"))
+                .union(many.select(F.col("pack").alias("a"), F.col("pack").alias("b"))), "near-packs")
     crossing = land(_block_links(near, blocks, cosine), "cross-links")
 
     parts = connected_components(sizes.select(F.col("ball").alias("node"), "label"), crossing.select("a", "b"))
