@@ -8,11 +8,12 @@ entered in its cell of every table and asks for that cell and the nearest neighb
 Dense groups are not compared pair by pair. Equal vectors are one entry. A vector within half
 the linking angle of a cell's first vector joins that centre's ball: two members of a ball are
 linked whatever their positions (angles add up at most), so the ball's size gives those links.
-Small balls that ask for a crowded cell, as those of a looser dense group do, go into packs of about
-BLOCK members. Candidates are pairs of packs (a ball that asks for none is one by itself) that meet in a
-cell, so a dense group gives one for each pair of blocks. They are compared in blocks by one matrix
-product each; a block pair yields a count and the least ball reached for each member, never pairs, and
-a pair of vectors is in one block pair only. Links counted this way are true; those between vectors that share no cell and no ball are
+Small balls whose centres are within the linking angle of a hub, as those of a looser dense group are,
+go into packs of about BLOCK members. Candidates are pairs of packs (a ball with no hub is one by
+itself) that meet in a cell, so a dense group gives one for each pair of blocks; those too far apart by
+their radii to allow a link go. The rest are compared in blocks by one matrix product each; a block pair
+yields a count and the least ball reached for each member, never pairs, and a pair of vectors is in one
+block pair only. Links counted this way are true; those between vectors that share no cell and no ball are
 missed, and the tests measure how many."""
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from .common import land, ship_package
 from .components import connected_components
 
 BLOCK = 512
-CROWD = 4      # small balls in a cell, from which on they go into packs
 SMALL = 64     # most members of a ball that goes into a pack with others
 SCALE = 1.75   # edge of the lattice, in units of a coordinate's spread
 GROUPS = 2     # lattices in a cell: more for more vectors
@@ -153,41 +153,71 @@ def _close(pairs: DataFrame, vectors: DataFrame, a: str, b: str, least: float) -
 
 
 def _balls(vectors: DataFrame, angle: float) -> DataFrame:
-    """vid, ball: a centre within `angle` / 2, the vector itself if none was met."""
-    half = math.cos(angle / 2) + 1e-12
+    """vid, ball: a centre within `angle`, the vector itself if none was met."""
+    least = math.cos(angle) + 1e-12
     entered = vectors.select("vid", F.explode("own").alias("cell"))
     first = entered.groupBy("cell").agg(F.min("vid").alias("centre"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1").drop("n")
     met = entered.join(first, "cell").where("vid <> centre").select("vid", "centre").distinct()
-    joined = land(_close(met, vectors, "vid", "centre", half).groupBy("vid")
+    joined = land(_close(met, vectors, "vid", "centre", least).groupBy("vid")
                   .agg(F.min("centre").alias("ball")), "balls")
     for _ in range(2):  # a centre that joined another may bring its members along
         upper = joined.select(F.col("vid").alias("ball"), F.col("ball").alias("centre"))
         moved = _close(joined.join(upper, "ball").select("vid", "centre").where("vid <> centre"),
-                       vectors, "vid", "centre", half)
+                       vectors, "vid", "centre", least)
         joined = land(joined.join(moved, "vid", "left")
                       .select("vid", F.coalesce("centre", "ball").alias("ball")), "balls")
     return vectors.select("vid").join(joined, "vid", "left") \
         .select("vid", F.coalesce("ball", "vid").alias("ball"))
 
 
-def _packs(sizes: DataFrame, vectors: DataFrame) -> DataFrame:
-    """ball, pack: small balls whose centres crowd cells are dealt to packs of about BLOCK members by the
-    most crowded cell that their centre asks for; any other ball is its own pack. A pack is named by its least ball."""
-    centres = land(vectors.join(sizes.where(F.col("members") <= SMALL).select("ball", "members"),
-                                F.col("vid") == F.col("ball")).select("ball", "members", "own", "asks"), "centres")
-    crowded = land(centres.select(F.explode("own").alias("cell")).groupBy("cell")
-                   .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD), "crowded-cells")
-    dealt = land(centres.select("ball", "members", F.explode("asks").alias("cell")).join(crowded, "cell")
-                 .groupBy("ball", "members").agg(F.max(F.struct("n", "cell")).alias("c"))
-                 .select("ball", "members", "c.cell"), "crowds")
-    chunks = dealt.groupBy("cell").agg(F.ceil(F.sum("members") / BLOCK).alias("chunks"))
-    dealt = land(dealt.join(chunks, "cell").select(
-        "ball", "cell", F.pmod(F.xxhash64("ball"), "chunks").alias("chunk")), "dealt")
-    named = dealt.groupBy("cell", "chunk").agg(F.min("ball").alias("pack"))
-    packed = dealt.join(named, ["cell", "chunk"]).select("ball", "pack")
+def _packs(sizes: DataFrame, vectors: DataFrame, angle: float) -> DataFrame:
+    """ball, hub, pack: small balls whose centres are within `angle` of a hub, dealt to packs of about
+    BLOCK members; any other ball is its own hub and pack. A pack is named by its least ball."""
+    small = sizes.where(F.col("members") <= SMALL).select("ball", "members")
+    centres = vectors.join(small.select(F.col("ball").alias("vid")), "vid", "left_semi")
+    hubs = _balls(centres, angle).select(F.col("ball").alias("hub"), F.col("vid").alias("ball"))
+    dealt = land(hubs.join(small, "ball"), "hubs")
+    chunks = dealt.groupBy("hub").agg(F.ceil(F.sum("members") / BLOCK).alias("chunks"))
+    dealt = land(dealt.join(chunks, "hub").select(
+        "ball", "hub", F.pmod(F.xxhash64("ball"), "chunks").alias("chunk")), "dealt")
+    named = dealt.groupBy("hub", "chunk").agg(F.min("ball").alias("pack"))
+    packed = dealt.join(named, ["hub", "chunk"]).select("ball", "hub", "pack")
     return sizes.select("ball").join(packed, "ball", "left") \
-        .select("ball", F.coalesce("pack", "ball").alias("pack"))
+        .select("ball", F.coalesce("hub", "ball").alias("hub"), F.coalesce("pack", "ball").alias("pack"))
+
+
+def _spread(full: DataFrame, vectors: DataFrame) -> DataFrame:
+    """pack, x of its hub, and the largest angle between the hub and a member."""
+    hub = vectors.select(F.col("vid").alias("hub"), F.col("x").alias("xh"))
+
+    def work(batches):
+        for batch in batches:
+            for p in _by_length(batch, "xh"):
+                dots = (_rows(p["x"]) * _rows(p["xh"])).sum(1)
+                yield pa.record_batch([p["pack"], pa.array(np.arccos(np.clip(dots, -1, 1)))], ["pack", "r"])
+
+    radius = full.where("vid <> hub").join(hub, "hub").select("pack", "x", "xh") \
+        .mapInArrow(work, "pack bigint, r double").groupBy("pack").agg(F.max("r").alias("r"))
+    packs = full.select("pack", "hub").distinct()
+    return packs.join(radius, "pack", "left").join(hub, "hub") \
+        .select("pack", F.coalesce("r", F.lit(0.0)).alias("r"), F.col("xh").alias("x"))
+
+
+def _reachable(met: DataFrame, spread: DataFrame, angle: float) -> DataFrame:
+    """Pairs of packs whose hubs are no farther apart than their radii and the linking angle together."""
+    side = lambda s: spread.select(F.col("pack").alias(s), F.col("r").alias(f"r{s}"),
+                                   F.col("x").alias(f"x{s}"))
+
+    def work(batches):
+        for batch in batches:
+            for p in _by_length(batch, "xa"):
+                dots = (_rows(p["xa"]) * _rows(p["xb"])).sum(1)
+                most = np.minimum(p["ra"].to_numpy() + p["rb"].to_numpy() + (angle + 1e-6), math.pi)
+                yield p.select(["a", "b"]).filter(pa.array(dots >= np.cos(most) - 1e-12))
+
+    return (met.join(side("a"), "a").join(side("b"), "b").where(F.size("xa") == F.size("xb"))
+            .select("a", "b", "ra", "rb", "xa", "xb").mapInArrow(work, "a bigint, b bigint"))
 
 
 def _reached(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,12 +295,12 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, key: str = "vec_id",
         "vid", F.transform("v", lambda c: c / F.col("_n")).alias("x"), "mult", "label")
     vectors = land(_with_cells(unit, **how), "cells")
 
-    member = land(_balls(vectors, angle), "ball-members")
+    member = land(_balls(vectors, angle / 2), "ball-members")
     full = vectors.join(member, "vid")
     sizes = full.groupBy("ball").agg(F.count(F.lit(1)).alias("members"), F.sum("mult").alias("total"),
                                      F.min("label").alias("label"))
     sizes = land(sizes, "ball-sizes")
-    packs = land(_packs(sizes, vectors), "packs")
+    packs = land(_packs(sizes, vectors, angle), "packs")
     of_pack = land(packs.join(sizes, "ball").groupBy("pack").agg(
         F.count(F.lit(1)).alias("balls"), F.sum("members").alias("members")), "pack-sizes")
     full = full.join(packs, "ball")
@@ -286,14 +316,9 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, key: str = "vec_id",
     asked = full.select(F.col("pack").alias("asker"), F.explode("asks").alias("cell")).distinct()
     met = asked.join(entered, "cell").where("asker <> pack") \
         .select(F.least("asker", "pack").alias("a"), F.greatest("asker", "pack").alias("b")).distinct()
-    many = of_pack.where("balls > 1").select("pack")
-    met = met.join(many.select(F.col("pack").alias("a"), F.lit(True).alias("many_a")), "a", "left") \
-        .join(many.select(F.col("pack").alias("b"), F.lit(True).alias("many_b")), "b", "left")
-    met = land(met.select("a", "b", F.coalesce("many_a", "many_b", F.lit(False)).alias("many")), "met-packs")
-    # members of two balls can be linked only if the centres are at most two linking angles apart
-    near = land(_close(met.where("not many").select("a", "b"), vectors, "a", "b", math.cos(2 * angle) - 1e-12)
-                .union(met.where("many").select("a", "b"))
-                .union(many.select(F.col("pack").alias("a"), F.col("pack").alias("b"))), "near-packs")
+    spread = land(_spread(full, vectors), "spread")
+    many = of_pack.where("balls > 1").select(F.col("pack").alias("a"), F.col("pack").alias("b"))
+    near = land(_reachable(met, spread, angle).union(many), "near-packs")
     crossing = land(_block_links(near, blocks, cosine), "cross-links")
 
     parts = connected_components(sizes.select(F.col("ball").alias("node"), "label"), crossing.select("a", "b"))
