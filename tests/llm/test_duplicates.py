@@ -64,6 +64,37 @@ def test_links_find_every_near_pair(spark, distance):
     assert {frozenset((r.a, r.b)) for r in got} == want
 
 
+@pytest.mark.parametrize("distance", [0, 1, 2, 3, 5])
+def test_links_through_crowded_segments(spark, distance):
+    rng = random.Random(40 + distance)
+    centre = rng.getrandbits(64)
+    fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(250)}
+    fps |= {(centre >> 32 << 32) | rng.getrandbits(32) for _ in range(100)}
+    fps = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    mask = (1 << 64) - 1
+    want = {frozenset((a, b)) for a in fps for b in fps if a < b and ((a ^ b) & mask).bit_count() <= distance}
+    got = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp bigint"), distance, crowd=1).collect()
+    assert {frozenset((r.a, r.b)) for r in got} == want
+
+
+def test_a_dense_group_makes_no_pairs(spark):
+    """4,000 fingerprints around one centre, with a chain of its own three bits on and far ones."""
+    rng = random.Random(8)
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    centre = rng.getrandbits(64)
+    fps = {centre ^ sum(1 << b for b in rng.sample(range(64), 3)) for _ in range(4000)}
+    fps |= {centre ^ 0b111 << 9 ^ 0b111 << 20, centre ^ 0b111 << 9 ^ 0b111 << 20 ^ 0b111 << 40}
+    fps |= {rng.getrandbits(64) for _ in range(50)}
+    fps = sorted(fps)
+    frame = spark.createDataFrame([(signed(f), i) for i, f in enumerate(fps)], "fp bigint, doc_id bigint")
+    want = brute.components(list(range(len(fps))), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3)
+    got = {r.fp: r.label for r in simhash._components(frame, 3, "doc_id").collect()}
+    assert {i: got[signed(f)] for i, f in enumerate(fps)} == want
+    crowded = simhash._crowded(frame, 3, simhash.CROWD)
+    grouped = simhash.dense_groups(frame, 3, crowded)
+    assert simhash.links(grouped, 3, group="node", crowded=crowded).count() < 4 * len(fps)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = random.Random(6)
     for _ in range(60):

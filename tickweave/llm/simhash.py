@@ -9,7 +9,15 @@ bit, so a ball of radius one needs only the segment itself and it with each set
 
 Equal fingerprints are one entry with its smallest document, so copies cost nothing. Balls and
 tables meet in an equality join, which Spark deals by segment value and can split where a value
-is frequent. Components come from the links by iterated joins; nothing is collected."""
+is frequent. Components come from the links by iterated joins; nothing is collected.
+
+Where more than CROWD fingerprints have one segment value, neither their comparisons nor their
+links are made pair by pair. The other bits are cut into segments in turn, of which near ones
+agree in one up to the radius, and only these meet. And such fingerprints are first grouped by
+the points one bit from them: all at a point are at most two bits apart and are tied to the least
+of them, so a dense group is a few dozen ties for each member. Links are then sought between
+groups only. Fingerprints of two groups are three bits apart or more, so the groups that one can
+be linked to are bounded (672 at three bits: triples of 64 bits that share at most one)."""
 
 from __future__ import annotations
 
@@ -19,10 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import land, ship_package, slices
-from .components import connected_components
+from .components import connected_components, stars
 
 _LOWER = bytes(range(256)).lower()  # A-Z only
 _SEED = 42
+CROWD = 32
 
 
 def fingerprint(text: str, shingle: int) -> bytes:
@@ -74,44 +83,106 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def links(distinct: DataFrame, distance: int) -> DataFrame:
-    """Pairs a, b of different fingerprints (column fp of `distinct`) at most `distance` bits apart;
-    a pair may come more than once."""
-    segments = _segments(distance)
-    radius = distance // len(segments)
+def _flips(v, bits: int, only_set: bool = False):
+    """`v` and it with one of its low `bits` changed (or, with `only_set`, cleared)."""
+    masks = F.array(*[F.lit(_signed(1 << b)) for b in range(bits)])
+    if only_set:
+        masks = F.filter(masks, lambda m: v.bitwiseAND(m) != 0)
+    return F.concat(F.array(v), F.transform(masks, lambda m: v.bitwiseXOR(m)))
+
+
+def _low(v, shift: int, bits: int):
+    return F.shiftrightunsigned(v, shift).bitwiseAND(_signed((1 << bits) - 1))
+
 
-    def at(i, value):
-        return F.struct(F.lit(i).alias("seg"), value.alias("value"))
+def _numbered(values, number: int, *names: str):
+    """Each of `values` in a struct behind `number`."""
+    return F.transform(values, lambda v: F.struct(F.lit(number).alias(names[0]), v.alias(names[1])))
 
-    def ball(v, bits):
-        if not radius:
-            return F.array(v)
-        masks = F.array(*[F.lit(_signed(1 << b)) for b in range(bits)])
-        cleared = F.transform(F.filter(masks, lambda m: v.bitwiseAND(m) != 0), lambda m: v.bitwiseXOR(m))
-        return F.concat(F.array(v), cleared)
 
-    def asks(i, v, bits):
-        return F.transform(ball(v, bits), lambda x: at(i, x))
+def _entries(distinct: DataFrame, distance: int) -> DataFrame:
+    """The columns of `distinct` with seg and value of each segment of fp."""
+    own = [F.struct(F.lit(i).alias("seg"), _low(F.col("fp"), shift, bits).alias("value"))
+           for i, (shift, bits) in enumerate(_segments(distance))]
+    return distinct.withColumn("_e", F.explode(F.array(*own))).select(*distinct.columns, "_e.seg", "_e.value")
 
-    parts = [(F.shiftrightunsigned("fp", shift).bitwiseAND(_signed((1 << bits) - 1)), bits)
-             for shift, bits in segments]
-    entries = [at(i, v) for i, (v, _) in enumerate(parts)]
-    probes = [asks(i, v, bits) for i, (v, bits) in enumerate(parts)]
-    table = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*entries)).alias("e")) \
-        .select("b", "e.seg", "e.value")
-    asked = distinct.select(F.col("fp").alias("a"), F.explode(F.concat(*probes)).alias("e")) \
-        .select("a", "e.seg", "e.value")
-    near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance) & (F.col("a") != F.col("b"))
-    return asked.join(table, ["seg", "value"]).where(near).select("a", "b")
+
+def _crowded(distinct: DataFrame, distance: int, crowd: int) -> DataFrame:
+    """seg and value of the segments that more than `crowd` fingerprints have."""
+    counts = _entries(distinct.select("fp"), distance).groupBy("seg", "value").count()
+    return land(counts.where(F.col("count") > crowd).select("seg", "value"), "crowded-segments")
+
+
+def _refined(rows: DataFrame, crowded: DataFrame, distance: int, asks: bool) -> DataFrame:
+    """`rows` (fp, seg, value) with the key part and rest: where the segment is crowded a row for each
+    part of the other bits (with `asks` one for each member of its ball), else one row."""
+    segments = _segments(distance)
+    plain = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("rest")))
+    keys = plain
+    if len(segments) > 1:
+        for i, (shift, bits) in enumerate(segments):
+            end = shift + bits
+            others = F.col("fp") if end == 64 else \
+                F.shiftrightunsigned("fp", end).bitwiseOR(F.shiftleft("fp", 64 - end))
+            edges = [(64 - bits) * k // len(segments) for k in range(len(segments) + 1)]
+            parts = []
+            for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                v = _low(others, a, b - a)
+                members = _flips(v, b - a) if asks and distance // len(segments) else F.array(v)
+                parts.append(_numbered(members, k, "part", "rest"))
+            keys = F.when(F.col("_crowd") & (F.col("seg") == i), F.concat(*parts)).otherwise(keys)
+    marked = rows.join(crowded.withColumn("_crowd", F.lit(True)), ["seg", "value"], "left")
+    marked = marked.withColumn("_crowd", F.coalesce("_crowd", F.lit(False)))
+    return marked.withColumn("_k", F.explode(keys)).select(*rows.columns, "_k.part", "_k.rest")
+
+
+def links(distinct: DataFrame, distance: int, crowd: int = CROWD, group: str = "fp",
+          crowded: DataFrame | None = None) -> DataFrame:
+    """Pairs a, b of different groups (column `group` of `distinct`; each fingerprint its own by default)
+    with fingerprints (column fp, each once) at most `distance` bits apart; a pair may come more than once."""
+    segments = _segments(distance)
+    radius = distance // len(segments)
+    if crowded is None:
+        crowded = _crowded(distinct, distance, crowd)
+    nodes = distinct.select("fp", F.col(group).alias("node"))
+    probes = []
+    for i, (shift, bits) in enumerate(segments):
+        v = _low(F.col("fp"), shift, bits)
+        ball = _flips(v, bits, only_set=True) if radius else F.array(v)
+        probes.append(_numbered(ball, i, "seg", "value"))
+    asked = nodes.withColumn("_e", F.explode(F.concat(*probes))).select("fp", "node", "_e.seg", "_e.value")
+    asked = _refined(asked, crowded, distance, True) \
+        .select("seg", "value", "part", "rest", F.col("fp").alias("x"), F.col("node").alias("a"))
+    table = _refined(_entries(nodes, distance), crowded, distance, False) \
+        .select("seg", "value", "part", "rest", F.col("fp").alias("y"), F.col("node").alias("b"))
+    near = (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= distance) & (F.col("a") != F.col("b"))
+    return asked.join(table, ["seg", "value", "part", "rest"]).where(near).select("a", "b")
+
+
+def dense_groups(distinct: DataFrame, distance: int, crowded: DataFrame) -> DataFrame:
+    """The columns of `distinct` and `node`: the least fingerprint of those it hangs together with, through
+    fingerprints in crowded segments at most two bits apart; its own outside of such segments."""
+    if distance < 2:
+        return distinct.withColumn("node", F.col("fp"))
+    dense = _entries(distinct.select("fp"), distance).join(crowded, ["seg", "value"], "left_semi") \
+        .select("fp").distinct()
+    points = land(dense.select("fp", F.explode(_flips(F.col("fp"), 64)).alias("point")), "points")
+    least = points.groupBy("point").agg(F.min("fp").alias("least"))
+    tied = stars(points.join(least, "point").select(F.col("least").alias("a"), F.col("fp").alias("b")))
+    return distinct.join(tied.select(F.col("b").alias("fp"), "a"), "fp", "left") \
+        .select(*distinct.columns, F.coalesce("a", "fp").alias("node"))
 
 
 def _components(marked: DataFrame, distance: int, key: str) -> DataFrame:
     """fp, root and label (the least fingerprint and key of its component) of all fingerprints. Landed:
     a join with two plain inputs is one that Spark splits where a fingerprint is frequent."""
     distinct = land(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
-    pairs = links(distinct.select("fp"), distance)
-    nodes = distinct.select(F.col("fp").alias("node"), F.col("first").alias("label"))
-    return land(connected_components(nodes, pairs).withColumnRenamed("node", "fp"), "components")
+    crowded = _crowded(distinct, distance, CROWD)
+    grouped = land(dense_groups(distinct, distance, crowded), "dense-groups")
+    pairs = links(grouped, distance, group="node", crowded=crowded)
+    nodes = grouped.groupBy("node").agg(F.min("first").alias("label"))
+    found = connected_components(nodes, pairs)
+    return land(grouped.select("fp", "node").join(found, "node").drop("node"), "components")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id",
