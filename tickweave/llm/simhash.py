@@ -181,7 +181,7 @@ def _components(marked: DataFrame, distance: int, key: str) -> DataFrame:
     grouped = land(dense_groups(distinct, distance, crowded), "dense-groups")
     pairs = links(grouped, distance, group="node", crowded=crowded)
     nodes = grouped.groupBy("node").agg(F.min("first").alias("label"))
-    found = connected_components(nodes, pairs)
+    found = land(connected_components(nodes, pairs), "group-components")
     return land(grouped.select("fp", "node").join(found, "node").drop("node"), "components")
 
 
