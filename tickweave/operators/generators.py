@@ -27,6 +27,20 @@ def explode_records(df: DataFrame, array_col: str, keep: list[str] = (), alias:
     return out
 
 
+def _plain(kind: pa.DataType) -> Callable[[object], bool] | None:
+    """A cheap test that a value which is not None surely fits an Arrow type; None: there is none."""
+    if pa.types.is_signed_integer(kind):
+        least, most = -(1 << kind.bit_width - 1), (1 << kind.bit_width - 1) - 1
+        return lambda v: type(v) is int and least <= v <= most
+    if kind == pa.float64():
+        return lambda v: type(v) is float or type(v) is int and -(1 << 53) <= v <= 1 << 53
+    if kind == pa.string():
+        return lambda v: type(v) is str and v.isascii()
+    if kind == pa.bool_():
+        return lambda v: type(v) is bool
+    return None
+
+
 def flat_map_records(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema: T.StructType | str,
                      source: str) -> DataFrame:
     """Typed flatMap. `fn` takes a row of `df` as a dict and yields 0..n records as dicts.
@@ -41,11 +55,25 @@ def flat_map_records(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema
     arrow = to_arrow_schema(fields)
     full = pa.schema([*arrow, pa.field("reason", pa.string()), pa.field("record", pa.string())])
 
+    names = frozenset(arrow.names)
     whole = [f.name for f in arrow if pa.types.is_integer(f.type)]
+    plain = {f.name: test for f in arrow if (test := _plain(f.type))}
+
+    def surely(record: dict) -> bool:
+        """Only values that are known to fit by their Python type; what is not may fit all the same."""
+        for n, v in record.items():
+            if v is None:
+                if n not in names:
+                    return False
+            elif n not in plain or not plain[n](v):
+                return False
+        return True
 
     def known(record: dict) -> bool:
-        """No field that the schema does not have, and no fraction for an integer, which Arrow would cut."""
-        return record.keys() <= set(arrow.names) and all(type(record.get(n)) in (int, type(None)) for n in whole)
+        """No field that the schema does not have, and for an integer neither a fraction, which Arrow would
+        cut, nor a number beyond its width."""
+        return record.keys() <= names and all(
+            (v := record.get(n)) is None or type(v) is int and (n not in plain or plain[n](v)) for n in whole)
 
     def fits(record: dict) -> bool:
         if not known(record):
@@ -57,14 +85,11 @@ def flat_map_records(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema
             return False
 
     def batch_of(records: list[dict], dead: list[dict]) -> pa.RecordBatch:
-        try:  # all at once; one by one only where something does not fit
-            if not all(map(known, records)):
-                raise ValueError
-            return pa.RecordBatch.from_pylist(records + dead, schema=full)
-        except (pa.ArrowException, TypeError, ValueError, OverflowError):
-            good = [r for r in records if fits(r)]
-            bad = [{"reason": "bad_record", "record": repr(r)} for r in records if not fits(r)]
-            return pa.RecordBatch.from_pylist(good + bad + dead, schema=full)
+        good, bad = [], []
+        for r in records:  # a trial conversion only where the Python types do not tell
+            (good if surely(r) or fits(r) else bad).append(r)
+        bad = [{"reason": "bad_record", "record": repr(r)} for r in bad]
+        return pa.RecordBatch.from_pylist(good + bad + dead, schema=full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
