@@ -91,7 +91,8 @@ FROM contracts_v c LEFT JOIN bars_v b ON b.ticker = c.ticker""", contracts=True,
 def sink_documents(spark, sf):
     path = shared_dir(spark, "documents")
     docs = J.contract_documents(td.contracts(spark, sf), td.bars(spark, sf))
-    K.write_documents(docs, path, fmt="json", mode="append")
+    K.write_documents(docs, path, fmt="json", mode="append",
+                      options={"compression": "gzip", "maxRecordsPerFile": "500000"})
     schema = T.StructType(CONTRACT_DOCUMENT.fields + [T.StructField("part", T.IntegerType())])
     back = spark.read.schema(schema).json(path)
     return back.select("ticker", F.explode_outer("aggs").alias("a")).select(
