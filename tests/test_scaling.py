@@ -92,3 +92,29 @@ def test_rows_of_runs_get_their_bar_id_after_they_moved(spark):
     again = rows.withColumns({"a": bar_id("ticker", "timestamp"), "h": row_id(rows.schema, FLAT_COLUMNS)})
     assert rows.count() > 0 and again.where("NOT (a <=> agg_id AND h <=> hash_id)").count() == 0
     assert RunLog(spark, shared_dir(spark, "t_none")).entries() == []
+
+
+def _files(spark, path):
+    return [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()]
+
+
+def test_bars_are_landed_in_parts_that_go_once_they_are_stored(spark, monkeypatch):
+    monkeypatch.setattr(flow_queries, "LANDED_INPUT", 30_000)
+    seen, land = [], flow_queries.land_bar_stream
+
+    def watched(spark, landing, table, checkpoint, **options):
+        seen.append((landing, checkpoint, {f.rsplit("/", 2)[1] for f in _files(spark, landing)}, table))
+        assert all(f.endswith(".json.gz") for f in _files(spark, landing))
+        return land(spark, landing, table, checkpoint, **options)
+
+    monkeypatch.setattr(flow_queries, "land_bar_stream", watched)
+    rows = flow_queries.stream_land_bars(spark, SF_SMOKE)
+    good = classify_bar_responses(td.bar_texts_with_defects(spark, SF_SMOKE), request_key="request_ticker").where("reason IS NULL")
+    assert rows.count() == rows.distinct().count() == good.count() > 0
+    assert rows.exceptAll(good.select(*rows.columns)).isEmpty()
+    assert [parts for _, _, parts, _ in seen] == [{"0"}, {"1"}] * 2  # no part stays beside the next
+    assert len({checkpoint for _, checkpoint, _, _ in seen}) == 2
+    assert all(".zstd." in f for f in _files(spark, seen[0][3]))
+    for landing in {s[0] for s in seen}:
+        status = spark._jvm.org.apache.hadoop.fs.Path(landing)
+        assert not status.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(status)
