@@ -7,7 +7,7 @@ import pytest
 
 from tickweave.plans import populate as flow
 from tickweave.plans.populate import STAGES, TABLES
-from tickweave.session import shared_dir
+from tickweave.session import delete_dir, shared_dir
 from tickweave.sinks import runs
 
 
@@ -134,6 +134,55 @@ def test_stored_ids_are_joined_where_they_lie(spark):
     assert "Exchange" not in plan[plan.rindex("Sort", 0, scan):scan] and "SelectedBucketsCount" in plan
 
 
+def test_ids_of_several_columns_are_joined_where_they_lie(spark):
+    from tickweave.operators.joins import idempotent_append
+    log, ids = runs.RunLog(spark, shared_dir(spark, "t_runs")), ["origin", "kind"]
+    rows = spark.range(600).selectExpr("CAST(id % 300 AS STRING) AS origin", "IF(id < 300, 'a', 'b') AS kind", "id")
+    run = log.begin("one")
+    for part, new in ((rows.where("id < 200"), 200), (rows.where("id < 400"), 400), (rows.union(rows), 600)):
+        with run.stored_ids("dead", ids, buckets=6, own=True) as stored:
+            written = run.write(idempotent_append(part, stored, ids, 6), "dead", bucket_id="origin", buckets=6, dealt=True,
+                                append=True)
+        assert written.count() == written.select(*ids).distinct().count() == new
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(run.path("dead")).select("path").collect()
+    assert all(".zstd." in r.path for r in files)
+    run.commit()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with log.begin("two").stored_ids("dead", ids, buckets=6) as stored:
+            fresh = idempotent_append(rows, stored, ids, 6)
+            assert fresh.count() == 0
+            plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in plan and plan.count("Exchange") == 1, plan  # the batch's only
+
+
+@pytest.mark.parametrize("options,rows", [({}, 2), ({"bars_per_contract": 1}, 1)])
+def test_responses_may_come_in_parts(spark, options, rows):
+    """A part is asked for when what the one before holds is stored, which may then be gone."""
+    universe, contracts, bars = _inputs(spark)
+    at = []
+
+    def parts():
+        schema = "value string, request_ticker string"
+        texts = spark.read.json(bars, schema=schema).collect()
+        for some in (texts[:1], texts, texts[1:]):  # some come again
+            at.append(shared_dir(spark, "t_populate_part"))
+            spark.createDataFrame(some, schema).write.json(at[-1])
+            yield at[-1]
+            delete_dir(spark, at[-1])
+
+    out = shared_dir(spark, "t_populate_out")
+    paths = flow.populate(spark, universe, contracts, parts(), out, run_id="a", as_of="2024-02-01",
+                          id_buckets=4, **options)
+    assert len(at) == 3 and _counts(spark, paths) == [3, 3, rows, 4]
+    paths = flow.populate(spark, universe, [contracts], bars, out, run_id="b", as_of="2024-02-01", id_buckets=4, **options)
+    assert _counts(spark, paths) == [3, 3, rows, 4]
+    with pytest.raises(ValueError):
+        flow.populate(spark, universe, contracts, [], out, run_id="c", as_of="2024-02-01", id_buckets=4)
+
+
 def test_dropped_contracts_are_reported(spark):
     root, inputs = shared_dir(spark, "t_populate_in"), _inputs(spark)
     lists = [({"status": "OK", "results": [{"ticker": "O:8", "underlying_ticker": "AAPL", "expiration_date": "2024-03-01"},
